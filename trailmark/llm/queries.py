@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, hilbert, mixing
-from .common import table
+from . import exact_dedup, hilbert, mixing, packing, simple8b
+from .common import shared_dir, table
+from .tokens import tokenizer_path
 
 
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +33,17 @@ FROM n WINDOW w AS (PARTITION BY t)
 """
 
 
+def op6_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.binary_pieces(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
+
+
+def op8_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/token-ids-{uuid.uuid4().hex}"
+    simple8b.write_ids(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
+    return simple8b.read_ids(spark, path)
+
+
 def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.balanced_copies(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
@@ -38,6 +52,8 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_binary_packing": op6_binary_packing,
+    "op8_simple8b_ids": op8_simple8b_ids,
     "op10_entropy_mix": op10_entropy_mix,
 }
 ORACLES = {"op5_exact_dedup": OP5_SQL}
