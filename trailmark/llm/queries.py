@@ -7,11 +7,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, hilbert, mixing, packing, simple8b
+from . import exact_dedup, hilbert, mixing, ngram_jaccard, packing, simple8b
 from .common import shared_dir, table
 from .tokens import tokenizer_path
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -50,6 +54,7 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_binary_packing": op6_binary_packing,
