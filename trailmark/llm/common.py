@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder, read back. For loops: unlike a checkpoint it keeps nothing of the plan, whose
+    remembered constraints would double with each round. The tables are small (a row per vertex or source) and stay in that scratch folder."""
+    path = f"{shared_dir(df.sparkSession)}/round-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case and nothing else; the built-in ``lower`` serves where all characters are ASCII."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import written
 
 
 def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(v, label) for each end of ``links`` (a, b): label is the smallest vertex of its component.
 
     A round gives each vertex the smallest label among its neighbours' and then its label's label, so chains shorten by powers of
-    two. Each round is checkpointed; the driver sees one count a round.
+    two. Each round is a written table; the driver sees one count a round.
     """
-    both = checkpointed(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct())
-    labels = checkpointed(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("a"), F.min("b")).alias("label")))
+    both = written(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct())
+    labels = written(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("a"), F.min("b")).alias("label")))
     for _ in range(rounds):
-        near = both.join(labels, both.b == labels.v).groupBy(F.col("a").alias("n")).agg(F.min("label").alias("near"))
-        seen = labels.join(near, F.col("v") == F.col("n"), "left").select("v", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        near = both.join(labels, both.b == labels.v).select(F.col("a").alias("v"), "label", F.lit(None).cast(labels.schema["label"].dataType).alias("old"))
         jump = labels.select(F.col("v").alias("j"), F.col("label").alias("jumped"))
-        after = seen.join(jump, F.col("label") == F.col("j"), "left").select("v", F.least("label", F.coalesce("jumped", "label")).alias("label"), (F.least("label", F.coalesce("jumped", "label")) != F.col("old")).alias("moved"))
-        after = checkpointed(after)
+        own = labels.join(jump, F.col("label") == F.col("j"), "left").select("v", F.coalesce("jumped", "label").alias("label"), F.col("label").alias("old"))
+        after = near.unionByName(own).groupBy("v").agg(F.min("label").alias("label"), F.max("old").alias("old")).withColumn("moved", F.col("label") != F.col("old"))
+        after = written(after)
         labels = after.select("v", "label")
         if after.filter("moved").isEmpty():
             return labels

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed
+from .common import checkpointed, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -50,7 +50,7 @@ def tilts(cells: DataFrame, targets: DataFrame, most: int = 3, rounds: int = 60,
     scale = F.col("source_size") / F.col("source_docs")
     goals = targets.join(cells.groupBy("source").agg(F.sum("docs").alias("source_docs")).withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     goals = goals.withColumn("scale", F.greatest(scale, F.lit(1e-9))).withColumn("open", (F.col("target") < most * F.col("source_size") * (1 - 1e-12)) & (F.col("source_size") > 0))
-    state = checkpointed(goals.select(F.col("source").alias("__s"), "target", "scale", "open", F.lit(0.0).alias("tilt"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi")))
+    state = written(goals.select(F.col("source").alias("__s"), "target", "scale", "open", F.lit(0.0).alias("tilt"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi")))
     for _ in range(rounds):
         c = F.col("size") / F.col("scale")
         rate = most / (1 + F.exp(-(base + F.col("tilt") * c)))
@@ -66,7 +66,7 @@ def tilts(cells: DataFrame, targets: DataFrame, most: int = 3, rounds: int = 60,
         halved = F.when(F.col("nlo").isNull(), F.col("tilt") - wide).when(F.col("nhi").isNull(), F.col("tilt") + wide).otherwise((F.col("nlo") + F.col("nhi")) / 2)
         step = joined.withColumns({"nlo": lo, "nhi": hi, "off": F.coalesce(F.abs(miss) / F.greatest(F.col("target"), F.lit(1.0)), F.lit(0.0))})
         step = step.withColumn("next", F.when(~F.col("open") | (F.col("off") <= tolerance), F.col("tilt")).when(inside, newton).otherwise(halved))
-        state = checkpointed(step.select("__s", "target", "scale", "open", F.col("next").alias("tilt"), F.col("nlo").alias("lo"), F.col("nhi").alias("hi"), "off"))
+        state = written(step.select("__s", "target", "scale", "open", F.col("next").alias("tilt"), F.col("nlo").alias("lo"), F.col("nhi").alias("hi"), "off"))
         if (state.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
             break
     return state.select("__s", "target", "scale", F.when(F.col("open"), F.col("tilt")).alias("tilt"))

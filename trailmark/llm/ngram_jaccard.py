@@ -7,7 +7,8 @@
 3. Equal sets become one class. Two classes that link share one of the first few n-grams of both (prefix bound); sizes and places in
    the order bound the overlap from above, and pairs below what their sizes ask are discarded.
 4. Of the pairs left, overlaps are accumulated from the incidence rows. First each column is multiplied with one row only (its hub), so that
-   groups of copies join at linear cost; then pairs still in different components follow, so no link is lost.
+   groups of copies join at linear cost. Then the columns that still hold several components are taken as families of rows that
+   they connect; rows of a family meet block by block in a sparse product that counts all overlaps, so no link is lost.
 """
 
 from __future__ import annotations
@@ -186,6 +187,70 @@ def _overlaps(parts: Iterator) -> Iterator:
         yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(4), part.column(5), pa.array(counts, pa.int64())], ["a", "b", "na", "nb", "overlap"])
 
 
+def _block_product(num: int, den: int, dense_from: int = 32, columns: int = 4096):
+    """Rows of two blocks in, links between different labels out (a spanning forest of them): the product of the incidence rows.
+
+    Columns with few entries add up pairs of entries, those with many are multiplied as dense slices. Only pairs between the
+    blocks (or all, within one) that their sizes allow are compared with the bound.
+    """
+
+    def product(table):
+        import pyarrow as pa
+
+        marks, labels, sizes, grams, side = (table.column(k).to_pylist() for k in ("mark", "label", "n", "grams", "side"))
+        m = len(marks)
+        parts = [np.frombuffer(g, np.uint64) for g in grams]
+        gram, owner = np.concatenate(parts), np.repeat(np.arange(m), [len(p) for p in parts])
+        order = np.argsort(gram, kind="stable")
+        gram, owner = gram[order], owner[order]
+        begins = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+        times = np.diff(np.r_[begins, len(gram)])
+        column = np.repeat(np.arange(len(begins)), times)
+        few = (times > 1) & (times < dense_from)
+        overlap = np.zeros(m * m, np.int64)
+        rare = few[column]
+        c, o = column[rare], owner[rare]
+        for k in range(1, dense_from):
+            same = c[k:] == c[:-k]
+            if not same.any():
+                break
+            overlap += np.bincount(o[:-k][same] * m + o[k:][same], minlength=m * m)
+        overlap = overlap.reshape(m, m)
+        overlap = overlap + overlap.T
+        many = np.flatnonzero(times >= dense_from)
+        place = np.full(len(begins), -1)
+        place[many] = np.arange(len(many))
+        spot = place[column]
+        for at in range(0, len(many), columns):
+            mine = (spot >= at) & (spot < at + columns)
+            dense = np.zeros((m, min(columns, len(many) - at)), np.float32)
+            dense[owner[mine], spot[mine] - at] = 1
+            overlap += (dense @ dense.T).astype(np.int64)  # counts below 2**24 are exact
+        n, side = np.array(sizes, np.int64), np.array(side)
+        linked = (num + den) * overlap >= num * (n[:, None] + n[None, :])
+        _, label = np.unique(np.array(labels, object), return_inverse=True)
+        linked &= (label[:, None] != label[None, :]) & ((side[:, None] != side[None, :]) | (side.max() == side.min()))
+        left, right = np.nonzero(np.triu(linked, 1))
+        root = list(range(m))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out: tuple[list, list] = ([], [])
+        for i, j in zip(left.tolist(), right.tolist(), strict=True):
+            x, y = find(int(label[i])), find(int(label[j]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out[0].append(marks[i])
+                out[1].append(marks[j])
+        return pa.table({"a": pa.array(out[0], pa.binary()), "b": pa.array(out[1], pa.binary())})
+
+    return product
+
+
 def _could_link(num: int, den: int) -> Column:
     """Size bounds on a pair (l, r) that meets in one n-gram: what comes after it in both bounds the overlap if it is their first."""
     need = F.ceil(F.lit(num) * (F.col("l.n") + F.col("r.n")) / F.lit(num + den))
@@ -197,7 +262,7 @@ def _could_link(num: int, den: int) -> Column:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100, block_bytes: int = 6_000_000, chunk_tokens: int = 2_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100, block_bytes: int = 6_000_000, chunk_tokens: int = 2_000_000, hub_rounds: int = 2, family_rows: int = 1024) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable by links, its own included).
 
     Two rows link when ``den * intersection >= num * union`` of their sets of distinct ``words``-word n-grams (A-Z lowered, words are runs of anything but
@@ -224,28 +289,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         counted = joined.mapInArrow(_overlaps, "a binary, b binary, na long, nb long, overlap long")
         return checkpointed(counted.select("a", "b", (den * F.col("overlap") >= num * (F.col("na") + F.col("nb") - F.col("overlap"))).alias("linked")))
 
-    def pairs_of(left: DataFrame, right: DataFrame, more: Column) -> DataFrame:
-        met = left.alias("l").join(right.alias("r"), F.col("l.gram") == F.col("r.gram")).filter(_could_link(num, den) & more)
-        return met.select(F.least("l.mark", "r.mark").alias("a"), F.greatest("l.mark", "r.mark").alias("b")).distinct()
-
-    tested = None
-    labels = classes.select("mark", F.col("mark").alias("label"))
-    for seed in (1, 2, 3, None):
+    def columns_of(labels: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+        """The prefix entries with labels, and the columns that hold more than one label, each with its hub."""
         own = prefixes.join(labels, "mark")
-        open_columns = own.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.xxhash64("mark", F.lit(seed or 0)).alias("h"), "mark", "n", "rest", "label")).alias("hub")).filter("lo <> hi")
-        apart = F.col("l.label") != F.col("r.label")
-        if seed:
-            pairs = pairs_of(own, open_columns.select("gram", "hub.mark", "hub.n", "hub.rest", "hub.label"), apart)
-        else:
-            own = checkpointed(own.join(open_columns.select("gram"), "gram", "left_semi"))
-            pairs = pairs_of(own, own, apart & (F.col("l.mark") < F.col("r.mark")))
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        now = verified(pairs)
-        tested = now if tested is None else tested.unionByName(now)
-        if not now.filter("linked").isEmpty():
-            joined = connected_components(tested.filter("linked").select("a", "b"))
-            labels = checkpointed(classes.select("mark").join(joined, F.col("mark") == F.col("v"), "left").select("mark", F.coalesce("label", "mark").alias("label")))
+        hub = F.min(F.struct(F.xxhash64("mark", F.lit(seed)).alias("h"), "mark", "n", "rest", "label"))
+        several = own.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), hub.alias("hub")).filter("lo <> hi")
+        return own, several.select("gram", "hub.mark", "hub.n", "hub.rest", "hub.label")
+
+    def relabelled(links: DataFrame) -> DataFrame:
+        joined = connected_components(links.select("a", "b"))
+        return checkpointed(classes.select("mark").join(joined, F.col("mark") == F.col("v"), "left").select("mark", F.coalesce("label", "mark").alias("label")))
+
+    links, labels = None, classes.select("mark", F.col("mark").alias("label"))
+    for seed in range(hub_rounds):
+        own, hubs = columns_of(labels, seed)
+        met = own.alias("l").join(hubs.alias("r"), F.col("l.gram") == F.col("r.gram")).filter(_could_link(num, den) & (F.col("l.label") != F.col("r.label")))
+        now = verified(met.select(F.least("l.mark", "r.mark").alias("a"), F.greatest("l.mark", "r.mark").alias("b")).distinct()).filter("linked")
+        links = now if links is None else links.unionByName(now)
+        labels = relabelled(links)
+    own, hubs = columns_of(labels, hub_rounds)
+    spokes = own.select("gram", "mark").join(hubs.select("gram", F.col("mark").alias("hub")), "gram").select(F.col("mark").alias("a"), F.col("hub").alias("b")).distinct()
+    families = connected_components(spokes).withColumnsRenamed({"v": "mark", "label": "family"})
+    sizes = families.groupBy("family").agg(F.count("*").alias("m"))
+    small = sizes.filter(F.col("m") <= family_rows // 2).agg(F.sum("m")).first()[0] or 0
+    bins = max(1, -(-int(small) // (family_rows // 2)))
+    # small families share a block; a large one is cut into blocks by a hash, and each pair of its blocks is one product
+    cut = families.join(sizes, "family").withColumn("blocks", F.when(F.col("m") <= family_rows // 2, 1).otherwise(F.ceil(F.col("m") / family_rows)).cast("int"))
+    cut = cut.withColumn("key", F.when(F.col("m") <= family_rows // 2, F.pmod(F.xxhash64("family"), F.lit(bins)).cast("string")).otherwise(F.hex("family")))
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("mark"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.select("mark", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"))
+    rows_of = cut.join(labels, "mark").join(classes.select("mark", "n", "grams"), "mark")
+    found_links = checkpointed(rows_of.groupBy("key", "i", "j").applyInArrow(_block_product(num, den), "a binary, b binary"))
+    if not found_links.isEmpty():
+        labels = relabelled(links.select("a", "b").unionByName(found_links))
     smallest = classes.select("mark", "smallest").join(labels, "mark")
     least = smallest.groupBy("label").agg(F.min("smallest").alias("component_id"))
     of_class = smallest.join(least, "label").select("mark", "component_id")
