@@ -52,6 +52,17 @@ def ngram_set(text: str, words: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(grams ^ (grams >> np.uint64(29)))
 
 
+def _thin(grams: np.ndarray) -> bytes:
+    """The low 40 bits of hashes: all a column block needs, as the upper bits chose the block."""
+    return np.ascontiguousarray(grams, "<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _thick(data: bytes, block: int) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel() | np.uint64(block << 40)
+
+
 def _incidence(words: int, blocks: int, chunk_tokens: int):
     """Rows of text in, column blocks of the incidence matrix out; one more row per chunk names its documents."""
 
@@ -77,7 +88,7 @@ def _incidence(words: int, blocks: int, chunk_tokens: int):
             for b in range(blocks):
                 i, j = ends[b], ends[b + 1]
                 if i < j:
-                    out.append((b, base + at, None, np.bincount(owner[i:j], minlength=len(sets)).astype("<u4").tobytes(), grams[i:j].tobytes()))
+                    out.append((b, base + at, None, np.bincount(owner[i:j], minlength=len(sets)).astype("<u4").tobytes(), _thin(grams[i:j])))
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out, strict=True), kinds.values(), strict=True)], list(kinds))
 
         for part in parts:
@@ -99,13 +110,14 @@ def _shared(table):
     import pyarrow as pa
 
     chunks, names, counts, grams = (table.column(k).to_pylist() for k in ("chunk", "names", "counts", "grams"))
-    parts = [np.frombuffer(g, np.uint64) if g is not None else np.zeros(0, np.uint64) for g in grams]
+    block = table.column("block")[0].as_py()
+    parts = [_thick(g or b"", block) for g in grams]
     _, inverse, times = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_inverse=True, return_counts=True)
     weights = np.minimum(np.ceil(8 * np.log2(times)), 255).astype(np.uint8)[inverse]
     out, at = [], 0
     for chunk, name, count, part in zip(chunks, names, counts, parts, strict=True):
         if name is not None:
-            out.append((chunk, name, None, None, None))
+            out.append((block, chunk, name, None, None, None))
             continue
         weight = weights[at : at + len(part)]
         at += len(part)
@@ -113,9 +125,9 @@ def _shared(table):
         count = np.frombuffer(count, "<u4")
         owner = np.repeat(np.arange(len(count)), count)[keep]
         if len(owner):
-            out.append((chunk, None, np.bincount(owner, minlength=len(count)).astype("<u4").tobytes(), part[keep].tobytes(), weight[keep].tobytes()))
-    kinds = {"chunk": pa.int64(), "names": pa.binary(), "counts": pa.binary(), "grams": pa.binary(), "weights": pa.binary()}
-    columns = list(zip(*out, strict=True)) or [()] * 5
+            out.append((block, chunk, None, np.bincount(owner, minlength=len(count)).astype("<u4").tobytes(), _thin(part[keep]), weight[keep].tobytes()))
+    kinds = {"block": pa.int32(), "chunk": pa.int64(), "names": pa.binary(), "counts": pa.binary(), "grams": pa.binary(), "weights": pa.binary()}
+    columns = list(zip(*out, strict=True)) or [()] * 6
     return pa.table({k: pa.array(list(v), t) for (k, t), v in zip(kinds.items(), columns, strict=True)})
 
 
@@ -130,10 +142,10 @@ def _documents(num: int, den: int):
         names, known = np.frombuffer(head, "<i8", n, 4), np.frombuffer(head, np.uint8, n, 4 + 8 * n)
         sizes, marks = np.frombuffer(head, "<u4", n, 4 + 9 * n), head[4 + 13 * n :]
         owners, grams, weights = [], [], []
-        for count, gram, weight in zip(*(table.column(k).to_pylist() for k in ("counts", "grams", "weights")), strict=True):
+        for block, count, gram, weight in zip(*(table.column(k).to_pylist() for k in ("block", "counts", "grams", "weights")), strict=True):
             if gram is not None:
                 owners.append(np.repeat(np.arange(n), np.frombuffer(count, "<u4")))
-                grams.append(np.frombuffer(gram, np.uint64))
+                grams.append(_thick(gram, block))
                 weights.append(np.frombuffer(weight, np.uint8))
         owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
         shared = np.bincount(owner, minlength=n)
@@ -262,7 +274,7 @@ def _could_link(num: int, den: int) -> Column:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100, block_bytes: int = 6_000_000, chunk_tokens: int = 2_000_000, hub_rounds: int = 2, family_rows: int = 1024) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100, block_bytes: int = 6_000_000, chunk_tokens: int = 2_000_000, hub_rounds: int = 1, family_rows: int = 1024) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable by links, its own included).
 
     Two rows link when ``den * intersection >= num * union`` of their sets of distinct ``words``-word n-grams (A-Z lowered, words are runs of anything but
@@ -276,7 +288,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = rows.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
     incidence = rows.mapInArrow(_incidence(words, blocks, chunk_tokens), "block int, chunk long, names binary, counts binary, grams binary")
-    shared = incidence.groupBy("block").applyInArrow(_shared, "chunk long, names binary, counts binary, grams binary, weights binary")
+    shared = incidence.groupBy("block").applyInArrow(_shared, "block int, chunk long, names binary, counts binary, grams binary, weights binary")
     found = checkpointed(shared.groupBy("chunk").applyInArrow(_documents(num, den), "doc_id long, n long, mark binary, grams binary"))
     alive = found.filter("mark is not null")
     classes = checkpointed(alive.groupBy("mark").agg(F.min("doc_id").alias("smallest"), F.any_value("n").alias("n"), F.any_value("grams").alias("grams")))

@@ -7,11 +7,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, hilbert, mixing, ngram_jaccard, packing, simple8b
+from . import ann_graph, exact_dedup, hilbert, language_id, mixing, ngram_jaccard, packing, simple8b
 from .common import shared_dir, table
 from .tokens import tokenizer_path
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    names, logs = language_id.train(docs.filter(F.coalesce(~held_out, F.lit(True))))
+    return language_id.predict(docs.select("doc_id", "text"), names, logs).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+
+
+def op2_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ann_graph.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+    return out.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,6 +66,8 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_graph_neighbours": op2_graph_neighbours,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_exact_dedup": op5_exact_dedup,
