@@ -1,2 +1,66 @@
-"""placeholder"""
-run = None
+"""From raw documents to packed training sequences, in five stages; each is written as Parquet and read again by the next."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trailmark.llm import exact_dedup, language_id, mixing, ngram_jaccard, packing
+from trailmark.llm.common import lower_ascii, shared_dir, table
+from trailmark.llm.tokens import tokenizer_path
+
+LEAST_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from the labelled rows; documents without an identifiable language (``und``, or a posterior below ``LEAST_SCORE``) go."""
+    names, logs = language_id.train(docs)
+    judged = language_id.predict(docs, names, logs, keep=docs.columns)
+    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the largest id stays. Rows that repeat id and text share that verdict."""
+    verdicts = exact_dedup.exact_duplicates(docs, keep="largest")
+    gone = verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
+    named = docs.withColumn("__own", F.sha2(lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256))
+    return named.join(gone, (F.col("__own") == F.col("__sha")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the smallest id stays; rows with a null id cannot be named and stay."""
+    groups = ngram_jaccard.near_duplicates(docs)
+    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats each document as often as the mix takes it; none of it is left where that is zero."""
+    mixed = mixing.balanced_copies(docs)
+    # rows that repeat id, source and size get the mean of their copies, so that the join cannot multiply them
+    copies = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size")).agg(F.round(F.avg("copies")).cast("int").alias("__copies"))
+    sized = docs.withColumn("__own", mixing.word_count(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__size"))
+    taken = sized.join(copies, same).filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return taken.select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of binary lengths with their ids, none holding two documents."""
+    return packing.binary_pieces(docs, tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES = [("language_id", identify_language), ("exact_dedup", drop_copies), ("ngram_jaccard", drop_near_copies), ("entropy_mix", mix_sources), ("binary_packing", pack)]
+
+#: Hashed naive Bayes, Newton steps and a tokenizer cannot be said in SQL; tests hold each stage against a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, base = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        docs = spark.read.parquet(f"{base}/{name}")
+    return docs

@@ -93,7 +93,7 @@ def predict(docs: DataFrame, names: list[str], logs: np.ndarray, id_col: str = "
         langs, weights, prior = model.value
         for part in parts:
             best, scores = [], []
-            for text in part.column(part.num_columns - 1):
+            for text in part.column(place):
                 text = text.as_py() or ""
                 counts = gram_counts(text, bits) if langs else None
                 some = np.flatnonzero(counts) if langs else ()
@@ -105,9 +105,11 @@ def predict(docs: DataFrame, names: list[str], logs: np.ndarray, id_col: str = "
                 top = int(np.argmax(total))
                 best.append(langs[top])
                 scores.append(float(1 / np.exp(total - total[top]).sum()))
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(best, pa.string()), pa.array(scores, pa.float64())], [*out_names])
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(best, pa.string()), pa.array(scores, pa.float64())], [*out_names])
 
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
+    held = text_col in keep
+    place = keep.index(text_col) if held else len(keep)
+    rows = docs.select(*keep, *[F.col(text_col).cast("string").alias("__text")] * (not held))
     out_names = [*keep, "lang_pred", "score"]
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(score, schema)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_graph, exact_dedup, hilbert, language_id, mixing, ngram_jaccard, packing, simple8b
+from . import ann_graph, exact_dedup, hilbert, language_id, license_scan, mixing, ngram_jaccard, packing, secret_scan, simple8b
 from .common import shared_dir, table
-from .tokens import tokenizer_path
+from .tokens import token_pattern, tokenizer_path
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,41 @@ def op6_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    base, both = F.array_distinct("base.label"), F.array_distinct(F.concat("base.label", "matches.label"))
+    best = F.coalesce(F.array_max("matches.score"), F.lit(0.0))
+    return out.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.word").alias("first_word"),
+        F.array_max("base.word").alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(both), ",").alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(best).alias("score"),
+        "matches",
+    )
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), token_pattern())
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    return out.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_simple8b_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/token-ids-{uuid.uuid4().hex}"
     simple8b.write_ids(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
@@ -72,7 +107,9 @@ QUERIES = {
     "op4_hilbert_shards": op4_hilbert_shards,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_binary_packing": op6_binary_packing,
+    "op7_license_scan": op7_license_scan,
     "op8_simple8b_ids": op8_simple8b_ids,
+    "op9_secret_scan": op9_secret_scan,
     "op10_entropy_mix": op10_entropy_mix,
 }
 ORACLES = {"op5_exact_dedup": OP5_SQL}

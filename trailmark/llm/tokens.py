@@ -27,6 +27,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def token_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 class Encoder:
     """``ids(texts)``: for each text its ids as little-endian unsigned 32-bit bytes.
 
