@@ -89,7 +89,7 @@ def builtin_sessions(rows: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
     """The same sessions by ``session_window`` (whose gap merges an event exactly at its end), as a cross-check and for streams without cart claims."""
     known = identified(rows).filter("identity is not null")
     grouped = known.groupBy("identity", F.session_window("occurred_at", f"{timeout_s} seconds").alias("w"))
-    return grouped.agg(F.min("occurred_at").alias("session_start"), F.max("occurred_at").alias("session_end"), F.count("*").alias("event_count"))
+    return grouped.agg(F.min("occurred_at").alias("session_start"), F.max("occurred_at").alias("session_end"), F.count("*").alias("event_count")).drop("w")
 
 
 def fragments(sessions_: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:

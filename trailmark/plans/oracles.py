@@ -37,7 +37,7 @@ rw AS (SELECT *, CAST(occurred_at AS DATE) AS day, CASE WHEN url IS NULL OR url
 rt AS (SELECT *, CASE WHEN path = '/' THEN 'home' WHEN starts_with(path, '/products/') THEN 'pdp' WHEN starts_with(path, '/collections/') THEN 'collection' WHEN starts_with(path, '/checkout') THEN 'checkout' ELSE 'other' END AS ptype,
   nullif(trim(replace(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '+', ' ')), '') AS utm FROM rw),
 g0 AS (SELECT *, lag(occurred_at) OVER (PARTITION BY identity ORDER BY occurred_at, seq) AS prev FROM rt WHERE identity IS NOT NULL),
-g1 AS (SELECT *, sum(CASE WHEN prev IS NULL OR date_diff('microsecond', prev, occurred_at) > {timeout_s} * 1000000 THEN 1 ELSE 0 END) OVER (PARTITION BY identity ORDER BY occurred_at, seq ROWS UNBOUNDED PRECEDING)::BIGINT AS session_no FROM g0),
+g1 AS (SELECT *, sum(CASE WHEN prev IS NULL OR date_diff('microsecond', prev, occurred_at) > {timeout_s * 1_000_000} THEN 1 ELSE 0 END) OVER (PARTITION BY identity ORDER BY occurred_at, seq ROWS UNBOUNDED PRECEDING)::BIGINT AS session_no FROM g0),
 g2 AS (SELECT *, sha1(concat_ws('|', identity, CAST(session_no AS VARCHAR))) AS session_id, row_number() OVER (PARTITION BY identity, session_no, event_name, product_id ORDER BY occurred_at, seq) AS claim FROM g1),
 ins AS (SELECT * FROM g2 WHERE event_name <> 'product_added_to_cart' OR product_id IS NULL OR claim = 1),
 ev AS (SELECT * EXCLUDE (prev, claim) FROM ins UNION ALL BY NAME SELECT *, NULL::BIGINT AS session_no, sha1(event_id) AS session_id FROM rt WHERE identity IS NULL),
@@ -46,7 +46,7 @@ ss AS (SELECT identity, session_no, session_id, min(occurred_at) AS session_star
   count(*) FILTER (event_name = 'product_added_to_cart') AS add_to_cart_count, count(*) FILTER (event_name = 'checkout_started') AS checkout_started_count, count(*) FILTER (event_name = 'scroll_depth') AS scroll_count,
   count(*) FILTER (click_bucket = 'useful_click') AS useful_click_count, count(*) FILTER (click_bucket = 'dead_click') AS dead_click_count,
   last(client_id ORDER BY occurred_at, seq) FILTER (client_id IS NOT NULL) AS client_id, first(utm ORDER BY occurred_at, seq) FILTER (utm IS NOT NULL) AS first_utm_source,
-  list(event_name ORDER BY occurred_at, seq, event_name) AS names, date_diff('millisecond', min(occurred_at), max(occurred_at)) AS ms, CAST(min(occurred_at) AS DATE) AS sday FROM ins GROUP BY ALL),
+  list(event_name ORDER BY occurred_at, seq, event_name) AS names, date_diff('microsecond', min(occurred_at), max(occurred_at)) // 1000 AS ms, CAST(min(occurred_at) AS DATE) AS sday FROM ins GROUP BY ALL),
 sw AS (SELECT *, session_no < max(session_no) OVER (PARTITION BY identity) OR session_end < (SELECT max(session_end) FROM ss) - INTERVAL {timeout_s + 60} SECOND AS closed FROM ss),
 en AS (SELECT session_id, coalesce(first(ptype ORDER BY occurred_at, seq) FILTER (event_name = 'page_viewed' AND url <> ''), 'other') AS entry_page_type,
   coalesce(max(list_position(['other', 'home', 'collection', 'pdp', 'checkout'], ptype)) FILTER (event_name = 'page_viewed' AND url <> ''), 1) AS page_rank,
