@@ -44,7 +44,8 @@ def tilts(cells: DataFrame, targets: DataFrame, most: int = 3, rounds: int = 60,
 
     These rates are nearest to 1 in relative entropy (within 0 and ``most``) of all that meet each source's target. One Newton step
     for all sources is one distributed sum over the (source, size) counts, kept inside a bracket that halves when a step
-    leaves it. The driver sees one number a round: the largest relative miss. A source at its bound gets a null tilt.
+    leaves it. The driver sees one number a round: the largest relative miss. A source at its bound gets a null tilt. Tilts are rounded, so
+    that the order in which partitions were summed leaves no trace.
     """
     base = math.log(1 / (most - 1)) if most > 1 else 0.0
     scale = F.col("source_size") / F.col("source_docs")
@@ -69,7 +70,7 @@ def tilts(cells: DataFrame, targets: DataFrame, most: int = 3, rounds: int = 60,
         state = written(step.select("__s", "target", "scale", "open", F.col("next").alias("tilt"), F.col("nlo").alias("lo"), F.col("nhi").alias("hi"), "off"))
         if (state.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
             break
-    return state.select("__s", "target", "scale", F.when(F.col("open"), F.col("tilt")).alias("tilt"))
+    return state.select("__s", "target", "scale", F.when(F.col("open"), F.round("tilt", 9)).alias("tilt"))
 
 
 def balanced_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cycle: int = 3, most: int = 3, docs_per_cell: int = 50_000) -> DataFrame:
