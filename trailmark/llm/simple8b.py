@@ -19,6 +19,8 @@ COUNTS = (1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (32, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 30)
 MAGIC, BLOCK = b"TMS8", 1024
 HEAD = struct.Struct("<4sIQQQ")  # magic, block size, documents, ids, words
+#: Bits of each id below 65,536; one bit for 0.
+BITS = np.maximum(np.frexp(np.arange(1 << 16))[1], 1).astype(np.uint8)
 
 
 def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -26,7 +28,8 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     blocks = -(-n // block)
     wide = np.full(blocks * block + 60, 255, np.uint8)  # bits of each id; beyond the end nothing fits
-    wide[:n] = np.maximum(np.frexp(ids.astype(np.float64))[1], 1)
+    high = ids >> np.uint32(16)
+    wide[:n] = np.where(high > 0, BITS[np.minimum(high, len(BITS) - 1)] + 16, BITS[ids & np.uint32(0xFFFF)]) if high.any() else BITS[ids]
     best = np.zeros(blocks * block, np.uint8)  # the selector that packs most ids from here on
     most = wide.copy()
     left = np.tile(np.arange(block, 0, -1, dtype=np.uint16), blocks)
