@@ -139,7 +139,8 @@ def build_index(rows: DataFrame, shard_rows: int = 2048, degree: int = 32, beam:
         kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 4, pa.int32())
         return pa.table([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names=["shard", "dim", "ids", "owners", "vectors", "edges", "entry"])
 
-    return checkpointed(dealt.select("shard", "dim", "id", "vector").groupBy("shard", "dim").applyInArrow(build, INDEX))
+    spread = dealt.select("shard", "dim", "id", "vector").repartition(min(shards, 20_000), "shard", "dim")  # a stated number, so that small shards are not merged into one task
+    return checkpointed(spread.groupBy("shard", "dim").applyInArrow(build, INDEX))
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = 128, block_bytes: int = 16 << 20) -> DataFrame:
