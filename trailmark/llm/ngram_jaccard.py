@@ -27,12 +27,12 @@ MIX = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85
 
 
 class WordHashes(dict):
-    """Hashes of words, remembered; emptied when it holds a million."""
+    """Hashes of words, remembered; emptied when it holds 250,000."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 1_000_000:
+        if len(self) >= 250_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -77,10 +77,10 @@ def _incidence(words: int, blocks: int, chunk_tokens: int):
         def made():
             sizes = np.array([len(s) for s in sets], "<u4")
             grams = np.concatenate(sets)
-            owner = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
-            block = (grams >> np.uint64(32)).astype(np.uint64) * np.uint64(blocks) >> np.uint64(32)
-            order = np.argsort(block.astype(np.int32), kind="stable")  # stays in order of documents inside a block
-            grams, owner, block = grams[order], owner[order], block[order].astype(np.int64)
+            owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+            block = ((grams >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int32)
+            order = np.argsort(block, kind="stable")  # stays in order of documents inside a block
+            grams, owner, block = grams[order], owner[order], block[order]
             ends = np.searchsorted(block, np.arange(blocks + 1))
             marks = b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets)
             known = np.array([x is not None for x in names], np.uint8).tobytes()
@@ -274,7 +274,7 @@ def _could_link(num: int, den: int) -> Column:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100, block_bytes: int = 6_000_000, chunk_tokens: int = 2_000_000, hub_rounds: int = 1, family_rows: int = 1024) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100, block_bytes: int = 6_000_000, chunk_tokens: int = 1_000_000, hub_rounds: int = 1, family_rows: int = 1024) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id`` (smallest id reachable by links, its own included).
 
     Two rows link when ``den * intersection >= num * union`` of their sets of distinct ``words``-word n-grams (A-Z lowered, words are runs of anything but
