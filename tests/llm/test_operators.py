@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -188,6 +189,14 @@ def test_components(spark):
     assert got == {i: 0 for i in range(51)} | {100: 100, 101: 100}
 
 
+@pytest.mark.parametrize("n", [300, 2000])
+def test_components_of_shuffled_chains(spark, n):
+    ids = random.Random(n).sample(range(10**9), n)
+    links = spark.createDataFrame([(f"{a:09}".encode(), f"{b:09}".encode()) for a, b in zip(ids, ids[1:], strict=False)], "a binary, b binary")
+    got = {bytes(r.v): bytes(r.label) for r in components.connected_components(links).collect()}
+    assert got == {f"{i:09}".encode(): f"{min(ids):09}".encode() for i in ids}
+
+
 # 4: Hilbert shards
 
 
