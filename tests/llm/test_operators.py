@@ -404,6 +404,17 @@ def test_secret_odd_rows_and_random_strings(spark, odd, empty):
     assert secret_scan.scan_secrets(empty, *args).count() == 0
 
 
+def test_secret_random_letters_and_identifiers(spark):
+    """Keys of letters only (one case or both) and keys that marks cut into such parts are found; long identifiers are not."""
+    draw = random.Random(9)
+    alphabets = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    keys = ["".join(draw.choices(a, k=32)) for a in alphabets for _ in range(20)] + ["kQzXvBnW_jHgTrP_wLmKx-Zq7"]
+    names = ["HAVE_STRUCT_PASSWD_PW_GECOS", "INVALID_UDTF_BOTH_RETURN_TYPE_AND_ANALYZE", "_save_bytearray_no_memo", "COPY_FILE_COPY_SYMLINK", "getElementByClassNameOrReturnNull", "2024-01-02-03-04-05-06", "infer_eval_type_for_udf"]
+    df = spark.createDataFrame([(0, " ".join(keys)), (1, " ".join(names))], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.scan_secrets(df, tokenizer_path("byte_bpe_50k.tiktoken"), token_pattern()).collect()}
+    assert [" ".join(keys)[s.start : s.end] for s in got[0]] == keys and got[1] == []
+
+
 # 10: mixing
 
 

@@ -18,6 +18,7 @@ KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 #: Lengths of hexadecimal digests in common use (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512).
 DIGESTS = (32, 40, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
+WORD = re.compile("[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 HEXES = np.array([chr(b) in "0123456789abcdef" for b in range(256)])
 STRINGS = np.array([chr(b) in "+/_=-" or (b < 128 and chr(b).isalnum()) for b in range(256)])
 
@@ -43,15 +44,20 @@ class TokenEfficiency:
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.least, self.most = least, most_chars_per_token
 
+    def words(self, s: str) -> bool:
+        """Whether the letters of ``s``, cut at capitals and other characters and put in lower case, make words: no fewer characters a token than the threshold."""
+        found = WORD.findall(s)
+        return sum(map(len, found)) >= self.most * sum(len(self.encoding.encode_ordinary(w.lower())) for w in found)
+
     def known(self, s: str) -> bool:
-        """Digests and UUIDs, and identifiers: parts of letters only or digits only, joined by marks or capitals."""
+        """Digests and UUIDs, and identifiers: parts of letters only, digits only or letters and a short number, joined by marks or capitals, whose letters are words."""
         if UUID.fullmatch(s) or (len(s) in DIGESTS and re.fullmatch("[0-9a-f]+|[0-9A-F]+", s)):
             return True
         parts = re.split(r"[-_/+=]+", s.strip("-_/+="))
-        return all(p.isalpha() or p.isdigit() or re.fullmatch("[A-Za-z]+[0-9]{1,6}", p) for p in parts)
+        return all(p.isalpha() or p.isdigit() or re.fullmatch("[A-Za-z]+[0-9]{1,6}", p) for p in parts) and self.words(s)
 
     def random(self, s: str) -> bool:
-        return not self.known(s) and len(s) < self.most * len(self.encoding.encode_ordinary(s))
+        return len(s) < self.most * len(self.encoding.encode_ordinary(s)) and not self.known(s)
 
 
 def base_spans(text: str, raw: bytes, points: np.ndarray) -> list[tuple[str, int, int]]:
