@@ -331,6 +331,17 @@ def test_license_seeds_lose_no_match(data):
     assert found and any(label.split("-")[0] == m[0].split("-")[0] for m in found)
 
 
+def test_license_adjacent_notices_with_edits():
+    """A worse match before the best one of the same stretch of text stays found."""
+    find = license_scan.NoticeSearch().find
+    first, second = "mozila public licence, version 2.0", "mozilla public license, version 2.0"
+    for text in (f"{first} {second}", f"zzz {first} {second} {first} zzz"):
+        got = [(m[0], text[m[1] : m[2]].strip(), m[3]) for m in find(text)]
+        assert got == [("mpl-2.0", t, e) for t, e in [(first, 2), (second, 0), (first, 2)][: text.count("mo")]]
+    text = "licenced undr the gnu general public license, version 2 licensed under the gnu general public license, version 3"
+    assert [(m[0], m[3]) for m in find(text)] == [("gpl-2.0", 2), ("gpl-3.0", 0)]
+
+
 def test_license_odd_rows(odd, empty):
     assert license_scan.scan_licenses(odd).count() == odd.count()
     assert license_scan.scan_licenses(empty).count() == 0

@@ -90,9 +90,14 @@ class NoticeSearch:
                 if at >= 0 and b - a < 2 * (length - k):  # no room for a second one
                     found.append((label, at, at + length, 0, 1.0))
                     continue
-                for m in pattern.finditer(text, a, min(b, len(text))):
-                    edits = sum(m.fuzzy_counts)
-                    found.append((label, m.start(), m.end(), edits, 1 - edits / length))
+                parts = [(a, min(b, len(text)))]
+                while parts:  # the best match of a part, then the parts before and after it
+                    a, b = parts.pop()
+                    m = pattern.search(text, a, b) if b - a >= length - k else None
+                    if m:
+                        edits = sum(m.fuzzy_counts)
+                        found.append((label, m.start(), m.end(), edits, 1 - edits / length))
+                        parts += [(a, m.start()), (m.end(), b)]
         kept: list[tuple[str, int, int, int, float]] = []
         for one in sorted(set(found), key=lambda x: (-x[4], x[1], x[2], x[0])):
             if all(one[2] <= x[1] or one[1] >= x[2] for x in kept):
