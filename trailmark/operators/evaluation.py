@@ -24,7 +24,7 @@ def versions_long(scored: DataFrame, names: tuple[str, ...] = ("V1", "V2", "V3",
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("version"), F.col(f"s_{n}").alias("score"), F.lit(scoring.VERSIONS[n].eligible_thresholds).alias("own"), F.lit(scoring.VERSIONS[n].floor).alias("floor"), F.lit(scoring.VERSIONS[n].high_from_stage).alias("high_from")) for n in names]))
     long = wide.select("session_id", "identity", "day", "stage", "event_count", "page_view_count", "product_view_count", "useful_click_count", "scroll_count", "session_time_spent_ms", "add_to_cart_count", "checkout_started_count", pairs.alias("v")).select("*", "v.*").drop("v")
     able = long.filter((F.col("score") > 0) & (~F.col("own") | (F.col("stage") >= 1)))
-    cuts = able.groupBy("version").agg(scoring.nearest_rank(F.col("score"), 0.35).alias("p35"), scoring.nearest_rank(F.col("score"), 0.72).alias("p72"))
+    cuts = scoring.nearest_ranks(able, "version", F.col("score"), {"p35": (0.35, None), "p72": (0.72, None)}).drop("n")
     out = long.join(F.broadcast(cuts), "version", "left")  # a row per version
     low = (F.col("score") <= 0) | (F.col("score") < F.coalesce("p35", F.lit(0.0))) | (F.col("floor") & (F.col("stage") == 0))
     return out.withColumn("bucket", F.when(low, "low").when((F.col("score") < F.col("p72")) | (F.col("stage") < F.col("high_from")), "medium").otherwise("high"))
@@ -62,7 +62,7 @@ def monotonic(long: DataFrame) -> DataFrame:
 def score_bands(long: DataFrame) -> DataFrame:
     """Equal-frequency bands of positive scores: edges are nearest-rank quintiles, a score's band counts the edges at or below it."""
     positive = long.filter("score > 0")
-    edges = positive.groupBy("version").agg(*[scoring.nearest_rank(F.col("score"), p / 100).alias(f"e{p}") for p in (20, 40, 60, 80)])
+    edges = scoring.nearest_ranks(positive, "version", F.col("score"), {f"e{p}": (p / 100, None) for p in (20, 40, 60, 80)}).drop("n")
     band = reduce(Column.__add__, [(F.col(f"e{p}") <= F.col("score")).cast("int") for p in (20, 40, 60, 80)])
     placed = positive.join(F.broadcast(edges), "version").withColumn("band", band)  # a row per version
     return placed.groupBy("version", "band").agg(F.count("*").alias("n"), F.count_if(F.col("add_to_cart_count") > 0).alias("atc"), F.min("score").alias("lo"), F.max("score").alias("hi"))
@@ -106,8 +106,8 @@ def zero_scores(long: DataFrame) -> DataFrame:
 def threshold_shift(long: DataFrame) -> DataFrame:
     """Per version: P35, P50, P72, P90 of all positive scores and of those with evidence."""
     rows = long.filter("score > 0")
-    cuts = lambda of, tag: [scoring.nearest_rank(of, p / 100).alias(f"{tag}_p{p}") for p in (35, 50, 72, 90)]
-    return rows.groupBy("version").agg(*cuts(F.col("score"), "all"), *cuts(F.when(F.col("stage") >= 1, F.col("score")), "eligible"))
+    cuts = {f"{tag}_p{p}": (p / 100, of) for tag, of in (("all", None), ("eligible", F.col("stage") >= 1)) for p in (35, 50, 72, 90)}
+    return scoring.nearest_ranks(rows, "version", F.col("score"), cuts).drop("n")
 
 
 def duration_bands(long: DataFrame) -> DataFrame:

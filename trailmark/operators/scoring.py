@@ -90,16 +90,23 @@ def register_version(version: Version) -> None:
     VERSIONS[version.name] = version
 
 
-def nearest_rank(values: Column, p: float) -> Column:
-    """The element at ``round_half_even(p * (n - 1))`` of the sorted values of a group."""
-    ordered = F.sort_array(F.collect_list(values))
-    return F.get(ordered, F.bround(p * (F.size(ordered) - 1), 0).cast("int"))
+def nearest_ranks(rows: DataFrame, key: str, value: Column, cuts: dict[str, tuple[float, Column | None]]) -> DataFrame:
+    """Per ``key``: ``n`` values, and for each cut (p, condition or none) the element at ``round_half_even(p * (n - 1))`` of the sorted values with that condition.
+
+    Equal values are counted first, and running counts go over the distinct values only, so that no group of rows is held in one place. Nulls do not count.
+    """
+    whole = F.lit(True)
+    counts = rows.groupBy(key, value.alias("__value")).agg(F.count(value).alias("__n"), *[F.count(F.when(whole if c is None else c, value)).alias(f"__of_{name}") for name, (_, c) in cuts.items()])
+    group = Window.partitionBy(key)
+    upto = group.orderBy("__value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.select(key, "__value", "__n", *[((F.col(f"__of_{name}") > 0) & (F.sum(f"__of_{name}").over(upto) > F.bround(p * (F.sum(f"__of_{name}").over(group) - 1), 0))).alias(f"__past_{name}") for name, (p, _) in cuts.items()])
+    return ranked.groupBy(key).agg(F.sum("__n").alias("n"), *[F.min(F.when(F.col(f"__past_{name}"), F.col("__value"))).alias(name) for name in cuts])
 
 
 def dead_click_p90(sessions: DataFrame) -> DataFrame:
     """Per day, the nearest-rank 90th percentile of dead-click rates over sessions with ten clicks or more."""
-    busy = sessions.filter("click_count >= 10")
-    return busy.groupBy(F.to_date("session_start").alias("day")).agg(nearest_rank(F.col("dead_click_count") / F.col("click_count"), 0.9).alias("p90"))
+    busy = sessions.filter("click_count >= 10").withColumn("day", F.to_date("session_start"))
+    return nearest_ranks(busy, "day", F.col("dead_click_count") / F.col("click_count"), {"p90": (0.9, None)}).select("day", "p90")
 
 
 def scored_sessions(sessions: DataFrame, rows: DataFrame) -> DataFrame:
@@ -114,7 +121,7 @@ def calibration(scored: DataFrame, minimum: int = MIN_SESSIONS, score: str = "sc
     """Per day: P35 and P72 of positive scores with evidence, or the fixed fallback below ``minimum`` of them."""
     able = scored.filter((F.col("status") == "scored") & (F.col("stage") >= 1) & (F.col(score) > 0))
     days = scored.filter("status = 'scored'").groupBy("day").agg(F.count("*").alias("scored"))
-    cuts = able.groupBy("day").agg(F.count("*").alias("n"), nearest_rank(F.col(score), 0.35).alias("a"), nearest_rank(F.col(score), 0.72).alias("b"))
+    cuts = nearest_ranks(able, "day", F.col(score), {"a": (0.35, None), "b": (0.72, None)})
     out = days.join(cuts, "day", "left").withColumn("own", F.coalesce("n", F.lit(0)) >= minimum)
     return out.select("day", "scored", F.coalesce("n", F.lit(0)).alias("population"), F.when(F.col("own"), F.col("a")).otherwise(FALLBACK[0]).alias("p35"), F.when(F.col("own"), F.col("b")).otherwise(FALLBACK[1]).alias("p72"), F.when(F.col("own"), "percentile").otherwise("fixed_fallback").alias("basis"))
 
