@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmark.llm import exact_dedup, language_id, mixing, ngram_jaccard, packing
-from trailmark.llm.common import lower_ascii, shared_dir, table
+from trailmark.llm.common import lower_ascii, shared_dir, table, written
 from trailmark.llm.tokens import tokenizer_path
 
 LEAST_SCORE = 0.5
@@ -30,10 +30,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the smallest id stays; rows with a null id cannot be named and stay."""
-    groups = ngram_jaccard.near_duplicates(docs)
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near copies exactly one row stays: of the smallest id, null ids last, and any one of rows that repeat it."""
+    keyed = written(docs.withColumn("__row", F.monotonically_increasing_id()))  # written, so that a row keeps its key
+    groups = ngram_jaccard.near_duplicates(keyed, id_col="__row").select("__row", "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))
+    kept = keyed.select("doc_id", "__row").join(groups, "__row").groupBy("component_id").agg(first.alias("first")).select("first.__row")
+    return keyed.join(kept, "__row", "left_semi").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,6 +68,14 @@ def test_near_stage(stages):
     assert sorted(r.doc_id for r in after) == sorted(name for name, _, component in found if name == component)
 
 
+def test_near_stage_repeated_and_null_ids(spark):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcd")
+    rows = [(1, a), (2, f"{a} x"), (2, b), (None, f"{a} y"), (3, c), (3, c), (3, f"{c} x"), (None, d), (None, f"{d} x"), (4, ""), (4, None)]
+    made = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    got = Counter((r.doc_id, (r.text or "-")[0]) for r in made)
+    assert got == Counter([(1, "a"), (2, "b"), (3, "c"), (None, "d"), (4, "-"), (4, "-")])
+
+
 def test_mix_stage(stages):
     before, after, *_ = stages["entropy_mix"]
     words = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in before}
