@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
 from .tokens import batches, encoder
 
 PIECES = "id long, start long, length long, bucket int, doc_tokens long, ids binary"
@@ -18,14 +19,15 @@ def piece_lengths(n: int, longest: int) -> list[int]:
     return [longest] * whole + [1 << b for b in range(longest.bit_length() - 2, -1, -1) if rest >> b & 1]
 
 
-def binary_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, longest: int = 4096) -> DataFrame:
+def binary_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, longest: int = 4096, memo_bytes: int = 100_000_000) -> DataFrame:
     """The pieces of all documents: id, ``start``, ``length``, ``bucket`` (log2 of the length), ``doc_tokens``, ``ids`` (little-endian
     unsigned 32-bit), ``sequence_id``, ``offset``.
 
     A document's ids under the tokenizer at ``path`` and one ``end_id`` are cut into pieces whose lengths are powers of two up to
     ``longest``. A piece is a sequence: batches are drawn from one bucket, so nothing is padded and no sequence holds two documents.
-    Work is by document in Arrow batches, without a shuffle; memory grows with the longest text only. ``sequence_id`` follows the
-    order of the input partitions.
+    Work is by document in Arrow batches, without a shuffle; memory grows with the longest text only, beside twice ``memo_bytes`` a worker for
+    ids already looked up. ``sequence_id`` follows the order of the input partitions. The string of a special token in a text becomes that
+    token's id, as in the library.
 
     Null or empty text: one piece of length 1, the end id. Null or repeated ids are carried as they are, each row packed by itself.
     An empty table gives no rows; other columns are ignored.
@@ -35,7 +37,7 @@ def binary_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         import numpy as np
         import pyarrow as pa
 
-        encode, end = encoder(path, False), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(path, False, memo_bytes=memo_bytes), np.array([end_id], "<u4").tobytes()
         for part in parts:
             names, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
             for a, b in batches(texts):
@@ -49,6 +51,7 @@ def binary_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                         start += k
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
+        release()
 
     rows = docs.select(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     pieces = rows.mapInArrow(cut, PIECES).withColumnRenamed("id", id_col)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import release
 from .tokens import batches, encoder
 
 #: Fixed values of the format: selector s packs COUNTS[s] ids of WIDTHS[s] bits in the low 60 bits of a word; selector 0 is an escape, a run
@@ -127,7 +128,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id"
 
     Rows are dealt by ranges of the id, so file k holds smaller ids than file k + 1, and are sorted in each file. A file is a Parquet
     container, which any store takes that Spark can write to; each of its rows is a segment of about ``segment_ids`` ids (never
-    part of a document) in the format above. Null text counts as empty.
+    part of a document) in the format above. Null text counts as empty. The string of a special token in a text becomes that token's id, as
+    in the library.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), text.alias("__text"))
@@ -157,6 +159,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id"
                         names, lengths, held, total, at = [], [], [], 0, at + 1
         if names:
             yield made()
+        release()
 
     rows.mapInArrow(encode, "file int, segment int, n_docs long, n_ids long, data binary").write.option("compression", "none").parquet(path)
 

@@ -13,12 +13,13 @@ import re
 from collections.abc import Iterator
 
 #: The code points with Unicode's White_Space property, which the tokenizers' ``\\s`` stands for.
-SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", ".,!?;:|&$%*#"
+SPACE = "\t-\r \x85\xa0  -     　"
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,!?;:|&$%*#"
 PIECE = re.compile(rf"[{SPACE}]*[{LETTERS}]+(?=[{MARKS}{SPACE}]|\Z)|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Where cutting before every blank might cut inside a run of white space; begins with a literal, which is searched fast.
 RUNS = re.compile(rf" (?:[{SPACE}]|\Z)")
-MEMO_ENTRIES = 600_000
+#: What a remembered piece takes beside its characters and ids (two objects and a place in a table), and the longest piece remembered.
+ENTRY_BYTES, LONGEST = 220, 64
 
 
 def tokenizer_path(name: str) -> str:
@@ -33,23 +34,50 @@ def token_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+class Memo:
+    """Ids by piece in two generations of about ``most`` bytes each: a full young one becomes the old one, and what is met again moves back.
+
+    So memory is bounded by bytes on any corpus, and frequent pieces stay.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.bytes = most, 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def add(self, found: dict[str, bytes]) -> None:
+        short = found if not found or max(map(len, found)) <= LONGEST else {p: ids for p, ids in found.items() if len(p) <= LONGEST}
+        more = ENTRY_BYTES * len(short) + sum(map(len, short)) + sum(map(len, short.values()))
+        if self.bytes + more > self.most:
+            self.old, self.young, self.bytes = self.young, {}, 0
+        self.young |= short
+        self.bytes += more
+
+    def get(self, pieces: list[str]) -> dict[str, bytes]:
+        """Those of ``pieces`` that are known."""
+        found = {p: ids for p, ids in zip(pieces, map(self.young.get, pieces), strict=True) if ids is not None}
+        older = {p: ids for p, ids in zip(pieces, map(self.old.get, pieces), strict=True) if ids is not None and p not in found}
+        self.add(older)
+        return found | older
+
+
 class Encoder:
-    """``ids(texts)``: for each text its ids as little-endian unsigned 32-bit bytes.
+    """``ids(texts)``: for each text its ids as little-endian unsigned 32-bit bytes, as ``encode(text, add_special_tokens=False)`` gives them.
 
-    Words are looked up first, then their pieces, and only unknown pieces go to the library, all of a batch in one call.
-    ``spaces_matter`` is false for a vocabulary of lower-case words that drops white space. The first ``MEMO_ENTRIES`` distinct words and
-    as many pieces are remembered (about 200 MB); later ones are encoded anew, so memory stays bounded on any corpus.
+    Words are looked up first, then their pieces, and only unknown pieces go to the library, all of a batch in one call. ``spaces_matter`` is
+    false for a vocabulary of lower-case words that drops white space. A text that holds the string of a special token is encoded whole, since
+    the library makes one id of it wherever it stands; with ``special_as_text`` such strings are ordinary text.
     """
 
-    def __init__(self, path: str, spaces_matter: bool):
+    def __init__(self, path: str, spaces_matter: bool, special_as_text: bool = False, memo_bytes: int = 100_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaces_matter = spaces_matter
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.memo = Memo(memo_bytes)
 
     def cut(self, text: str) -> list[str]:
         """The words of a text; joined in order they give its ids."""
@@ -59,22 +87,26 @@ class Encoder:
             return PIECE.findall(text)
         return text.replace(" ", "\0 ").split("\0")
 
-    def learn(self, unknown: list[str]) -> dict[str, bytes]:
-        import numpy as np
+    def plain(self, pieces: list[str]) -> list[bytes]:
+        from array import array
 
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def learn(self, unknown: list[str]) -> dict[str, bytes]:
         cut = {w: PIECE.findall(w) for w in unknown}
-        new = [p for p in dict.fromkeys(p for pieces in cut.values() for p in pieces) if p not in self.parts]
-        parts = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        found = {w: b"".join([parts[p] if p in parts else self.parts[p] for p in pieces]) for w, pieces in cut.items()}
-        if len(self.parts) < MEMO_ENTRIES:
-            self.parts |= parts
-        if len(self.words) < MEMO_ENTRIES:
-            self.words |= found
+        pieces = list(dict.fromkeys(p for some in cut.values() for p in some))
+        parts = self.memo.get(pieces)
+        new = [p for p in pieces if p not in parts]
+        made = dict(zip(new, self.plain(new), strict=True))
+        parts |= made
+        found = {w: b"".join([parts[p] for p in some]) for w, some in cut.items()}
+        self.memo.add(made | found)
         return found
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        known = [list(map(self.words.get, words)) for words in cut]
+        whole = {k for k, t in enumerate(texts) if any(s in t for s in self.special)}
+        cut = [[] if k in whole else self.cut(t) for k, t in enumerate(texts)]
+        known = [list(map(self.memo.young.get, words)) for words in cut]
         holes: list[tuple[int, int]] = []
         for k, values in enumerate(known):
             at = -1
@@ -82,24 +114,30 @@ class Encoder:
                 at = values.index(None, at + 1)
                 holes.append((k, at))
         if holes:
-            found = self.learn(list(dict.fromkeys(cut[k][at] for k, at in holes)))
+            unknown = list(dict.fromkeys(cut[k][at] for k, at in holes))
+            found = self.memo.get(unknown)
+            found |= self.learn([w for w in unknown if w not in found])
             for k, at in holes:
                 known[k][at] = found[cut[k][at]]
-        return [b"".join(values) for values in known]
+        out = [b"".join(values) for values in known]
+        for k in whole:
+            (out[k],) = self.plain([texts[k]])
+        return out
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, spaces_matter: bool) -> Encoder:
-    """One encoder a Python worker, whatever the number of its tasks."""
-    key = (path, spaces_matter)
+def encoder(path: str, spaces_matter: bool, special_as_text: bool = False, memo_bytes: int = 100_000_000) -> Encoder:
+    """One encoder a Python worker, whatever the number of its tasks; only the one asked for last is kept."""
+    key = (path, spaces_matter, special_as_text, memo_bytes)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, spaces_matter)
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(*key)
     return _ENCODERS[key]
 
 
-def batches(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def batches(texts: list[str], chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about ``chars`` characters each (a longer text is a range of its own)."""
     begin = total = 0
     for i, text in enumerate(texts):
