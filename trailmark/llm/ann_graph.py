@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed
+from .common import checkpointed, release
 
 INDEX = "shard int, dim int, ids binary, owners binary, vectors binary, edges binary, entry int"
 
@@ -26,11 +24,46 @@ def _distances(queries: np.ndarray, vectors: np.ndarray, picked: np.ndarray) ->
     return np.einsum("qkd,qkd->qk", gap, gap)
 
 
+def exact_distances(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Euclidean distances in double precision; where squares leave its range, of vectors divided by their largest component."""
+    with np.errstate(over="ignore", invalid="ignore", under="ignore"):
+        gap = vectors - query
+        out = np.sqrt(np.einsum("kd,kd->k", gap, gap))
+        far = ~np.isfinite(out) | (out < 1e-140)
+        if far.any():
+            most = np.maximum(np.abs(vectors[far]).max(axis=1), np.abs(query).max())
+            gap = vectors[far] / most[:, None] - query / most[:, None]
+            least = np.maximum(np.abs(gap).max(axis=1), 1e-320)
+            out[far] = np.sqrt(((gap / least[:, None]) ** 2).sum(axis=1)) * least * most
+    return out
+
+
+class Frame:
+    """How a shard's vectors are moved and scaled for its graph: to their middle, and by a power of two, so that squares stay in range.
+
+    Single precision serves where the largest component is no more than 1e6 times the usual one, double precision elsewhere: it only steers the
+    search, and distances returned are taken from the vectors themselves.
+    """
+
+    def __init__(self, vectors: np.ndarray):
+        largest = np.abs(vectors).max(axis=1)
+        self.power = -int(np.frexp(largest.max())[1])
+        scaled = np.ldexp(vectors, self.power)
+        self.middle = np.median(scaled, axis=0)
+        own = np.abs(scaled - self.middle).max(axis=1)
+        self.kind = np.float32 if np.median(own) * 1e6 >= own.max() else np.float64
+
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            moved = np.ldexp(vectors, self.power) - self.middle
+        return np.clip(moved, -1e15, 1e15).astype(self.kind)  # a query far outside the shard is as good at its edge
+
+
 def beam_search(queries: np.ndarray, vectors: np.ndarray, edges: np.ndarray, entry: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """For all queries at once: the ``beam`` nearest nodes met by greedy search from ``entry`` (indices, squared distances; -1 and inf where fewer)."""
     n, q = len(vectors), len(queries)
     pool = np.full((q, beam), -1, np.int64)
-    near = np.full((q, beam), np.inf, np.float32)
+    near = np.full((q, beam), np.inf, vectors.dtype)
     done = np.ones((q, beam), bool)
     seen = np.zeros((q, n + 1), bool)
     seen[:, n] = True  # stands for "no edge"
@@ -115,92 +148,94 @@ def _link_back(batch: np.ndarray, edges: np.ndarray, vectors: np.ndarray, degree
         edges[nodes[some]] = robust_prune(nodes[some], np.concatenate([edges[nodes[some]], more], axis=1), vectors, degree, relax)
 
 
-def build_index(rows: DataFrame, shard_rows: int = 2048, degree: int = 32, beam: int = 64, relax: float = 1.1) -> DataFrame:
+def build_index(rows: DataFrame, shard_rows: int = 8192, degree: int = 24, beam: int = 48, relax: float = 1.1) -> DataFrame:
     """One row a shard: ids, vectors and graph of about ``shard_rows`` vectors of one dimension, dealt by a hash of the id.
 
-    ``rows`` has ``id`` and ``vector`` (array of float), already without unusable vectors. Equal vectors of a shard are one node that owns all their ids.
+    ``rows`` has ``id`` and ``vector`` (array of double), already without unusable vectors. Equal vectors of a shard are one node that owns all
+    their ids. A task holds one shard: about 24 bytes a component of its vectors, beside 8 * ``degree`` bytes a vector.
     """
-    total = rows.count()
-    shards = max(1, -(-total // shard_rows))
+    shards = max(1, -(-rows.count() // shard_rows))
     dealt = rows.withColumns({"shard": F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"), "dim": F.size("vector")})
 
     def build(table):
         import pyarrow as pa
 
         shard, dim = table.column("shard")[0].as_py(), table.column("dim")[0].as_py()
-        vectors = np.ascontiguousarray(table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim), dtype=np.float32)
+        vectors = np.ascontiguousarray(table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim), dtype=np.float64)
         ids = table.column("id").to_numpy()
         order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], vectors[order] + np.float32(0)  # turns -0 to 0
-        nodes, owner = np.unique(vectors.view(f"V{4 * dim}").ravel(), return_inverse=True)
-        nodes = nodes.view(np.float32).reshape(-1, dim)
-        edges, entry = build_graph(nodes, degree, beam, relax)
+        ids, vectors = ids[order], vectors[order] + 0.0  # turns -0 to 0
+        nodes, owner = np.unique(vectors.view(f"V{8 * dim}").ravel(), return_inverse=True)
+        nodes = nodes.view(np.float64).reshape(-1, dim)
+        edges, entry = build_graph(Frame(nodes).of(nodes), degree, beam, relax)
         values = (shard, dim, ids.astype("<i8").tobytes(), owner.astype("<i4").tobytes(), nodes.tobytes(), edges.astype("<i4").tobytes(), entry)
         kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 4, pa.int32())
+        release()
         return pa.table([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names=["shard", "dim", "ids", "owners", "vectors", "edges", "entry"])
 
     spread = dealt.select("shard", "dim", "id", "vector").repartition(min(shards, 20_000), "shard", "dim")  # a stated number, so that small shards are not merged into one task
     return checkpointed(spread.groupBy("shard", "dim").applyInArrow(build, INDEX))
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = 128, block_bytes: int = 16 << 20) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int = 10, beam: int = 192, block_rows: int = 4096) -> DataFrame:
     """(query_id, rank, id, score): the ``k`` nearest found in all shards, by Euclidean distance in double precision, ties to the smaller id.
 
-    Queries (``id``, ``vector``) go to all shards in blocks of at most ``block_bytes``, each one broadcast; a block is one pass over the
-    index. Each shard answers with its best ``k`` per query and Spark merges them, so only query blocks pass the driver.
+    Queries (``id``, ``vector``) are dealt into blocks of about ``block_rows``; each block meets each shard of its dimension in one group of a Spark
+    shuffle, so neither passes the driver. Each group answers with its best ``k`` per query and Spark merges them.
     """
-    spark, dims = index.sparkSession, [r.dim for r in queries.select(F.size("vector").alias("dim")).distinct().collect()]
-    found = None
-    for dim in sorted(dims):
-        own = checkpointed(queries.filter(F.size("vector") == dim))
-        per_block = max(1, block_bytes // (8 * dim + 8))
-        blocks = max(1, -(-own.count() // per_block) * 2 - 1)  # hash blocks of uneven size stay below the bound
-        for b in range(blocks):
-            rows = own.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
-            block = spark.sparkContext.broadcast((np.array([r.id for r in rows], np.int64), np.array([r.vector for r in rows], np.float32).reshape(-1, dim)))
-            part = index.filter(F.col("dim") == dim).mapInArrow(_answers(block, k, beam), "query_id long, id long, score double")
-            found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, id long, score double")
+    shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
+    blocks = max(1, -(-queries.count() // block_rows))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = queries.select(F.size("vector").alias("dim"), F.col("id").alias("query"), F.col("vector").alias("asked"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), each(shards).alias("shard"))
+    both = index.withColumn("block", each(blocks)).unionByName(asked, allowMissingColumns=True)
+    both = both.select("shard", "dim", "block", "ids", "owners", "vectors", "edges", "entry", "query", "asked")
+    spread = both.repartition(min(shards * blocks, 20_000), "shard", "dim", "block")
+    found = spread.groupBy("shard", "dim", "block").applyInArrow(_answers(k, beam), "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
-def _answers(block, k: int, beam: int):
-    def answer(parts: Iterator) -> Iterator:
+def _answers(k: int, beam: int):
+    def answer(table):
         import pyarrow as pa
-
-        own, queries = block.value
-        for part in parts:
-            for _, dim, ids, owners, vectors, edges, entry in zip(*(part.column(i).to_pylist() for i in range(7)), strict=True):
-                nodes = np.frombuffer(vectors, np.float32).reshape(-1, dim)
-                graph = np.frombuffer(edges, "<i4").reshape(len(nodes), -1).astype(np.int64)
-                ids, owners = np.frombuffer(ids, "<i8"), np.frombuffer(owners, "<i4")
-                grouped = np.argsort(owners, kind="stable")  # ids ascend inside a node
-                begins = np.searchsorted(owners[grouped], np.arange(len(nodes) + 1))
-                out: tuple[list, list, list] = ([], [], [])
-                for at in range(0, len(own), 512):
-                    asked, vector = own[at : at + 512], queries[at : at + 512]
-                    pool, _ = beam_search(vector, nodes, graph, entry, max(beam, k + 1))
-                    exact = np.sqrt(_distances(vector.astype(np.float64), nodes.astype(np.float64), np.maximum(pool, 0)))
-                    for q, (met, scores) in enumerate(zip(pool, exact, strict=True)):
-                        kept: list[tuple[float, int]] = []
-                        for node, score in zip(met.tolist(), scores.tolist(), strict=True):
-                            if node >= 0:
-                                mine = ids[grouped[begins[node] : min(begins[node + 1], begins[node] + k + 1)]].tolist()
-                                kept += [(score, i) for i in mine if i != asked[q]]
-                        for score, i in sorted(kept)[:k]:
-                            out[0].append(int(asked[q]))
-                            out[1].append(i)
-                            out[2].append(score)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["query_id", "id", "score"])
+        import pyarrow.compute as pc
+
+        shard, asked = table.filter(pc.is_valid(table.column("ids"))).to_pylist(), table.filter(pc.is_valid(table.column("query")))
+        out: tuple[list, list, list] = ([], [], [])
+        if shard and len(asked):
+            (shard,) = shard
+            dim = shard["dim"]
+            nodes = np.frombuffer(shard["vectors"], np.float64).reshape(-1, dim)
+            graph = np.frombuffer(shard["edges"], "<i4").reshape(len(nodes), -1).astype(np.int64)
+            ids, owners = np.frombuffer(shard["ids"], "<i8"), np.frombuffer(shard["owners"], "<i4")
+            grouped = np.argsort(owners, kind="stable")  # ids ascend inside a node
+            begins = np.searchsorted(owners[grouped], np.arange(len(nodes) + 1))
+            own = asked.column("query").to_numpy()
+            queries = asked.column("asked").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            frame = Frame(nodes)
+            near, near_queries = frame.of(nodes), frame.of(queries)
+            for at in range(0, len(own), 256):
+                pool, _ = beam_search(near_queries[at : at + 256], near, graph, shard["entry"], max(beam, k + 1))
+                for q, met in enumerate(pool, at):
+                    met = met[met >= 0]
+                    scores = exact_distances(queries[q], nodes[met])
+                    kept: list[tuple[float, int]] = []
+                    for node, score in zip(met.tolist(), scores.tolist(), strict=True):
+                        mine = ids[grouped[begins[node] : min(begins[node + 1], begins[node] + k + 1)]].tolist()
+                        kept += [(score, i) for i in mine if i != own[q]]
+                    for score, i in sorted(kept)[:k]:
+                        out[0].append(int(own[q]))
+                        out[1].append(i)
+                        out[2].append(score)
+        release()
+        return pa.table({"query_id": pa.array(out[0], pa.int64()), "id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
 
     return answer
 
 
 def vectors_of(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, vector) of the rows that take part: a null id, and a vector that is null, empty, zero or holds null or non-finite components, takes none."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("vector"))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     return rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
 
 
