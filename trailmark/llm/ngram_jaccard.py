@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, joined_groups, release
 from .components import connected_components
 
 MIX = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -52,15 +52,22 @@ def ngram_set(text: str, words: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(grams ^ (grams >> np.uint64(29)))
 
 
-def _thin(grams: np.ndarray) -> bytes:
-    """The low 40 bits of hashes: all a column block needs, as the upper bits chose the block."""
-    return np.ascontiguousarray(grams, "<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+def _bytes(grams: np.ndarray) -> bytes:
+    return np.ascontiguousarray(grams, "<u8").tobytes()
 
 
-def _thick(data: bytes, block: int) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return out.view("<u8").ravel() | np.uint64(block << 40)
+def _deltas(owner: np.ndarray) -> bytes:
+    """Rising numbers (a document for each n-gram) as one byte a step; a step of 255 or more takes a mark and four bytes of its own at the end."""
+    step = np.diff(owner, prepend=0)
+    wide = step >= 255
+    return np.where(wide, 255, step).astype(np.uint8).tobytes() + step[wide].astype("<u4").tobytes()
+
+
+def _owners(data: bytes, n: int) -> np.ndarray:
+    step = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    wide = step == 255
+    step[wide] = np.frombuffer(data, "<u4", int(wide.sum()), n)
+    return np.cumsum(step)
 
 
 def _incidence(words: int, blocks: int, chunk_tokens: int):
@@ -71,7 +78,7 @@ def _incidence(words: int, blocks: int, chunk_tokens: int):
         import xxhash
 
         hashes, at, base = WordHashes(), 0, TaskContext.get().partitionId() << 32
-        kinds = {"block": pa.int32(), "chunk": pa.int64(), "names": pa.binary(), "counts": pa.binary(), "grams": pa.binary()}
+        kinds = {"block": pa.int32(), "chunk": pa.int64(), "names": pa.binary(), "owners": pa.binary(), "grams": pa.binary()}
         names, sets, held = [], [], 0
 
         def made():
@@ -84,11 +91,12 @@ def _incidence(words: int, blocks: int, chunk_tokens: int):
             ends = np.searchsorted(block, np.arange(blocks + 1))
             marks = b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets)
             known = np.array([x is not None for x in names], np.uint8).tobytes()
-            out = [((at * 7919) % blocks, base + at, b"".join([np.uint32(len(names)).tobytes(), np.array([x or 0 for x in names], "<i8").tobytes(), known, sizes.tobytes(), marks]), None, None)]
+            spread = xxhash.xxh3_64_intdigest(f"{base}:{at}".encode()) % blocks  # where the names pass through
+            out = [(spread, base + at, b"".join([np.uint32(len(names)).tobytes(), np.array([x or 0 for x in names], "<i8").tobytes(), known, sizes.tobytes(), marks]), None, None)]
             for b in range(blocks):
                 i, j = ends[b], ends[b + 1]
                 if i < j:
-                    out.append((b, base + at, None, np.bincount(owner[i:j], minlength=len(sets)).astype("<u4").tobytes(), _thin(grams[i:j])))
+                    out.append((b, base + at, None, _deltas(owner[i:j]), _bytes(grams[i:j])))
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out, strict=True), kinds.values(), strict=True)], list(kinds))
 
         for part in parts:
@@ -101,6 +109,8 @@ def _incidence(words: int, blocks: int, chunk_tokens: int):
                     names, sets, held, at = [], [], 0, at + 1
         if names:
             yield made()
+        hashes.clear()
+        release()
 
     return cut
 
@@ -109,26 +119,28 @@ def _shared(table):
     """One column block: for each chunk its n-grams that occur in two documents or more, with a weight that grows with their number."""
     import pyarrow as pa
 
-    chunks, names, counts, grams = (table.column(k).to_pylist() for k in ("chunk", "names", "counts", "grams"))
     block = table.column("block")[0].as_py()
-    parts = [_thick(g or b"", block) for g in grams]
-    _, inverse, times = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_inverse=True, return_counts=True)
+    columns = [table.column(k) for k in ("chunk", "names", "owners", "grams")]
+    grams = [np.frombuffer(g.as_buffer() or b"", "<u8") if g.is_valid else np.zeros(0, "<u8") for g in columns[3]]
+    _, inverse, times = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
     weights = np.minimum(np.ceil(8 * np.log2(times)), 255).astype(np.uint8)[inverse]
+    del inverse, times
     out, at = [], 0
-    for chunk, name, count, part in zip(chunks, names, counts, parts, strict=True):
-        if name is not None:
-            out.append((block, chunk, name, None, None, None))
+    for chunk, name, owner, part in zip(*columns[:3], grams, strict=True):
+        if name.is_valid:
+            out.append((block, chunk.as_py(), name.as_py(), None, None, None))
             continue
         weight = weights[at : at + len(part)]
         at += len(part)
         keep = weight > 0
-        count = np.frombuffer(count, "<u4")
-        owner = np.repeat(np.arange(len(count)), count)[keep]
-        if len(owner):
-            out.append((block, chunk, None, np.bincount(owner, minlength=len(count)).astype("<u4").tobytes(), _thin(part[keep]), weight[keep].tobytes()))
-    kinds = {"block": pa.int32(), "chunk": pa.int64(), "names": pa.binary(), "counts": pa.binary(), "grams": pa.binary(), "weights": pa.binary()}
+        if keep.any():
+            out.append((block, chunk.as_py(), None, _deltas(_owners(owner.as_py(), len(part))[keep]), _bytes(part[keep]), weight[keep].tobytes()))
+    kinds = {"block": pa.int32(), "chunk": pa.int64(), "names": pa.binary(), "owners": pa.binary(), "grams": pa.binary(), "weights": pa.binary()}
     columns = list(zip(*out, strict=True)) or [()] * 6
-    return pa.table({k: pa.array(list(v), t) for (k, t), v in zip(kinds.items(), columns, strict=True)})
+    made = pa.table({k: pa.array(list(v), t) for (k, t), v in zip(kinds.items(), columns, strict=True)})
+    del weights, grams, out, columns
+    release()
+    return made
 
 
 def _documents(num: int, den: int):
@@ -142,11 +154,11 @@ def _documents(num: int, den: int):
         names, known = np.frombuffer(head, "<i8", n, 4), np.frombuffer(head, np.uint8, n, 4 + 8 * n)
         sizes, marks = np.frombuffer(head, "<u4", n, 4 + 9 * n), head[4 + 13 * n :]
         owners, grams, weights = [], [], []
-        for block, count, gram, weight in zip(*(table.column(k).to_pylist() for k in ("block", "counts", "grams", "weights")), strict=True):
-            if gram is not None:
-                owners.append(np.repeat(np.arange(n), np.frombuffer(count, "<u4")))
-                grams.append(_thick(gram, block))
-                weights.append(np.frombuffer(weight, np.uint8))
+        for own, gram, weight in zip(*(table.column(k) for k in ("owners", "grams", "weights")), strict=True):
+            if gram.is_valid:
+                grams.append(np.frombuffer(gram.as_buffer(), "<u8"))
+                owners.append(_owners(own.as_py(), len(grams[-1])))
+                weights.append(np.frombuffer(weight.as_buffer(), np.uint8))
         owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
         shared = np.bincount(owner, minlength=n)
         stays = (sizes > 0) & (den * shared >= num * sizes.astype(np.int64))
@@ -279,7 +291,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two rows link when ``den * intersection >= num * union`` of their sets of distinct ``words``-word n-grams (A-Z lowered, words are runs of anything but
     ASCII white space). A text shorter than that is one n-gram; without words or text the set is empty and links with nothing.
-    Equal sets always link. ``block_bytes`` of text make one column block, so blocks grow in number, not in size.
+    Equal sets always link. ``block_bytes`` of text make one column block, so blocks grow in number, not in size. An n-gram is a 64-bit hash of its
+    words' hashes, kept whole everywhere: two different ones of a pair with a and b n-grams coincide with a chance of a * b / 2**64.
+
+    What grows: each occurrence of an n-gram costs 9 bytes in the first shuffle, so that one which stands in every document puts 9 bytes a
+    document into its block; a family of m classes that frequent n-grams hold together costs (m / ``family_rows``) ** 2 / 2 block products, since
+    all its pairs are counted. A chunk sends a row to each block it has n-grams for: beyond about 1 TB of text these rows become short, and larger
+    ``block_bytes`` and ``chunk_tokens`` keep their number down.
 
     Null ids are carried and count as no id: a component of null ids only has a null ``component_id``. Rows that repeat an id are
     nodes of their own with that id. An empty table gives no rows; other columns are ignored.
@@ -287,12 +305,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
     total = rows.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
-    incidence = rows.mapInArrow(_incidence(words, blocks, chunk_tokens), "block int, chunk long, names binary, counts binary, grams binary")
-    shared = incidence.groupBy("block").applyInArrow(_shared, "block int, chunk long, names binary, counts binary, grams binary, weights binary")
+    incidence = rows.mapInArrow(_incidence(words, blocks, chunk_tokens), "block int, chunk long, names binary, owners binary, grams binary")
+    shared = incidence.groupBy("block").applyInArrow(_shared, "block int, chunk long, names binary, owners binary, grams binary, weights binary")
     found = checkpointed(shared.groupBy("chunk").applyInArrow(_documents(num, den), "doc_id long, n long, mark binary, grams binary"))
     alive = found.filter("mark is not null")
-    classes = checkpointed(alive.groupBy("mark").agg(F.min("doc_id").alias("smallest"), F.any_value("n").alias("n"), F.any_value("grams").alias("grams")))
-    prefixes = checkpointed(classes.select("mark", "n", "grams").mapInArrow(_prefixes(num, den), "gram long, mark binary, n long, rest long"))
+    classes = checkpointed(alive.groupBy("mark").agg(F.min("doc_id").alias("smallest"), F.count("*").alias("rows"), F.any_value("n").alias("n"), F.any_value("grams").alias("grams")))
+    entries = classes.select("mark", "n", "grams").mapInArrow(_prefixes(num, den), "gram long, mark binary, n long, rest long")
+    met = entries.groupBy("gram").agg(F.count("*").alias("classes")).filter("classes > 1").select("gram")  # a class has a gram once
+    prefixes = checkpointed(entries.join(met, "gram", "left_semi"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = classes.select(F.col("mark").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
@@ -303,7 +323,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def columns_of(labels: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
         """The prefix entries with labels, and the columns that hold more than one label, each with its hub."""
-        own = prefixes.join(labels, "mark")
+        own = prefixes.join(labels, "mark")  # only grams that stand in the prefixes of several classes
         hub = F.min(F.struct(F.xxhash64("mark", F.lit(seed)).alias("h"), "mark", "n", "rest", "label"))
         several = own.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), hub.alias("hub")).filter("lo <> hi")
         return own, several.select("gram", "hub.mark", "hub.n", "hub.rest", "hub.label")
@@ -334,9 +354,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found_links = checkpointed(rows_of.groupBy("key", "i", "j").applyInArrow(_block_product(num, den), "a binary, b binary"))
     if not found_links.isEmpty():
         labels = relabelled(links.select("a", "b").unionByName(found_links))
-    smallest = classes.select("mark", "smallest").join(labels, "mark")
-    least = smallest.groupBy("label").agg(F.min("smallest").alias("component_id"))
-    of_class = smallest.join(least, "label").select("mark", "component_id")
-    linked = alive.select("doc_id", "n", "mark").join(of_class, "mark").select("doc_id", "n", "component_id")
+    smallest = classes.select("mark", "smallest", "rows").join(labels, "mark")
+    least = checkpointed(smallest.groupBy("label").agg(F.min("smallest").alias("component_id"), F.count("*").alias("classes")))
+    of_class = checkpointed(joined_groups(smallest.select("mark", "label", "rows"), least, "label", "classes").select("mark", "component_id", "rows"))
+    linked = joined_groups(alive.select("doc_id", "n", "mark"), of_class, "mark", "rows").select("doc_id", "n", "component_id")
     alone = found.filter("mark is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
