@@ -6,9 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
-from .common import checkpointed
+from .common import checkpointed, numbered, running_start
 
 
 def hilbert_index(coordinates: list[Column], bits: int) -> Column:
@@ -40,58 +40,55 @@ def hilbert_index(coordinates: list[Column], bits: int) -> Column:
     )
 
 
-def string_code(c: Column) -> Column:
-    """The first 6 bytes of a string as a number in the same order; null comes first, as the empty string."""
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(F.coalesce(c.cast("string"), F.lit("")), "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+def _not_above(value: Column):
+    return lambda cut: cut <= value
 
 
-def _below(value: Column):
-    return lambda cut: cut < value
+def cuts(values: DataFrame, bits: int) -> list[tuple]:
+    """Each of ``2 ** bits`` equal shares of all rows that has values of its own, with its smallest value: (value, __n) in, at most ``2 ** bits`` pairs out.
+
+    Counts of distinct values are added up along their order by ranges of it, so that no task holds them all. A value goes to the share in which the
+    first of its rows falls, whatever their number.
+    """
+    placed = running_start(values, ["value"], "__n", "__start")
+    total = placed.agg(F.sum("__n")).first()[0] or 1
+    share = F.expr(f"cast((__start * {1 << bits}L) div {total}L as int)")
+    return [(r.low, r.share) for r in placed.groupBy(share.alias("share")).agg(F.min("value").alias("low")).orderBy("low").collect()]
 
 
 def quantised(df: DataFrame, dims: dict[str, Column], bits: int) -> DataFrame:
-    """Adds ``__cell``: the quantised dimensions packed into one number. Cuts are exact quantiles of pre-aggregated values."""
-    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    """Adds ``__cell``: the quantised dimensions packed into one number. Nulls share the lowest place with the smallest values.
+
+    Cuts are exact: whole values are ranked, strings too, so that values with a long common beginning stay apart.
+    """
     coded = checkpointed(df.withColumns({f"__d{i}": c for i, c in enumerate(dims.values())}))
     cell = F.lit(0)
     for i in range(len(dims)):
-        counts = coded.groupBy(f"__d{i}").agg(F.count("*").alias("__n"))
-        cuts = counts.agg(F.percentile(f"__d{i}", shares, F.col("__n"))).first()[0] or []
-        cuts = F.array(*map(F.lit, sorted(set(cuts)))) if cuts else F.array().cast("array<double>")
         value = F.col(f"__d{i}")
-        cell = cell * (1 << bits) + F.size(F.filter(cuts, _below(value)))
+        found = cuts(coded.filter(value.isNotNull()).groupBy(value.alias("value")).agg(F.count("*").alias("__n")), bits)
+        kind = coded.schema[f"__d{i}"].dataType
+        lows = F.array(*[F.lit(v).cast(kind) for v, _ in found]) if found else F.array().cast(T.ArrayType(kind))
+        shares = F.array(*[F.lit(share) for _, share in found]) if found else F.array(F.lit(0))
+        cell = cell * (1 << bits) + F.get(shares, F.greatest(F.size(F.filter(lows, _not_above(value))) - 1, F.lit(0)))
     return coded.withColumn("__cell", cell).drop(*[f"__d{i}" for i in range(len(dims))])
 
 
-def hilbert_shards(df: DataFrame, dims: dict[str, Column], shards: int, tie: list[str], bits: int = 5, rows_per_run: int = 100_000) -> DataFrame:
-    """``df`` plus ``curve`` (Hilbert index), ``shard`` and ``slot``: rows in curve order, cut into equal runs.
+def hilbert_shards(df: DataFrame, dims: dict[str, Column], shards: int, tie: list[str], bits: int = 5) -> DataFrame:
+    """``df`` plus ``curve`` (Hilbert index), ``shard`` and ``slot``: rows in the order of the curve, cut into equal runs.
 
-    ``dims`` are numeric columns by name, without nulls; equal cells are ordered by a hash of ``tie``, then by ``tie``
-    (rows equal in it are interchangeable). Shard counts differ by one row at most, slots run from 0 in each shard.
-    There are at most ``2 ** (bits * len(dims))`` cells; a cell with more than ``rows_per_run`` rows is split by hash, so
-    no task ranks more than about that many rows whatever one source holds. An empty table gives no rows.
+    ``dims`` are columns of any ordered type, by name; rows of equal cells are ordered by ``tie``, nulls first (rows equal in it are
+    interchangeable). Shard counts differ by one row at most, slots run from 0 in each shard. Rows are numbered by one sort over
+    ranges of (curve, tie), so a cell that holds a third of all rows is cut by ``tie``. An empty table gives no rows.
     """
     names = df.columns
     rows = quantised(df, dims, bits)
-    counts = rows.groupBy("__cell").agg(F.count("*").alias("__n"))
     where = [F.shiftright(F.col("__cell"), bits * (len(dims) - 1 - i)).bitwiseAND(F.lit((1 << bits) - 1)) for i in range(len(dims))]
-    before = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
-    cells = checkpointed(
-        counts.withColumn("curve", hilbert_index(where, bits)).select(
-            "__cell", "curve", F.ceil(F.col("__n") / rows_per_run).cast("int").alias("__parts"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"), "__n"
-        )
-    )
-    total = cells.agg(F.sum("__n")).first()[0] or 0
-    dealt = rows.join(F.broadcast(cells.drop("__n")), "__cell").withColumn("__part", F.pmod(F.xxhash64(*tie), F.col("__parts")))  # cells are bounded
-    parts = dealt.groupBy("curve", "__part").agg(F.count("*").alias("__n"))
-    earlier = Window.partitionBy("curve").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("curve", "__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__earlier"))
-    rank = Window.partitionBy("curve", "__part").orderBy(F.xxhash64(*tie), *tie)
-    placed = dealt.withColumn("__rank", F.row_number().over(rank) - 1).join(parts, ["curve", "__part"])
-    place = F.col("__start") + F.col("__earlier") + F.col("__rank")
-    placed = placed.withColumn("__place", place).withColumn("shard", F.expr(f"cast((__place * {shards}L) div {max(total, 1)}L as int)"))
+    cells = checkpointed(rows.select("__cell").distinct().withColumn("__curve", hilbert_index(where, bits)))  # at most 2 ** (bits * dimensions) rows
+    total = rows.count()
+    placed = numbered(rows.join(F.broadcast(cells), "__cell").withColumnRenamed("__curve", "curve"), ["curve", *tie], "__at")
+    placed = placed.withColumn("shard", F.expr(f"cast((__at * {shards}L) div {max(total, 1)}L as int)"))
     first = F.expr(f"(shard * {total}L + {shards - 1}L) div {shards}L")
-    return placed.withColumn("slot", F.col("__place") - first).select(*names, "curve", "shard", "slot")
+    return placed.withColumn("slot", F.col("__at") - first).select(*names, "curve", "shard", "slot")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

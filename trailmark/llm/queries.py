@@ -31,13 +31,58 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), hilbert.string_code(F.col("source")).alias("__source"), hilbert.string_code(F.col("lang")).alias("__lang")
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.col("source").alias("__source"), F.col("lang").alias("__lang")
     )
-    dims = {"source": F.col("__source"), "lang": F.col("__lang"), "size": F.col("size").cast("double")}
+    dims = {"source": F.col("__source"), "lang": F.col("__lang"), "size": F.col("size")}
     out = hilbert.hilbert_shards(docs, dims, 8, ["doc_id", "text_crc32", "size"])
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+#: CRC-32 of the UTF-8 bytes of t, a byte at a time by the table ``tab``; the polynomial is a fixed value of the checksum.
+CRC32_TABLE_SQL = "ct AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, " + "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END AS c FROM (SELECT i, " * 7 + "CASE WHEN i & 1 = 1 THEN xor(i >> 1, 3988292384) ELSE i >> 1 END AS c FROM range(256) r(i)" + ")" * 8 + ")"
+CRC32_SQL = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::BIGINT)), "
+    "lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"
+)
+
+
+def _hilbert_sql(bits: int, names: list[str]) -> list[str]:
+    """Named expressions that turn quantised coordinates x0, x1, .. of ``q`` into ``curve``, one for each step of the transform."""
+    n, out, last = len(names), [], "q"
+    for b in range(bits - 1, 0, -1):
+        for i in range(n):
+            mask, own = (1 << b) - 1, f"(x{i} & {1 << b}) > 0"
+            swapped = f"(xor(x0, x{i}) & {mask})"
+            new = [f"CASE WHEN {own} THEN xor(x0, {mask}) ELSE " + ("x0" if i == 0 else f"xor(x0, {swapped})") + " END AS x0"]
+            new += [(f"CASE WHEN {own} THEN x{j} ELSE xor(x{j}, {swapped}) END AS x{j}" if j == i else f"x{j}") for j in range(1, n)]
+            step = f"h{b}_{i}"
+            out.append(f"{step} AS (SELECT * EXCLUDE ({', '.join(f'x{j}' for j in range(n))}), {', '.join(new)} FROM {last})")
+            last = step
+    gray = ", ".join("x0 AS g0" if j == 0 else f"{' '.join([])}" + "xor(" * j + "x0" + "".join(f", x{k})" for k in range(1, j + 1)) + f" AS g{j}" for j in range(n))
+    out.append(f"gray AS (SELECT *, {gray} FROM {last})")
+    flip = "0"
+    for b in range(bits - 1, 0, -1):
+        flip = f"xor({flip}, CASE WHEN (g{n - 1} & {1 << b}) > 0 THEN {(1 << b) - 1} ELSE 0 END)"
+    out.append(f"flip AS (SELECT *, {flip} AS f FROM gray)")
+    places = [f"((xor(g{j}, f) >> {b}) & 1)::BIGINT * {1 << (n * b + n - 1 - j)}" for b in range(bits - 1, -1, -1) for j in range(n)]
+    out.append(f"curved AS (SELECT *, {' + '.join(places)} AS curve FROM flip)")
+    return out
+
+
+def op4_sql(shards: int = 8, bits: int = 5) -> str:
+    dims, parts = ["source", "lang", "size"], 1 << bits
+    steps = ["base AS (SELECT doc_id, source, lang, strlen(coalesce(text, '')) + 1 AS size, coalesce(text, '') AS t FROM documents)"]
+    for j, d in enumerate(dims):
+        steps.append(f"v{j} AS (SELECT v, least(((sum(n) OVER (ORDER BY v)) - n) * {parts} // (sum(n) OVER ()), {parts - 1})::INTEGER AS share FROM (SELECT {d} AS v, count(*) AS n FROM base WHERE {d} IS NOT NULL GROUP BY ALL))")
+        steps.append(f"c{j} AS (SELECT v, share AS x FROM v{j})")
+    steps.append("q AS (SELECT doc_id, size, t, " + ", ".join(f"coalesce(c{j}.x, 0)::INTEGER AS x{j}" for j in range(3)) + " FROM base " + " ".join(f"LEFT JOIN c{j} ON base.{d} = c{j}.v" for j, d in enumerate(dims)) + ")")
+    steps += [*_hilbert_sql(bits, dims), CRC32_TABLE_SQL]
+    steps.append(f"crc AS (SELECT * EXCLUDE (tab), {CRC32_SQL} AS text_crc32 FROM curved, ct)")
+    steps.append("placed AS (SELECT *, row_number() OVER (ORDER BY curve, doc_id NULLS FIRST, text_crc32, size) - 1 AS place, count(*) OVER () AS total FROM crc)")
+    steps.append(f"sh AS (SELECT *, (place * {shards} // total)::INTEGER AS shard FROM placed)")
+    return f"WITH {', '.join(steps)} SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, shard, place - (shard * total + {shards - 1}) // {shards} AS slot, NULL::INTEGER AS grown_shard, curve FROM sh"
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -112,4 +157,4 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_entropy_mix": op10_entropy_mix,
 }
-ORACLES = {"op5_exact_dedup": OP5_SQL}
+ORACLES = {"op4_hilbert_shards": op4_sql(), "op5_exact_dedup": OP5_SQL}
