@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, lower_ascii
+from .common import checkpointed, joined_groups, lower_ascii
 
 
 def content_hash(text: Column) -> Column:
@@ -19,7 +19,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Texts are equal when identical after lower-casing A-Z; a null text counts as empty. ``keep`` says which id of
     equal texts stays, "smallest" or "largest". Bytes decide, not hashes: texts are grouped by hash *and* bytes (copies
     collapse before the shuffle), and only a hash that stands for one text is joined back by hash alone; colliding
-    texts (never seen with ``content_hash``) are joined by their bytes.
+    texts (never seen with ``content_hash``) are joined by their bytes. Rows of very common texts are not sent to one task (see ``joined_groups``).
 
     Null ids never stay unless all ids of the text are null (then all those rows do, with ``keep_id`` null). Rows that
     repeat id and text are one document: they share the verdict. An empty table gives no rows; other columns are ignored.
@@ -33,7 +33,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         texts.groupBy("__hash").agg(F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"), F.count("*").alias("__texts"))
     )
     thin = rows.select("__id", "__hash", F.sha2("__text", 256).alias("text_sha256"))
-    out = thin.join(hashes.filter("__texts = 1").drop("__texts"), "__hash")
+    out = joined_groups(thin, hashes.filter("__texts = 1").drop("__texts"), "__hash", "group_size")
     collided = hashes.filter("__texts > 1").select("__hash")
     if not collided.isEmpty():
         doubtful = rows.join(collided, "__hash", "left_semi")
