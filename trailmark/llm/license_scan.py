@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
+
 #: Phrases found word by word, and their labels.
 PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
 #: Short notices searched with errors, and their labels.
@@ -69,40 +72,46 @@ class NoticeSearch:
             self.seeds.add_word(piece, (len(piece), places))
         self.seeds.make_automaton()
 
+    def _around(self, text: str, i: int, a: int, b: int, found: set) -> None:
+        """Matches of notice ``i`` inside a window no longer than itself and twice its errors: the best one, then what stands before and after it."""
+        pattern, length, k, label = self.notices[i]
+        parts = [(a, min(b, len(text)))]
+        while parts:
+            a, b = parts.pop()
+            if b - a < length - k:
+                continue
+            at = text.find(self.exact[i], a, b)
+            if at >= 0:
+                start, end, edits = at, at + length, 0
+            else:
+                m = pattern.search(text, a, b)
+                if not m:
+                    continue
+                start, end, edits = m.start(), m.end(), sum(m.fuzzy_counts)
+            found.add((label, start, end, edits, 1 - edits / length))
+            parts += [(a, start), (end, b)]
+
     def find(self, text: str) -> list[tuple[str, int, int, int, float]]:
-        """(label, start, end, edits, score) in code points of ``text`` (already lower case, blanks flattened); of overlapping matches the best stays."""
-        windows: dict[int, list[list[int]]] = {}
+        """(label, start, end, edits, score) in code points of ``text`` (already lower case, blanks flattened).
+
+        Each seed is searched in its own window, so time grows with the number of seeds and not with its square. Of overlapping matches the best
+        stays (fewest edits for its length, then the first, then the shorter, then the label in order).
+        """
+        found: set[tuple[str, int, int, int, float]] = set()
+        done: set[tuple[int, int]] = set()
         for end, (size, places) in self.seeds.iter(text):
             for i, offset in places:
-                _, length, k, _ = self.notices[i]
-                a = max(0, end + 1 - size - offset - k)
-                b = end + 1 - size - offset + length + k
-                own = windows.setdefault(i, [])
-                if own and a <= own[-1][1] and own[-1][0] <= a:
-                    own[-1][1] = max(own[-1][1], b)
-                else:
-                    own.append([a, b])
-        found = []
-        for i, own in windows.items():
-            pattern, length, k, label = self.notices[i]
-            for a, b in own:
-                at = text.find(self.exact[i], a, b)
-                if at >= 0 and b - a < 2 * (length - k):  # no room for a second one
-                    found.append((label, at, at + length, 0, 1.0))
-                    continue
-                parts = [(a, min(b, len(text)))]
-                while parts:  # the best match of a part, then the parts before and after it
-                    a, b = parts.pop()
-                    m = pattern.search(text, a, b) if b - a >= length - k else None
-                    if m:
-                        edits = sum(m.fuzzy_counts)
-                        found.append((label, m.start(), m.end(), edits, 1 - edits / length))
-                        parts += [(a, m.start()), (m.end(), b)]
-        kept: list[tuple[str, int, int, int, float]] = []
-        for one in sorted(set(found), key=lambda x: (-x[4], x[1], x[2], x[0])):
-            if all(one[2] <= x[1] or one[1] >= x[2] for x in kept):
-                kept.append(one)
-        return sorted(kept, key=lambda x: x[1])
+                start = end + 1 - size - offset
+                if (i, start) not in done:
+                    done.add((i, start))
+                    _, length, k, _ = self.notices[i]
+                    self._around(text, i, max(0, start - k), start + length + k, found)
+        kept: list[tuple[int, int, tuple]] = []  # disjoint, by start
+        for one in sorted(found, key=lambda x: (-x[4], x[1], x[2], x[0])):
+            at = bisect.bisect_left(kept, (one[1],))
+            if (at == 0 or kept[at - 1][1] <= one[1]) and (at == len(kept) or kept[at][0] >= one[2]):
+                kept.insert(at, (one[1], one[2], one))
+        return [one for _, _, one in kept]
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,6 +137,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 flat = raw.translate(FLAT).decode()
                 matches.append([dict(zip(("label", "start", "end", "edits", "score"), m, strict=True)) for m in search.find(flat)])
             yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(v, t) for v, t in zip((counts, places, matches), kinds, strict=True)]], ["id", "n_words", "base", "matches"])
+        release()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(scan, f"id long, {RESULT}").withColumnRenamed("id", id_col)
