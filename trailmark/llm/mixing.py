@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import checkpointed, written
+from .common import Scratch, checkpointed
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,14 +44,15 @@ def tilts(cells: DataFrame, targets: DataFrame, most: int = 3, rounds: int = 60,
 
     These rates are nearest to 1 in relative entropy (within 0 and ``most``) of all that meet each source's target. One Newton step
     for all sources is one distributed sum over the (source, size) counts, kept inside a bracket that halves when a step
-    leaves it. The driver sees one number a round: the largest relative miss. A source at its bound gets a null tilt. Tilts are rounded, so
+    leaves it. The driver sees one number a round: the largest relative miss; if it is above ``tolerance`` after ``rounds``, an error is raised. A source at its bound gets a null tilt. Tilts are rounded, so
     that the order in which partitions were summed leaves no trace.
     """
     base = math.log(1 / (most - 1)) if most > 1 else 0.0
     scale = F.col("source_size") / F.col("source_docs")
     goals = targets.join(cells.groupBy("source").agg(F.sum("docs").alias("source_docs")).withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     goals = goals.withColumn("scale", F.greatest(scale, F.lit(1e-9))).withColumn("open", (F.col("target") < most * F.col("source_size") * (1 - 1e-12)) & (F.col("source_size") > 0))
-    state = written(goals.select(F.col("source").alias("__s"), "target", "scale", "open", F.lit(0.0).alias("tilt"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi")))
+    scratch = Scratch(cells.sparkSession)
+    state = scratch.keep(goals.select(F.col("source").alias("__s"), "target", "scale", "open", F.lit(0.0).alias("tilt"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi")))
     for _ in range(rounds):
         c = F.col("size") / F.col("scale")
         rate = most / (1 + F.exp(-(base + F.col("tilt") * c)))
@@ -67,9 +68,12 @@ def tilts(cells: DataFrame, targets: DataFrame, most: int = 3, rounds: int = 60,
         halved = F.when(F.col("nlo").isNull(), F.col("tilt") - wide).when(F.col("nhi").isNull(), F.col("tilt") + wide).otherwise((F.col("nlo") + F.col("nhi")) / 2)
         step = joined.withColumns({"nlo": lo, "nhi": hi, "off": F.coalesce(F.abs(miss) / F.greatest(F.col("target"), F.lit(1.0)), F.lit(0.0))})
         step = step.withColumn("next", F.when(~F.col("open") | (F.col("off") <= tolerance), F.col("tilt")).when(inside, newton).otherwise(halved))
-        state = written(step.select("__s", "target", "scale", "open", F.col("next").alias("tilt"), F.col("nlo").alias("lo"), F.col("nhi").alias("hi"), "off"))
+        state = scratch.keep(step.select("__s", "target", "scale", "open", F.col("next").alias("tilt"), F.col("nlo").alias("lo"), F.col("nhi").alias("hi"), "off"))
+        scratch.drop(0, -1)
         if (state.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
             break
+    else:
+        raise RuntimeError(f"a source misses its target by more than {tolerance} of it after {rounds} rounds")
     return state.select("__s", "target", "scale", F.when(F.col("open"), F.round("tilt", 9)).alias("tilt"))
 
 
