@@ -76,6 +76,31 @@ def test_near_stage_repeated_and_null_ids(spark):
     assert got == Counter([(1, "a"), (2, "b"), (3, "c"), (None, "d"), (4, "-"), (4, "-")])
 
 
+def test_stages_keep_columns_named_like_verdicts(spark):
+    """Columns called like the operators' own, repeated rows and repeated ids: verdicts are by row."""
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a, "en", "s"), (1, a, "en", "s"), (2, a, "en", "s"), (5, b, "en", "s"), (5, f"{b} c", "en", None), (None, b, None, "s"), (None, None, None, None), (None, "", None, None)]
+    docs = spark.createDataFrame([(*r, 1.5, "x", 7, "k") for r in rows], "doc_id long, text string, lang string, source string, score double, lang_pred string, __row int, key string")
+    judged = corpus_pipeline.identify_language(spark, docs, SF)
+    assert judged.columns == docs.columns and judged.count() == 6
+    single = corpus_pipeline.drop_copies(spark, docs, SF)
+    assert single.columns == docs.columns
+    assert Counter((r.doc_id, (r.text or "-")[:1], len(r.text or "")) for r in single.collect()) == Counter([(2, "a", len(a)), (5, "b", len(b)), (5, "b", len(b) + 2), (None, "-", 0)])
+    near = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert near.columns == docs.columns and Counter(r.doc_id for r in near.collect()) == Counter([1, 5, None, None])
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF)
+    assert mixed.columns == docs.columns and {r.score for r in mixed.collect()} == {1.5}
+
+
+def test_mix_of_repeated_ids_meets_its_target(spark):
+    docs = spark.createDataFrame([(i % 3, " ".join(["w"] * 10) + f" {i}", "abc"[i % 2]) for i in range(60)], "doc_id long, text string, source string")
+    taken = Counter()
+    for r in corpus_pipeline.mix_sources(spark, docs, SF).collect():
+        taken[r.source] += len(r.text.split())
+    target = brute_targets({"a": 330, "b": 330})
+    assert all(abs(taken[s] - target[s]) <= 11 / 2 for s in target)
+
+
 def test_mix_stage(stages):
     before, after, *_ = stages["entropy_mix"]
     words = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in before}
