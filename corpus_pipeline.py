@@ -6,52 +6,94 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from trailmark.llm import exact_dedup, language_id, mixing, ngram_jaccard, packing
-from trailmark.llm.common import lower_ascii, shared_dir, table, written
+from trailmark.llm.common import remove, shared_dir, table, written
 from trailmark.llm.tokens import tokenizer_path
 
 LEAST_SCORE = 0.5
+#: Rows of an Arrow batch in the stages that run Python (batches of Spark's 10,000 rows of long texts fill workers), and bytes for known token ids:
+#: the executors' memory also holds what earlier stages left in their JVM.
+BATCH_ROWS, MEMO_BYTES = 1000, 24_000_000
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column is called that."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, written so that a row keeps its number, and that column's name."""
+    row = _free(docs, "__row")
+    return written(docs.withColumn(row, F.monotonically_increasing_id())), row
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labelled rows; documents without an identifiable language (``und``, or a posterior below ``LEAST_SCORE``) go."""
+    """Learns from the labelled rows; documents without an identifiable language go (``und``, or a posterior below ``LEAST_SCORE``).
+
+    Null and repeated ids are carried; null and empty texts are ``und`` and go. Columns named like the verdict's stay what they are. An empty table, or
+    one without labels, gives no rows.
+    """
+    _in_small_batches(spark)
     names, logs = language_id.train(docs)
-    judged = language_id.predict(docs, names, logs, keep=docs.columns)
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    label, score = _free(docs, "__lang"), _free(docs, "__posterior")
+    judged = language_id.predict(docs, names, logs, keep=docs.columns, label=label, score=score)
+    return judged.filter((F.col(label) != "und") & (F.col(score) >= LEAST_SCORE)).select(docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the largest id stays. Rows that repeat id and text share that verdict."""
-    verdicts = exact_dedup.exact_duplicates(docs, keep="largest")
-    gone = verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
-    named = docs.withColumn("__own", F.sha2(lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256))
-    return named.join(gone, (F.col("__own") == F.col("__sha")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").select(docs.columns)
+    """Of rows with equal texts exactly one stays: one of the largest id (any of those that repeat it), one of a null id only if all ids are null.
+
+    Null and empty texts are equal. An empty table gives no rows.
+    """
+    keyed, row = _keyed(docs)
+    key = F.struct(F.col("doc_id").isNotNull(), "doc_id", row)
+    verdicts = exact_dedup.exact_duplicates(keyed.select(key.alias("key"), "text"), id_col="key", keep="largest")
+    return keyed.join(verdicts.filter("kept").select(F.col("key")[row].alias(row)), row, "left_semi").select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies exactly one row stays: of the smallest id, null ids last, and any one of rows that repeat it."""
-    keyed = written(docs.withColumn("__row", F.monotonically_increasing_id()))  # written, so that a row keeps its key
-    groups = ngram_jaccard.near_duplicates(keyed, id_col="__row").select("__row", "component_id")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))
-    kept = keyed.select("doc_id", "__row").join(groups, "__row").groupBy("component_id").agg(first.alias("first")).select("first.__row")
-    return keyed.join(kept, "__row", "left_semi").select(docs.columns)
+    """Of each group of near copies exactly one row stays: of the smallest id, null ids last, and any one of rows that repeat it.
+
+    Rows without words link with nothing and stay. An empty table gives no rows.
+    """
+    _in_small_batches(spark)
+    keyed, row = _keyed(docs)
+    groups = ngram_jaccard.near_duplicates(keyed, id_col=row).select(row, "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))
+    kept = keyed.select("doc_id", row).join(groups, row).groupBy("component_id").agg(first.alias("first")).select(F.col("first")[row].alias(row))
+    return keyed.join(kept, row, "left_semi").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats each document as often as the mix takes it; none of it is left where that is zero."""
-    mixed = mixing.balanced_copies(docs)
-    # rows that repeat id, source and size get the mean of their copies, so that the join cannot multiply them
-    copies = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size")).agg(F.round(F.avg("copies")).cast("int").alias("__copies"))
-    sized = docs.withColumn("__own", mixing.word_count(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__size"))
-    taken = sized.join(copies, same).filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return taken.select(docs.columns)
+    """Repeats each document as often as the mix takes it; none of it is left where that is zero.
+
+    Rows that repeat id, source and size are matched with their verdicts by their places in order (of texts and of copies). Null sources are one
+    source; rows without words go. An empty table gives no rows.
+    """
+    mixed = mixing.balanced_copies(docs).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "copies")
+    mixed = mixed.withColumn("__place", F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy("copies")))
+    own = {"size": _free(docs, "__own"), "place": _free(docs, "__at"), "copy": _free(docs, "__copy")}
+    sized = docs.withColumn(own["size"], mixing.word_count(F.col("text")))
+    sized = sized.withColumn(own["place"], F.row_number().over(Window.partitionBy("doc_id", F.col("source").cast("string"), own["size"]).orderBy(F.xxhash64("text"))))
+    docs_, verdicts = sized.alias("d"), mixed.alias("m")
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.__id")) & F.col("d.source").cast("string").eqNullSafe(F.col("m.__source")) & (F.col(f"d.{own['size']}") == F.col("m.__size")) & (F.col(f"d.{own['place']}") == F.col("m.__place"))
+    taken = docs_.join(verdicts, same).filter("m.copies > 0")
+    return taken.select("d.*", F.explode(F.sequence(F.lit(1), F.col("m.copies").cast("int"))).alias(own["copy"])).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of binary lengths with their ids, none holding two documents."""
-    return packing.binary_pieces(docs, tokenizer_path("word_bpe_49k.json"))
+    """Sequences of binary lengths with their ids, none holding two documents. Null or empty text: one piece, the end id. An empty table gives no rows."""
+    _in_small_batches(spark)
+    return packing.binary_pieces(docs, tokenizer_path("word_bpe_49k.json"), memo_bytes=MEMO_BYTES)
 
 
 STAGES = [("language_id", identify_language), ("exact_dedup", drop_copies), ("ngram_jaccard", drop_near_copies), ("entropy_mix", mix_sources), ("binary_packing", pack)]
@@ -61,8 +103,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of ``documents`` after all stages. Each stage is written under the shared folder; a stage's table goes once the next stands."""
     docs, base = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{base}/{name}"
     return docs
