@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -74,6 +75,12 @@ def written(df: DataFrame) -> DataFrame:
     return Scratch(df.sparkSession).keep(df)
 
 
+def clear_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete shuffle files of steps that nothing refers to any more (their results are checkpointed), instead of at some later collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case and nothing else; the built-in ``lower`` serves where all characters are ASCII."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
@@ -139,7 +146,6 @@ def joined_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, least
 def release() -> None:
     """In a Python worker at the end of a task: gives freed memory back to the system, as workers live on and serve later stages."""
     import ctypes
-    import gc
 
     import pyarrow as pa
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, joined_groups, release
+from .common import checkpointed, clear_shuffles, joined_groups, release
 from .components import connected_components
 
 MIX = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -305,9 +305,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
     total = rows.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_bytes))
-    incidence = rows.mapInArrow(_incidence(words, blocks, chunk_tokens), "block int, chunk long, names binary, owners binary, grams binary")
-    shared = incidence.groupBy("block").applyInArrow(_shared, "block int, chunk long, names binary, owners binary, grams binary, weights binary")
-    found = checkpointed(shared.groupBy("chunk").applyInArrow(_documents(num, den), "doc_id long, n long, mark binary, grams binary"))
+
+    def documents() -> DataFrame:
+        incidence = rows.mapInArrow(_incidence(words, blocks, chunk_tokens), "block int, chunk long, names binary, owners binary, grams binary")
+        shared = incidence.groupBy("block").applyInArrow(_shared, "block int, chunk long, names binary, owners binary, grams binary, weights binary")
+        return checkpointed(shared.groupBy("chunk").applyInArrow(_documents(num, den), "doc_id long, n long, mark binary, grams binary"))
+
+    found = documents()
+    clear_shuffles(docs.sparkSession)  # the incidence matrix is no longer needed
     alive = found.filter("mark is not null")
     classes = checkpointed(alive.groupBy("mark").agg(F.min("doc_id").alias("smallest"), F.count("*").alias("rows"), F.any_value("n").alias("n"), F.any_value("grams").alias("grams")))
     entries = classes.select("mark", "n", "grams").mapInArrow(_prefixes(num, den), "gram long, mark binary, n long, rest long")
