@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trailmark.llm import exact_dedup, language_id, mixing, ngram_jaccard, packing
-from trailmark.llm.common import remove, shared_dir, table, written
+from trailmark.llm.common import remove, shared_dir, table
 from trailmark.llm.tokens import tokenizer_path
 
 LEAST_SCORE = 0.5
@@ -31,9 +31,13 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a number for each row, written so that a row keeps its number, and that column's name."""
+    """``docs`` with a number for each row, and that column's name.
+
+    ``docs`` is a table read from files, as each stage gets it: a scan gives its rows in the same order in each pass and in each new attempt of a
+    task, so a row has the same number wherever it is asked for, without a copy of the table.
+    """
     row = _free(docs, "__row")
-    return written(docs.withColumn(row, F.monotonically_increasing_id())), row
+    return docs.withColumn(row, F.monotonically_increasing_id()), row
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
