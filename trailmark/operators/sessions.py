@@ -1,9 +1,12 @@
-"""Batch sessionization: gap windows per visitor, add-to-cart claims, session facts, fragments, idle sweep."""
+"""Batch sessionization: the session fold with add-to-cart claims, session facts, fragments, idle sweep, old against rebuilt sessions."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import scalars as fn
@@ -30,29 +33,76 @@ def first_deliveries(rows: DataFrame) -> DataFrame:
     return rows.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
 
 
-def with_sessions(rows: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
-    """Adds ``session_no`` and ``session_id``: a gap above ``timeout_s`` opens a session; exactly ``timeout_s`` does not.
+#: Order of a visitor's events: time, receipt, behavioural rows before clicks, arrival.
+ORDER = ("occurred_at", "received_at", "__click", "seq")
 
-    One shuffle by identity serves the window of gaps, the running number and every later grouping by session.
-    """
-    known = identified(rows).filter("identity is not null")
-    order = Window.partitionBy("identity").orderBy("occurred_at", "seq")
+
+def with_gaps(rows: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
+    """Adds ``session_no`` and ``session_id`` by gaps alone: one above ``timeout_s`` opens a session, exactly ``timeout_s`` does not. Cart claims play no part."""
+    known = identified(rows).filter("identity is not null").withColumn("__click", F.col("event_name") == "click")
+    order = Window.partitionBy("identity").orderBy(*ORDER)
     gap = F.expr("timestampdiff(MICROSECOND, __before, occurred_at)")
     opened = known.withColumn("__before", F.lag("occurred_at").over(order)).withColumn("__new", F.when(F.col("__before").isNull() | (gap > timeout_s * 1_000_000), 1).otherwise(0))
-    numbered = opened.withColumn("session_no", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.withColumn("session_id", F.sha1(F.concat_ws("|", "identity", F.col("session_no").cast("string")))).drop("__before", "__new")
+    return named(opened.withColumn("session_no", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))).drop("__before", "__new", "__click")
+
+
+def named(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("session_id", F.sha1(F.concat_ws("|", "identity", F.col("session_no").cast("string"))))
+
+
+def _fold(timeout_us: int):
+    """Numbers sessions along rows sorted by visitor and time; only the current visitor's last time and claims are held."""
+
+    def fold(parts: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        visitor, number, last, claimed = None, 0, 0, set()
+        for part in parts:
+            numbers, counts = [], []
+            for own, micros, product in zip(*(part.column(k).to_pylist() for k in ("identity", "__micros", "__claim")), strict=True):
+                if own != visitor:
+                    visitor, number, last, claimed = own, 0, None, set()
+                fresh = last is None or micros - last > timeout_us
+                repeated = product is not None and not fresh and product in claimed
+                if not repeated:
+                    if fresh:
+                        number, claimed = number + 1, set()
+                    if product is not None:
+                        claimed.add(product)
+                    last = micros
+                numbers.append(number)
+                counts.append(not repeated)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(numbers, pa.int64()), pa.array(counts, pa.bool_())], [*part.schema.names, "session_no", "counts"])
+
+    return fold
+
+
+def with_sessions(rows: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
+    """Adds ``session_no``, ``session_id`` and ``counts``.
+
+    A gap above ``timeout_s`` since the visitor's last event that counts opens a session. Of a session's ``product_added_to_cart`` events for one
+    product (ids in any case) only the first counts: a repeated one leaves the session untouched, so it never bridges a gap. What counts
+    depends on the sessions and these on what counts, so the rows of a visitor are folded in order: one shuffle and sort by visitor, then a
+    stream of Arrow batches whose state is the current visitor's alone. Visitors of any length fit.
+    """
+    known = identified(rows).filter("identity is not null").withColumn("__click", F.col("event_name") == "click")
+    claim = F.when(F.col("event_name") == "product_added_to_cart", F.lower("product_id"))
+    micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', occurred_at)")
+    dealt = known.withColumns({"__micros": micros, "__claim": claim}).repartition("identity").sortWithinPartitions("identity", *ORDER)
+    schema = T.StructType([*dealt.schema.fields]).add("session_no", "long").add("counts", "boolean")
+    return named(dealt.mapInArrow(_fold(timeout_s * 1_000_000), schema)).drop("__click", "__micros", "__claim")
 
 
 def keep_first_cart_adds(rows: DataFrame) -> DataFrame:
-    """Of a session's ``product_added_to_cart`` events for one product only the first counts."""
-    claim = Window.partitionBy("identity", "session_no", "event_name", "product_id").orderBy("occurred_at", "seq")
-    claimed = rows.withColumn("__claim", F.row_number().over(claim))
-    counts = (F.col("event_name") != "product_added_to_cart") | F.col("product_id").isNull() | (F.col("__claim") == 1)
-    return claimed.filter(counts).drop("__claim")
+    """Without the repeated adds to the cart that ``with_sessions`` marked."""
+    return rows.filter("counts").drop("counts")
+
 
+def session_rows(rows: DataFrame, more: list[Column] | None = None, names: bool = True) -> DataFrame:
+    """One row per session with counters, duration, first utm source and (``names``) its ordered event names, and the aggregates ``more`` beside them.
 
-def session_rows(rows: DataFrame) -> DataFrame:
-    """One row per session with counters, duration, first utm source and ordered event names."""
+    Without names a row is small whatever the number of a session's events.
+    """
     named = {k: F.count_if(F.col("event_name") == v).alias(k) for k, v in COUNTED.items()}
     step = F.struct("occurred_at", "seq", "event_name")
     last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("occurred_at", "seq"))).alias(c)
@@ -68,7 +118,8 @@ def session_rows(rows: DataFrame) -> DataFrame:
             F.count_if(F.col("click_bucket") == "dead_click").alias("dead_click_count"),
             last("client_id"),
             F.min_by("__utm", F.when(F.col("__utm").isNotNull(), F.struct("occurred_at", "seq"))).alias("first_utm_source"),
-            F.transform(F.array_sort(F.collect_list(step)), lambda s: s["event_name"]).alias("names"),
+            *([F.transform(F.array_sort(F.collect_list(step)), lambda s: s["event_name"]).alias("names")] if names else []),
+            *(more or []),
         )
         .withColumn("session_time_spent_ms", F.expr("timestampdiff(MILLISECOND, session_start, session_end)"))
     )
@@ -78,11 +129,20 @@ def sessions(rows: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
     return session_rows(keep_first_cart_adds(with_sessions(rows, timeout_s)))
 
 
+def alone(rows: DataFrame) -> DataFrame:
+    """Rows without identity: each is a session of its own that has no session row."""
+    return identified(rows).filter("identity is null").withColumns({"session_no": F.lit(None).cast("long"), "session_id": F.sha1("event_id")})
+
+
 def session_events(rows: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
     """Events that count, with their session; events without identity are sessions of their own."""
-    inside = keep_first_cart_adds(with_sessions(rows, timeout_s))
-    outside = identified(rows).filter("identity is null").withColumns({"session_no": F.lit(None).cast("long"), "session_id": F.sha1("event_id")})
-    return inside.unionByName(outside)
+    return keep_first_cart_adds(with_sessions(rows, timeout_s)).unionByName(alone(rows))
+
+
+def step_entries(events: DataFrame) -> DataFrame:
+    """What a session keeps of each event, in order: name, id, click bucket, client, visitor, first utm source."""
+    place = F.row_number().over(Window.partitionBy("session_id").orderBy("occurred_at", "seq"))
+    return events.select("session_id", place.alias("step"), "event_name", "event_id", "click_bucket", "client_id", F.lit(None).cast("string").alias("visitor_id"), fn.utm(F.col("url"), "utm_source").alias("utm_source"))
 
 
 def builtin_sessions(rows: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
@@ -99,9 +159,21 @@ def fragments(sessions_: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
     return gap.withColumn("place", F.row_number().over(order)).filter(F.col("gap_s").between(0, timeout_s)).select("identity", "session_id", "gap_s")
 
 
-def swept(sessions_: DataFrame, timeout_s: int = TIMEOUT_S, grace_s: int = 60) -> DataFrame:
-    """Adds ``closed``: all but the visitor's last session are closed, and that one if it idled past timeout and grace before the newest event."""
-    newest = sessions_.agg(F.max("session_end").alias("newest"))
+def overlaps(sessions_: DataFrame, slack_s: int = 30) -> DataFrame:
+    """Neighbouring sessions of a visitor of which the later starts more than ``slack_s`` before the earlier ends."""
+    order = Window.partitionBy("identity").orderBy("session_start", "session_no")
+    gap = F.timestamp_diff("SECOND", F.lag("session_end").over(order), F.col("session_start"))
+    return sessions_.withColumn("gap_s", gap).filter(F.col("gap_s") < -slack_s).select("identity", "session_id", "gap_s")
+
+
+def swept(sessions_: DataFrame, timeout_s: int = TIMEOUT_S, grace_s: int = 60, now: Column | None = None) -> DataFrame:
+    """Adds ``closed``: all but the visitor's last session are closed, and that one if it idled past timeout and grace.
+
+    Idle time counts up to the newest event or ``now`` (the store's clock), whichever is earlier: one event with a bogus future time does not make live
+    sessions look idle.
+    """
+    now = F.localtimestamp() if now is None else now
+    newest = sessions_.agg(F.least(F.max("session_end"), now).alias("newest"))
     last = Window.partitionBy("identity")
     marked = sessions_.withColumn("__last", F.max("session_no").over(last)).crossJoin(F.broadcast(newest))  # one row
     idle = F.col("session_end") < F.expr(f"newest - INTERVAL {timeout_s + grace_s} SECONDS")
@@ -123,6 +195,31 @@ def overlap(old: DataFrame, new: DataFrame) -> DataFrame:
     return a.crossJoin(b)  # one row each
 
 
+def no_browsing(cart: Column, pages: Column, products: Column) -> Column:
+    return cart & (pages == 0) & (products == 0)
+
+
+def repaired(old: DataFrame, new: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
+    """What a rebuild mends, in one row: fragments before and after, carts without browsing before and after, durations of both (rank ``int(n * p / 100)``)."""
+
+    def side(sessions_: DataFrame, tag: str) -> DataFrame:
+        cart = (F.col("add_to_cart_count") > 0) | (F.col("checkout_started_count") > 0)
+        facts = sessions_.agg(F.count_if(no_browsing(cart, F.col("page_view_count"), F.col("product_view_count"))).alias(f"{tag}_without_browsing"), F.sum("event_count").alias(f"{tag}_events"))
+        torn = fragments(sessions_, timeout_s).agg(F.count("*").alias(f"{tag}_fragments"))
+        counts = sessions_.groupBy("session_time_spent_ms").agg(F.count("*").alias("n"))
+        whole, upto = Window.partitionBy(), Window.orderBy("session_time_spent_ms").rowsBetween(Window.unboundedPreceding, 0)  # a row per distinct duration
+        ranked = counts.withColumns({"__all": F.sum("n").over(whole), "__upto": F.sum("n").over(upto)})
+        cuts = ranked.agg(F.sum("n").alias(f"{tag}_sessions"), *[F.min(F.when(F.col("__upto") > F.floor(F.col("__all") * p / 100), F.col("session_time_spent_ms"))).alias(f"{tag}_p{p}") for p in (50, 75, 90)])
+        return facts.crossJoin(torn).crossJoin(cuts)  # one row each
+
+    return side(old, "old").crossJoin(side(new, "new"))
+
+
+def patterns(sessions_: DataFrame, k: int = 10) -> DataFrame:
+    """The most common journeys; of equal counts the first in order."""
+    return sessions_.groupBy(fn.journey(F.col("names")).alias("pattern")).agg(F.count("*").alias("sessions")).orderBy(F.col("sessions").desc(), "pattern").limit(k)
+
+
 def integrity(rows: DataFrame, sessions_: DataFrame) -> DataFrame:
     """Conservation: identified events, events in sessions, sessions whose counters do not add up."""
     adds_up = sum((F.col(c) for c in COUNTED), F.lit(0)) == F.col("event_count")
