@@ -10,14 +10,29 @@ BOTS = (
     "googlebot", "bingbot", "ahrefsbot", "semrushbot", "mj12bot", "petalbot", "yandexbot", "bytespider", "duckduckbot", "baiduspider", "applebot",
     "curl/", "wget/", "python-requests", "scrapy", "headlesschrome", "phantomjs", "selenium", "puppeteer", "playwright",
 )
+#: Parameter names, and path segments that stand for ids.
 UTM = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content")
 DYNAMIC = r"^([0-9]+|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|[0-9a-f]{16,})$"
 
 
 def rounded(x: Column, digits: int) -> Column:
-    """Rounding with the same double arithmetic on every engine, ties up (a hair of slack absorbs binary error)."""
-    scale = 10**digits
-    return F.floor(x * scale + 0.500001) / scale
+    """``x`` to ``digits`` decimals by its exact binary value, ties to even: 2.675 (a little less in binary) gives 2.67, 0.125 gives 0.12.
+
+    ``x`` times the scale is taken as a sum of two doubles without any error (the high and low half of ``x`` by Veltkamp's split).
+    """
+    scale = float(10**digits)
+    parts = F.array(F.struct(x.cast("double").alias("x")))
+    half = lambda s: 134217729.0 * s["x"] - (134217729.0 * s["x"] - s["x"])
+
+    def to_even(s: Column) -> Column:
+        product = s["x"] * scale
+        error = (half(s) * scale - product) + (s["x"] - half(s)) * scale
+        below = F.floor(product).cast("double")
+        over = (product - below - 0.5) + error
+        up = F.when(over > 0, 1.0).when(over < 0, 0.0).otherwise(below % 2)
+        return (below + up) / scale
+
+    return F.get(F.transform(parts, to_even), F.lit(0))
 
 
 def raw_path(url: Column) -> Column:
@@ -52,13 +67,30 @@ def product_id(raw: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.trim(raw), "^['\"]+|['\"]+$", ""), r"\.0$", "")
 
 
+def _list_items(raw: Column) -> Column:
+    """The texts between commas of a list-shaped string; blank ones are no items, and one cut off before its bracket loses its last, partial item."""
+    items = F.filter(F.transform(F.split(F.regexp_replace(F.trim(raw), r"^[\[\]]+|[\[\]]+$", ""), ","), lambda x: F.trim(x)), lambda x: x != "")
+    return F.when(F.endswith(F.trim(raw), F.lit("]")), items).otherwise(F.slice(items, 1, F.greatest(F.size(items) - 1, F.lit(0))))
+
+
+def cart_titles(raw: Column) -> Column:
+    """The quoted texts of a list literal (either quote, backslash escapes taken off); null if it is none."""
+    items = F.regexp_extract_all(raw, F.lit(r"""'((?:[^'\\\\]|\\\\.)*)'|"((?:[^"\\\\]|\\\\.)*)\""""), F.lit(0))
+    plain = F.transform(items, lambda t: F.regexp_replace(F.substring(t, 2, F.length(t) - 2), r"\\(.)", "$1"))
+    return F.when(F.trim(raw).rlike(r"^[\[(].*[\])]$"), plain)
+
+
+def cart_items(ids: Column, titles: Column) -> Column:
+    """Products of a cart as (id, title), the first of each id; titles count only if there is one for each id."""
+    found = F.when(F.startswith(F.trim(ids), F.lit("[")), F.filter(F.transform(_list_items(ids), product_id), lambda x: x.rlike("^[0-9]+$")))
+    named = F.when(F.size(cart_titles(titles)) == F.size(found), cart_titles(titles))
+    both = F.transform(found, lambda x, i: F.struct(x.alias("product_id"), F.get(named, i).alias("product_title")))
+    return F.filter(both, lambda x, i: F.array_position(found, x["product_id"]) == i + 1)
+
+
 def cart_products(raw: Column) -> Column:
-    """Distinct product ids of a cart string; a list cut off before its bracket loses its last, partial entry."""
-    whole = F.endswith(F.trim(raw), F.lit("]"))
-    parts = F.split(F.regexp_replace(F.trim(raw), r"^\[|\]$", ""), ",")
-    parts = F.when(whole, parts).otherwise(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))))
-    ids = F.transform(parts, product_id)
-    return F.when(F.startswith(F.trim(raw), F.lit("[")), F.array_distinct(F.filter(ids, lambda x: x.rlike("^[0-9]+$")))).otherwise(F.array().cast("array<string>"))
+    """Distinct product ids of a cart string, in order."""
+    return F.coalesce(F.transform(cart_items(raw, F.lit(None).cast("string")), lambda x: x["product_id"]), F.array().cast("array<string>"))
 
 
 def device(agent: Column) -> Column:
@@ -93,7 +125,12 @@ def topic(name: Column) -> Column:
 
 
 def safe_ratio(n: Column, d: Column) -> Column:
-    return F.bround(n / F.nullif(d, F.lit(0)), 4)
+    return rounded(n / F.nullif(d, F.lit(0)), 4)
+
+
+def percent(n: Column, d: Column) -> Column:
+    """Share in percent to two decimals; 0 of nothing."""
+    return F.coalesce(rounded(100.0 * n / F.nullif(d, F.lit(0)), 2), F.lit(0.0))
 
 
 def sequence_path(names: Column, most: int = 15) -> Column:
@@ -103,9 +140,59 @@ def sequence_path(names: Column, most: int = 15) -> Column:
     return F.left(F.when(F.size(kept) == 0, "(empty)").when(F.size(kept) > most, F.concat(text, F.lit(">..."))).otherwise(text), F.lit(500))
 
 
+def stored_names(text: Column) -> Column:
+    """Event names of a stored sequence (JSON object of steps by number, each holding name: details), in the order of the numbers; null if it is none."""
+    steps = F.from_json(text, "map<string,map<string,string>>")
+    ordered = F.array_sort(F.transform(F.map_entries(steps), lambda e: F.struct(e["key"].try_cast("long").alias("at"), F.get(F.map_keys(e["value"]), F.lit(0)).alias("name"))))
+    return F.transform(F.filter(ordered, lambda s: s["name"].isNotNull()), lambda s: s["name"])
+
+
+def stored_path(text: Column) -> Column:
+    """``sequence_path`` of a stored sequence; ``(empty)`` without one, ``(invalid)`` if it is no JSON object of steps."""
+    blank = text.isNull() | (F.trim(text) == "") | (F.trim(text) == "{}")
+    return F.when(blank, "(empty)").otherwise(F.coalesce(sequence_path(stored_names(text)), F.lit("(invalid)")))
+
+
+#: How journey patterns abbreviate event names.
+SHORT = {"page_viewed": "PV", "product_viewed": "PDV", "product_added_to_cart": "ATC", "checkout_started": "CO", "click": "CL", "scroll_depth": "SC"}
+
+
+def journey(names: Column) -> Column:
+    """Abbreviated step names without consecutive repeats, joined by `` > ``."""
+    table = F.create_map(*[F.lit(x) for pair in SHORT.items() for x in pair])
+    short = F.transform(names, lambda n: F.coalesce(F.try_element_at(table, n), n))
+    return F.array_join(F.filter(short, lambda x, i: (i == 0) | (x != F.get(short, i - 1))), " > ")
+
+
+def clock_offset(db: Column, wall: Column) -> Column:
+    """Seconds by which a database clock runs ahead of a wall clock, to the nearest quarter of an hour (half to even)."""
+    seconds = F.timestamp_diff("SECOND", wall, db)
+    return (F.bround(seconds / 900.0, 0) * 900).cast("long")
+
+
+def zone_name(label: Column) -> Column:
+    """The IANA zone of a label such as ``(GMT+05:30) Asia/Kolkata``; UTC if it has none."""
+    return F.coalesce(F.nullif(F.regexp_extract(label, r"^\s*(?:\([^)]*\)\s*)?([A-Za-z_]+(?:/[A-Za-z0-9_+-]+)*)\s*$", 1), F.lit("")), F.lit("UTC"))
+
+
+def store_now(label: Column) -> Column:
+    """The wall clock of a store's zone, as a time without zone."""
+    return F.convert_timezone(F.current_timezone(), zone_name(label), F.localtimestamp())
+
+
 def click_target(tag: Column, element_id: Column, name: Column, kind: Column, href: Column, value: Column) -> Column:
-    """MD5 of the cleaned target; typed-in values of form fields are left out."""
+    """A click's target as its six cleaned fields and their MD5; links are page paths, typed-in values of form fields are left out."""
     clean = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
-    shown = F.left(F.lower(F.trim(F.regexp_replace(F.coalesce(value, F.lit("")), r"\s+", " "))), F.lit(60))
+    shown = F.left(F.lower(F.trim(F.regexp_replace(F.coalesce(F.left(value, F.lit(200)), F.lit("")), r"\s+", " "))), F.lit(60))
     shown = F.when(clean(tag).isin("input", "textarea", "select"), "").otherwise(shown)
-    return F.md5(F.concat_ws("|", clean(tag), clean(element_id), clean(name), clean(kind), clean(href), shown))
+    link = F.when(page_path(href) == "(unknown)", "").otherwise(page_path(href))
+    fields = {"tag": clean(tag), "element_id": clean(element_id), "element_name": clean(name), "element_type": clean(kind), "href": link, "value": shown}
+    return F.struct(*[c.alias(n) for n, c in fields.items()], F.md5(F.concat_ws("|", *fields.values())).alias("target_hash"))
+
+
+def register(spark) -> None:
+    """The domain's functions under SQL names, as SQL expressions: plans stay free of Python."""
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tm_raw_path(url STRING) RETURNS STRING RETURN substring_index(substring_index(url, '?', 1), '#', 1)")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tm_page_type(path STRING) RETURNS STRING RETURN CASE WHEN path = '/' THEN 'home' WHEN startswith(path, '/products/') THEN 'pdp' WHEN startswith(path, '/collections/') THEN 'collection' WHEN startswith(path, '/checkout') THEN 'checkout' ELSE 'other' END")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tm_product_id(raw STRING) RETURNS STRING RETURN regexp_replace(regexp_replace(trim(raw), '^[\\'\"]+|[\\'\"]+$', ''), '[.]0$', '')")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tm_safe_ratio(n DOUBLE, d DOUBLE) RETURNS DOUBLE RETURN bround(n / nullif(d, 0), 4)")
