@@ -10,17 +10,16 @@ from ..functions import scalars as fn
 DAY = "summary_date"
 
 
-def daily_summary(closed: DataFrame, open_: DataFrame) -> DataFrame:
-    """Per day of start: counts, sums, means and click rates of closed sessions; ``sessions_started`` adds the open ones."""
+def daily_summary(swept: DataFrame) -> DataFrame:
+    """Per day of start: counts, sums, means and click rates of closed sessions; ``sessions_started`` adds the open ones. One pass over ``swept``."""
     sums = {"total_events": "event_count", "page_views": "page_view_count", "product_views": "product_view_count", "clicks": "click_count", "useful_clicks": "useful_click_count", "dead_clicks": "dead_click_count", "add_to_carts": "add_to_cart_count", "checkout_starts": "checkout_started_count", "scroll_events": "scroll_count"}
     means = {"avg_session_time_ms": "session_time_spent_ms", "avg_events_per_session": "event_count", "avg_product_views_per_session": "product_view_count", "avg_clicks_per_session": "click_count"}
-    both = closed.withColumn("__closed", F.lit(True)).unionByName(open_.withColumn("__closed", F.lit(False)))
-    shut = lambda c: F.when(F.col("__closed"), F.col(c))
-    out = both.groupBy(F.to_date("session_start").alias(DAY)).agg(
-        F.count_if("__closed").alias("sessions"),
+    shut = lambda c: F.when(F.col("closed"), F.col(c))
+    out = swept.groupBy(F.to_date("session_start").alias(DAY)).agg(
+        F.count_if("closed").alias("sessions"),
         F.countDistinct(shut("identity")).alias("unique_actors"),
         *[F.coalesce(F.sum(shut(c)), F.lit(0)).alias(k) for k, c in sums.items()],
-        *[F.bround(F.avg(shut(c)), 4).alias(k) for k, c in means.items()],
+        *[fn.rounded(F.avg(shut(c)), 4).alias(k) for k, c in means.items()],
         F.count("*").alias("sessions_started"),
     )
     return out.withColumns({"useful_click_rate": fn.safe_ratio(F.col("useful_clicks"), F.col("clicks")), "dead_click_rate": fn.safe_ratio(F.col("dead_clicks"), F.col("clicks"))})
@@ -30,20 +29,22 @@ def page_behavior(rows: DataFrame, exact_distinct: bool = False) -> DataFrame:
     """Per day and page: views (all behavioural events with a URL), actors, sessions, clicks, scrolls, carts, checkouts.
 
     Distinct counts are per raw path and then added over paths that normalise alike, and the mean scroll is weighted by rows;
-    ``exact_distinct`` counts each actor and session once a page instead.
+    ``exact_distinct`` counts each actor and session once a page instead. Sums are of whole numbers (scroll in millionths, means of raw paths in
+    billionths), so that no order of partitions shows in the result.
     """
     day = F.to_date("occurred_at").alias(DAY)
     seen = rows.filter((F.col("event_name") != "click") & (F.col("url") != ""))
     raw = seen.groupBy(day, fn.raw_path(F.col("url")).alias("raw")).agg(
         F.count("*").alias("page_views"), F.countDistinct("actor_id").alias("actors"), F.countDistinct("session_id").alias("sessions"),
-        F.avg("scroll_percent").alias("scroll"), F.max("scroll_percent").alias("most"),
+        F.sum(F.round(F.col("scroll_percent") * 1e6).cast("long")).alias("millionths"), F.count("scroll_percent").alias("with_scroll"), F.max("scroll_percent").alias("most"),
         F.count_if(F.col("event_name") == "product_added_to_cart").alias("atc"), F.count_if(F.col("event_name") == "checkout_started").alias("checkout"),
     )
     page = fn.page_path(F.col("raw")).alias("page_path")
-    weight = F.when(F.col("scroll").isNotNull(), F.col("page_views"))
+    mean = F.floor(F.col("millionths").cast("double") / F.col("with_scroll") * 1000 + 0.5).cast("decimal(18,0)")  # exact whole numbers in, one rounding
+    weight = F.when(F.col("with_scroll") > 0, F.col("page_views").cast("decimal(18,0)"))
     views = raw.groupBy(DAY, page).agg(
         F.sum("page_views").alias("page_views"), F.sum("actors").alias("unique_actors"), F.sum("sessions").alias("unique_sessions"),
-        F.bround(F.sum(F.col("scroll") * weight) / F.sum(weight), 2).alias("avg_scroll_percent"), F.max("most").alias("max_scroll_percent"),
+        fn.rounded(F.sum(F.when(F.col("with_scroll") > 0, mean * weight)).cast("double") / F.sum(weight).cast("double") / 1e9, 2).alias("avg_scroll_percent"), F.max("most").alias("max_scroll_percent"),
         F.sum("atc").alias("add_to_cart_events"), F.sum("checkout").alias("checkout_started_events"),
     )
     if exact_distinct:
@@ -58,33 +59,37 @@ def page_behavior(rows: DataFrame, exact_distinct: bool = False) -> DataFrame:
 
 
 def click_behavior(rows: DataFrame) -> DataFrame:
-    """Per day, page and click target. The adapter's targets are made of bucket and device, as the tables hold no elements."""
-    target = fn.click_target(F.lit("A"), F.col("click_bucket"), F.lit(None).cast("string"), fn.device(F.col("user_agent")), F.nullif(fn.page_path(F.col("url")), F.lit("(unknown)")), F.lit("  Buy   Now "))
-    clicks = rows.filter("event_name = 'click'")
-    return clicks.groupBy(F.to_date("occurred_at").alias(DAY), fn.page_path(fn.raw_path(F.col("url"))).alias("page_path"), target.alias("target_hash")).agg(
-        F.count("*").alias("clicks"), F.count_if(F.col("click_bucket") == "useful_click").alias("useful_clicks"), F.count_if(F.col("click_bucket") == "dead_click").alias("dead_clicks"), F.countDistinct("actor_id").alias("unique_actors")
-    )
+    """Per day, page and click target, with the target's cleaned fields."""
+    e = lambda name: F.col("element")[name]
+    target = fn.click_target(e("tag"), e("element_id"), e("element_name"), e("element_type"), e("href"), e("value"))
+    clicks = rows.filter("event_name = 'click'").select(F.to_date("occurred_at").alias(DAY), fn.page_path(fn.raw_path(F.col("url"))).alias("page_path"), target.alias("t"), "click_bucket", "actor_id").select("*", "t.*")
+    fields = ["tag", "element_id", "element_name", "element_type", "href", "value"]
+    return clicks.groupBy(DAY, "page_path", "target_hash").agg(
+        *[F.min(f).alias(f) for f in fields],  # equal inside a hash
+        F.count("*").alias("clicks"), F.count_if(F.col("click_bucket") == "useful_click").alias("useful_clicks"), F.count_if(F.col("click_bucket") == "dead_click").alias("dead_clicks"), F.countDistinct("actor_id").alias("unique_actors"),
+    )
 
 
-def _product_counts(rows: DataFrame, keys: list[Column | str]) -> DataFrame:
+def _product_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Counts per key and product: single-product events grouped on the raw id and then on the cleaned one, carts exploded."""
     day = F.to_date("occurred_at").alias(DAY)
-    names = [k if isinstance(k, str) else k for k in keys]
+    names = keys
+    title = F.min(F.nullif(F.trim("product_title"), F.lit(""))).alias("title")  # the smallest, where the reference takes any
     viewed = F.col("event_name") == "product_viewed"
     single = rows.filter((F.col("product_id") != "") & ~F.startswith("product_id", F.lit("[")))
     raw = single.groupBy(day, *names, "product_id").agg(
         F.count_if(viewed).alias("views"), F.countDistinct(F.when(viewed, F.col("actor_id"))).alias("viewers"), F.countDistinct(F.when(viewed, F.col("session_id"))).alias("sessions"),
-        F.count_if(F.col("event_name") == "product_added_to_cart").alias("atc"), F.count_if(F.col("event_name") == "checkout_started").alias("checkouts"),
+        F.count_if(F.col("event_name") == "product_added_to_cart").alias("atc"), F.count_if(F.col("event_name") == "checkout_started").alias("checkouts"), title,
     )
     clean = raw.withColumn("product_id", fn.product_id(F.col("product_id"))).filter("product_id <> ''")
     carts = rows.filter((F.col("event_name") == "checkout_started") & F.startswith("product_id", F.lit("[")))
-    carts = carts.select(day, *names, F.explode(fn.cart_products(F.col("product_id"))).alias("product_id")).groupBy(DAY, *names, "product_id").agg(F.count("*").alias("checkouts"))
+    carts = carts.select(day, *names, F.inline(fn.cart_items(F.col("product_id"), F.col("product_title")))).groupBy(DAY, *names, "product_id").agg(F.count("*").alias("checkouts"), title)
     return clean.unionByName(carts, allowMissingColumns=True)
 
 
 def _product_sums(counts: DataFrame, keys: list[str]) -> DataFrame:
     total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
-    return counts.groupBy(DAY, *keys, "product_id").agg(total("views", "product_views"), total("viewers", "unique_viewers"), total("sessions", "unique_sessions"), total("atc", "add_to_cart_count"), total("checkouts", "checkout_started_count"))
+    return counts.groupBy(DAY, *keys, "product_id").agg(total("views", "product_views"), total("viewers", "unique_viewers"), total("sessions", "unique_sessions"), total("atc", "add_to_cart_count"), total("checkouts", "checkout_started_count"), F.min("title").alias("product_title"))
 
 
 def product_behavior(rows: DataFrame) -> DataFrame:
@@ -139,8 +144,17 @@ def heatmap(rows: DataFrame, scored: DataFrame) -> DataFrame:
     return out.agg(*[F.sum(c).alias(c) for c in ("page_views", "sessions", "high_sessions", "medium_sessions", "low_sessions")]).filter("page_path <> '(unknown)'")
 
 
-def affected_dates(changed: DataFrame, overlap_s: int = 3600, most_days: int = 31) -> DataFrame:
-    """Days to recompute: from a day's earliest change less the overlap to its latest, no further back than ``most_days``."""
+def affected_dates(changed: DataFrame, overlap_s: int = 3600, most_days: int = 31, since: str | None = None, first_run_s: int = 21_600) -> DataFrame:
+    """Days to recompute: from the earliest change less the overlap to the latest, no further back than ``most_days``.
+
+    ``since`` is the watermark of the last run (rows received at or after it, less the overlap, are changes), or "first" for a first run: the last
+    ``first_run_s`` before the newest receipt.
+    """
+    if since == "first":
+        newest = changed.agg(F.max("received_at").alias("__newest"))
+        changed = changed.crossJoin(F.broadcast(newest)).filter(F.col("received_at") >= F.expr(f"__newest - INTERVAL {first_run_s} SECONDS"))  # one row
+    elif since:
+        changed = changed.filter(F.col("received_at") >= F.expr(f"timestamp_ntz'{since}' - INTERVAL {overlap_s} SECONDS"))
     span = changed.agg(F.max("occurred_at").alias("hi"), F.min("received_at").alias("lo")).filter("hi is not null")
     first = F.greatest(F.to_date(F.expr(f"lo - INTERVAL {overlap_s} SECONDS")), F.date_sub(F.to_date("hi"), most_days - 1))
     return span.select(F.explode(F.sequence(first, F.to_date("hi"))).alias(DAY))
