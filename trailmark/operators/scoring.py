@@ -10,25 +10,52 @@ from pyspark.sql.window import Window
 
 from ..functions import scalars as fn
 
-#: Fixed values of the production model: caps and weights, page modifiers, penalties, thresholds.
+#: Fixed values of the production and candidate models: caps and weights, page modifiers, penalties, thresholds.
 TERMS = (("product_view_count", 4, 11.0), ("useful_click_count", 12, 2.2), ("minutes", 6, 4.5), ("scroll_count", 8, 1.8), ("page_view_count", 6, 1.5))
 STAGE_TERMS = (("product_view_count", 4, 8.0), ("page_view_count", 6, 3.0), ("useful_click_count", 12, 4.0), ("minutes", 6, 4.0), ("scroll_count", 8, 1.0))
 MODIFIERS = {"checkout": 1.15, "pdp": 1.05, "collection": 0.95, "home": 0.85, "other": 0.70}
 RANKED = ("other", "home", "collection", "pdp", "checkout")
+#: Thresholds where a day has too few sessions of its own.
 FALLBACK = (25.0, 55.0)
 MIN_SESSIONS = 500
 
 
-def enrichment(rows: DataFrame) -> DataFrame:
-    """Per session, from its page views: entry page type, rank of the best page type, user agent (from clicks if no view has one)."""
+def enrichments() -> list[Column]:
+    """Aggregates over a session's events: entry page type, rank of the best page type, user agent (from clicks if no page view has one)."""
     path = fn.page_path(F.col("url"))
     rank = F.array_position(F.array(*map(F.lit, RANKED)), fn.page_type(path)).cast("int")
     seen = (F.col("event_name") == "page_viewed") & (F.col("url") != "")
-    return rows.groupBy("session_id").agg(
+    return [
         F.coalesce(F.min_by(fn.page_type(path), F.when(seen, F.struct("occurred_at", "seq"))), F.lit("other")).alias("entry_page_type"),
         F.coalesce(F.max(F.when(seen, rank)), F.lit(1)).alias("page_rank"),
         F.coalesce(F.max(F.when(seen, F.col("user_agent"))), F.max(F.when(F.col("event_name") == "click", F.col("user_agent")))).alias("user_agent"),
-    )
+    ]
+
+
+def enrichment(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("session_id").agg(*enrichments())
+
+
+def deepest(rows: DataFrame) -> DataFrame:
+    """Per session: deepest scroll, distinct products viewed and added. One of the extra tables that may be joined to session records."""
+    of = lambda name: F.countDistinct(F.when(F.col("event_name") == name, fn.product_id(F.col("product_id"))))
+    return rows.groupBy("session_id").agg(F.max("scroll_percent").alias("deepest_scroll"), of("product_viewed").alias("products_viewed"), of("product_added_to_cart").alias("products_added"))
+
+
+def with_extras(sessions: DataFrame, extras: list[DataFrame]) -> DataFrame:
+    """Session records with the columns of each extra table (one row a session id), null where it has none."""
+    for extra in extras:
+        sessions = sessions.join(extra, "session_id", "left")
+    return sessions
+
+
+def classified(sessions: DataFrame) -> DataFrame:
+    """Adds ``status`` and ``reason``: invalid_session, then missing_duration (pending), bot, zero_signal, else scored."""
+    ms = F.col("session_time_spent_ms")
+    invalid = F.col("session_id").isNull() | (F.col("session_id") == "") | F.col("session_start").isNull() | F.coalesce(ms < 0, F.lit(False))
+    reason = F.when(invalid, "invalid_session").when(ms.isNull(), "missing_duration").when(status() == "bot", "bot").when(status() == "zero_signal", "zero_signal")
+    kind = F.when(reason.isNull(), "scored").when(reason == "missing_duration", "pending").otherwise("excluded")
+    return sessions.withColumns({"status": kind, "reason": reason})
 
 
 def status(minimum_ms: int = 1000) -> Column:
@@ -56,20 +83,45 @@ class Version:
     eligible_thresholds: bool = False
     floor: bool = True  # stage 0 is always low
     high_from_stage: int = 0
+    modifiers: tuple = tuple(MODIFIERS.items())
+    zero_if_bounced: bool = False  # a bounce by all its limits scores 0
+    percentiles_of: str = "positive"  # or "all_eligible", zeros included
 
-    def score(self) -> Column:
-        minutes = F.col("session_time_spent_ms") / 60000.0
-        value = {"minutes": minutes}
+    def raw(self) -> Column:
+        value = {"minutes": F.col("session_time_spent_ms") / 60000.0}
         raw = sum((F.least(value.get(c, F.col(c)).cast("double"), F.lit(float(cap))) * w for c, cap, w in self.terms), F.lit(0.0))
         if self.bonuses:
             pv, pages, useful = F.col("product_view_count"), F.col("page_view_count"), F.col("useful_click_count")
             raw = raw + 5.0 * sum((c.cast("int") for c in (pages >= 2, pv >= 2, useful >= 2, useful >= 5, (pv >= 2) & (pages >= 2))), F.lit(0))
+        return raw
+
+    def bounce_part(self) -> Column:
         few, brief = F.col("event_count") <= 2, F.col("session_time_spent_ms") < 5000
-        bounce = F.when(few & brief, self.bounce[0]).when(few | brief, self.bounce[1]).otherwise(0.0)
-        stuck = (F.col("click_count") >= 10) & (F.col("dead_click_count") / F.nullif(F.col("click_count"), F.lit(0)) > F.col("p90"))
-        struggle = F.when(stuck, self.struggle).otherwise(0.0)
-        modifier = F.element_at(F.array(*[F.lit(MODIFIERS[t]) for t in RANKED]), F.col("page_rank"))
-        return fn.rounded(F.greatest(F.lit(0.0), F.least((raw + struggle + bounce) * modifier, F.lit(100.0))), 2)
+        return F.when(few & brief, self.bounce[0]).when(few | brief, self.bounce[1]).otherwise(0.0)
+
+    def struggle_part(self) -> Column:
+        return F.when(stuck(), self.struggle).otherwise(0.0)
+
+    def modifier(self) -> Column:
+        return F.element_at(F.array(*[F.lit(dict(self.modifiers)[t]) for t in RANKED]), F.col("page_rank"))
+
+    def score(self) -> Column:
+        value = fn.rounded(F.greatest(F.lit(0.0), F.least((self.raw() + self.struggle_part() + self.bounce_part()) * self.modifier(), F.lit(100.0))), 2)
+        if self.zero_if_bounced:
+            bounced = (F.col("event_count") <= 2) & (F.col("session_time_spent_ms") < 5000) & (F.col("useful_click_count") == 0) & (F.col("scroll_count") == 0)
+            value = F.when(bounced, 0.0).otherwise(value)
+        return value
+
+    def components(self) -> Column:
+        """Score, its parts and the codes of what moved it."""
+        page = F.element_at(F.array(*map(F.lit, RANKED)), F.col("page_rank"))
+        codes = F.concat_ws("|", F.when(self.struggle_part() < 0, "struggle_penalty"), F.when(self.bounce_part() < 0, "bounce_penalty"), F.concat(F.lit("page_modifier_"), page))
+        return F.struct(self.score().alias("score"), self.raw().alias("raw_score"), self.struggle_part().alias("struggle_penalty"), self.bounce_part().alias("bounce_penalty"), self.modifier().alias("modifier"), page.alias("page_type"), codes.alias("reason_codes"))
+
+
+def stuck() -> Column:
+    """Ten clicks or more, dead ones above the day's 90th percentile."""
+    return F.coalesce((F.col("click_count") >= 10) & (F.col("dead_click_count") / F.nullif(F.col("click_count"), F.lit(0)) > F.col("p90")), F.lit(False))
 
 
 VERSIONS = {
@@ -86,6 +138,23 @@ VERSIONS = {
 }
 
 
+#: Page modifiers of the replay variants D and F.
+REVISED = (("checkout", 1.15), ("pdp", 1.05), ("collection", 1.00), ("home", 0.95), ("other", 0.90))
+#: Replay variants of the production model: without or with another bounce rule, other modifiers, thresholds over all eligible sessions.
+REPLAYS = {
+    v.name: v
+    for v in (
+        Version("A", floor=False),
+        Version("B", floor=False, bounce=(0.0, 0.0)),
+        Version("C", floor=False, bounce=(0.0, 0.0), zero_if_bounced=True),
+        Version("D", floor=False, modifiers=REVISED),
+        Version("E", floor=False, percentiles_of="all_eligible"),
+        Version("F", floor=False, bounce=(0.0, 0.0), zero_if_bounced=True, modifiers=REVISED, percentiles_of="all_eligible"),
+        Version("F2", floor=False, bounce=(0.0, 0.0), zero_if_bounced=True, modifiers=REVISED),
+    )
+}
+
+
 def register_version(version: Version) -> None:
     VERSIONS[version.name] = version
 
@@ -109,10 +178,10 @@ def dead_click_p90(sessions: DataFrame) -> DataFrame:
     return nearest_ranks(busy, "day", F.col("dead_click_count") / F.col("click_count"), {"p90": (0.9, None)}).select("day", "p90")
 
 
-def scored_sessions(sessions: DataFrame, rows: DataFrame) -> DataFrame:
-    """Sessions with enrichment, status, evidence stage, their day's P90 and the production score (null unless scored)."""
-    rich = sessions.join(enrichment(rows), "session_id", "left").withColumn("day", F.to_date("session_start"))
-    rich = rich.join(dead_click_p90(sessions), "day", "left")  # a row per day
+def scored_sessions(facts: DataFrame) -> DataFrame:
+    """Session facts (counters and enrichment) with status, evidence stage, their day's P90 and the production score (null unless scored)."""
+    rich = facts.withColumn("day", F.to_date("session_start"))
+    rich = rich.join(F.broadcast(dead_click_p90(facts)), "day", "left")  # a row per day
     rich = rich.withColumns({"status": status(), "stage": stage()})
     return rich.withColumn("score", F.when(F.col("status") == "scored", VERSIONS["V1"].score()))
 
@@ -122,20 +191,21 @@ def calibration(scored: DataFrame, minimum: int = MIN_SESSIONS, score: str = "sc
     able = scored.filter((F.col("status") == "scored") & (F.col("stage") >= 1) & (F.col(score) > 0))
     days = scored.filter("status = 'scored'").groupBy("day").agg(F.count("*").alias("scored"))
     cuts = nearest_ranks(able, "day", F.col(score), {"a": (0.35, None), "b": (0.72, None)})
-    out = days.join(cuts, "day", "left").withColumn("own", F.coalesce("n", F.lit(0)) >= minimum)
-    return out.select("day", "scored", F.coalesce("n", F.lit(0)).alias("population"), F.when(F.col("own"), F.col("a")).otherwise(FALLBACK[0]).alias("p35"), F.when(F.col("own"), F.col("b")).otherwise(FALLBACK[1]).alias("p72"), F.when(F.col("own"), "percentile").otherwise("fixed_fallback").alias("basis"))
+    rates = dead_click_p90(scored)
+    out = days.join(cuts, "day", "left").join(rates, "day", "left").withColumn("own", F.coalesce("n", F.lit(0)) >= minimum)
+    return out.select("day", "scored", F.coalesce("n", F.lit(0)).alias("population"), F.when(F.col("own"), F.col("a")).otherwise(FALLBACK[0]).alias("p35"), F.when(F.col("own"), F.col("b")).otherwise(FALLBACK[1]).alias("p72"), "p90", F.when(F.col("own"), "percentile").otherwise("fixed_fallback").alias("basis"))
 
 
 def thresholds_as_of(days: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Backward as-of: each day gets the newest thresholds at or before it, else the constants.
+    """Backward as-of: each day gets the newest thresholds at or before it, else the constants and no P90. A row whose P90 is null is not passed over for an older one.
 
     Merge by order instead of a range join: both sides are put in one sequence and the last thresholds seen are carried on. There is one row per date.
     """
-    marks = thresholds.select("day", F.struct("day", "p35", "p72").alias("t"), F.lit(0).alias("side"))
+    marks = thresholds.select("day", F.struct("day", "p35", "p72", "p90").alias("t"), F.lit(0).alias("side"))
     asked = days.select("day", F.lit(None).cast(marks.schema["t"].dataType).alias("t"), F.lit(1).alias("side"))
     order = Window.orderBy("day", "side").rowsBetween(Window.unboundedPreceding, 0)
     carried = marks.unionByName(asked).withColumn("t", F.last("t", ignorenulls=True).over(order)).filter("side = 1")
-    return carried.select("day", F.col("t.day").alias("from_day"), F.coalesce("t.p35", F.lit(FALLBACK[0])).alias("p35"), F.coalesce("t.p72", F.lit(FALLBACK[1])).alias("p72"))
+    return carried.select("day", F.col("t.day").alias("from_day"), F.coalesce("t.p35", F.lit(FALLBACK[0])).alias("p35"), F.coalesce("t.p72", F.lit(FALLBACK[1])).alias("p72"), F.col("t.p90").alias("p90"))
 
 
 def bucket(score: Column, floor: bool = True, high_from_stage: int = 2) -> Column:
@@ -147,7 +217,7 @@ def bucket(score: Column, floor: bool = True, high_from_stage: int = 2) -> Colum
 
 def with_buckets(scored: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Scored sessions with ``bucket`` and ``operational_bucket`` (cart, checkout or a checkout landing are always high)."""
-    days = thresholds_as_of(scored.select("day").distinct(), thresholds)
+    days = thresholds_as_of(scored.select("day").distinct(), thresholds).drop("p90")
     out = scored.join(F.broadcast(days), "day", "left")  # a row per day
     sure = (F.col("entry_page_type") == "checkout") | (F.col("checkout_started_count") > 0) | (F.col("add_to_cart_count") > 0)
     out = out.withColumn("bucket", F.when(F.col("status") == "scored", bucket(F.col("score"))))
@@ -160,3 +230,19 @@ def actors(bucketed: DataFrame) -> DataFrame:
     best = Window.partitionBy("identity").orderBy(F.col("score").desc_nulls_last(), "session_id")
     one = bucketed.withColumn("__n", F.row_number().over(best)).withColumn("__count", F.count(order).over(Window.partitionBy("identity"))).filter("__n = 1")
     return one.select("identity", F.when(F.col("__count") > 0, F.col("session_id")).alias("best_session"), F.col("score").alias("best_score"), F.col("bucket").alias("best_bucket"), F.col("__count").alias("scored_sessions"))
+
+
+def touched_actors(pages: list[DataFrame]) -> DataFrame:
+    """The actors of all given sets of sessions, scored and excluded alike, once each."""
+    found = pages[0].select("identity")
+    for page in pages[1:]:
+        found = found.union(page.select("identity"))
+    return found.distinct()
+
+
+def scoring_window(sessions: DataFrame, watermark: str, now: str, changed: str = "session_end", overlap_s: int = 3600, lookback_days: int = 3) -> DataFrame:
+    """Sessions to score: changed from an hour before the watermark up to now, and those of the last days that are still pending."""
+    at, end = F.col(changed), F.lit(now).cast("timestamp_ntz")
+    fresh = (at >= F.expr(f"timestamp_ntz'{watermark}' - INTERVAL {overlap_s} SECONDS")) & (at < end)
+    waiting = (F.col("status") == "pending") & (F.col("session_start") >= F.expr(f"timestamp_ntz'{now}' - INTERVAL {lookback_days} DAYS")) & (at < end)
+    return sessions.filter(fresh | waiting)
