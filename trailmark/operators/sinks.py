@@ -36,3 +36,16 @@ def stale_keys(stored: DataFrame, computed: DataFrame, day: str, keys: list[str]
 
 def report(df: DataFrame, path: str, kind: str = "csv") -> None:
     df.write.mode("overwrite").option("header", True).format(kind).save(path)
+
+
+def updated(stored: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """Rows of ``stored`` with the columns of ``changes`` put in where the key is in it; all other rows and columns stay."""
+    columns = [c for c in changes.columns if c != key]
+    renamed = changes.withColumnsRenamed({c: f"__{c}" for c in columns}).withColumn("__there", F.lit(True))
+    joined = stored.join(renamed, key, "left")
+    return joined.select(*[F.when(F.col("__there"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in stored.columns])
+
+
+def deleted_if_unchanged(stored: DataFrame, seen: DataFrame, key: str, version: str) -> DataFrame:
+    """``stored`` without the rows of ``seen``, except those that have changed since (another ``version`` under the same key)."""
+    return stored.join(seen.select(key, version), [key, version], "left_anti")
