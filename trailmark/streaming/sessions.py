@@ -1,44 +1,20 @@
-"""Streaming sessionization: contract checks, a dead-letter branch, and keyed session state with an idle sweep."""
+"""Streaming sessionization: keyed session state with an idle sweep, a sink that drops redelivered rows, and the dead-letter branch."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..functions import scalars as fn
+from . import contract
 
-MESSAGE = "schema_version int, type string, brand_id string, event_id string, event_name string, actor_id string, client_id string, occurred_at string, url string, click_bucket string, raw map<string,string>"
 CLOSED = "identity string, session_no long, session_start timestamp_ntz, session_end timestamp_ntz, session_time_spent_ms long, event_count long"
 STATE = "number long, start long, last long, count long, claims array<string>"
 
 
-def reject_reason(m: Column, topic: Column) -> Column:
-    """Why a parsed message is refused; null if it is sound."""
-    blank = lambda c: F.coalesce(F.trim(m[c]), F.lit("")) == ""
-    when = F.try_to_timestamp(F.regexp_replace(m["occurred_at"], "Z$", ""))
-    return (
-        F.when(m.isNull(), "not an object")
-        .when(F.coalesce(m["schema_version"], F.lit(0)) != 1, "schema_version")
-        .when(~F.coalesce(m["type"].isin("event", "click"), F.lit(False)), "type")
-        .when(blank("brand_id"), "brand_id")
-        .when(blank("event_id") | (F.length(m["event_id"]) > 100), "event_id")
-        .when(blank("event_name") | (F.length(m["event_name"]) > 100), "event_name")
-        .when((m["type"] == "click") != (m["event_name"] == "click"), "type and name differ")
-        .when(~F.coalesce(F.endswith(m["occurred_at"], F.lit("Z")), F.lit(False)) | when.isNull(), "occurred_at")
-        .when(topic != fn.topic(m["event_name"]), "topic")
-    )
-
-
-def parsed(records: DataFrame) -> DataFrame:
-    """Adds ``m`` (the message) and ``reject_reason`` to raw (topic, value) records: valid and dead-letter rows are two filters on it."""
-    rows = records.withColumn("m", F.from_json(F.col("value").cast("string"), MESSAGE))
-    return rows.withColumn("reject_reason", reject_reason(F.col("m"), F.col("topic")))
-
-
 def _state_machine(timeout_s: int, slack_s: int, grace_s: int):
     def close(key: str, number: int, start: int, last: int, count: int) -> tuple:
         return key, number, pd.Timestamp(start, unit="us"), pd.Timestamp(last, unit="us"), (last - start) // 1000, count
@@ -48,14 +24,14 @@ def _state_machine(timeout_s: int, slack_s: int, grace_s: int):
         number, start, last, count, claims = state.get if state.exists else (0, 0, 0, 0, [])
         if state.hasTimedOut:
             out.append(close(key[0], number, start, last, count))
-            state.update((number, 0, 0, 0, []))
+            state.remove()  # the next event of this visitor is a first one again
         else:
             rows = pd.concat(list(batches)).sort_values(["micros", "seq"], kind="stable")
             claimed = set(claims)
             for micros, name, product in zip(rows["micros"].tolist(), rows["event_name"].tolist(), rows["product_id"].tolist(), strict=True):
                 gap = micros - last
                 fresh = count == 0 or gap > timeout_s * 1_000_000 or gap < -slack_s * 1_000_000
-                once = product if name == "product_added_to_cart" and product is not None else None
+                once = product.lower() if name == "product_added_to_cart" and product is not None else None
                 if once is not None and not fresh and once in claimed:
                     continue  # a repeated add leaves the session untouched
                 if fresh:
@@ -76,7 +52,7 @@ def _state_machine(timeout_s: int, slack_s: int, grace_s: int):
 def closed_sessions(rows: DataFrame, timeout_s: int = 1800, slack_s: int = 30, grace_s: int = 60) -> DataFrame:
     """Sessions of a stream as they close: by the visitor's next event, or by the idle sweep (a processing-time timer).
 
-    A gap above ``timeout_s``, or more than ``slack_s`` back, opens a session; a smaller step back stays in it and does not move its end. Late
+    Sessions are numbered from 1 again once a visitor has idled out, as nothing is kept of visitors who are gone. A gap above ``timeout_s``, or more than ``slack_s`` back, opens a session; a smaller step back stays in it and does not move its end. Late
     rows are applied in order of arrival, never dropped. State is one row a visitor, in Spark's checkpointed store, and its cart claims
     go with each session. Rows without identity have no session.
     """
@@ -85,17 +61,38 @@ def closed_sessions(rows: DataFrame, timeout_s: int = 1800, slack_s: int = 30, g
     return thin.groupBy("identity").applyInPandasWithState(_state_machine(timeout_s, slack_s, grace_s), CLOSED, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def append_new(path: str, key: str):
-    """A ``foreachBatch`` sink whose redelivered batches are no-ops: each batch replaces its own folder, and keys stored by others are left out."""
+def append_new(path: str, key: str, within: str | None = None):
+    """A ``foreachBatch`` sink whose redelivered batches are no-ops: each batch replaces its own folder, and keys stored by others are left out.
+
+    ``within`` names a date column by which the table is partitioned: only the days of the batch are then read for keys, not the whole table.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark, fresh = batch.sparkSession, batch.dropDuplicates([key])
         try:
             stored = spark.read.schema(batch.schema.add("batch", "long")).parquet(path).filter(F.col("batch") != number)
+            if within:
+                span = batch.agg(F.min(within).alias("lo"), F.max(within).alias("hi")).first()
+                stored = stored.filter(F.col(within).between(F.lit(span.lo), F.lit(span.hi)))
             fresh = fresh.join(stored.select(key), key, "left_anti")
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-        fresh.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+        by = ["batch", within] if within else ["batch"]
+        fresh.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+    return write
+
+
+def split_records(good: str, dead: str):
+    """A ``foreachBatch`` sink for raw records: refused ones are written, with their reasons, before sound ones, so that none is lost when the second write fails."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        checked = contract.parsed(batch).persist()
+        letters = contract.dead_letters(checked).withColumn("batch", F.lit(number).cast("long"))
+        letters.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(dead)
+        sound = contract.messages(checked).drop("v").withColumn("batch", F.lit(number).cast("long"))
+        sound.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(good)
+        checked.unpersist()
 
     return write
