@@ -30,6 +30,6 @@ def test_nearest_ranks_equal_sorted_lists(spark):
 
 def test_thresholds_gather_no_group(spark):
     plans = registry.Plans(spark, SF)
-    long = plans.long()
-    for df in (scoring.dead_click_p90(plans.sessions()), plans.calibration(), long, evaluation.score_bands(long), evaluation.threshold_shift(long)):
+    long = evaluation.versions_long(plans.scored())
+    for df in (scoring.dead_click_p90(plans.facts()), plans.calibration(), long, evaluation.score_bands(long), evaluation.threshold_shift(long)):
         assert "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
