@@ -68,8 +68,10 @@ def test_sessions_of_a_stream_equal_the_batch_fold(spark, tmp_path):
     rows.filter(F.col("occurred_at") < edge).coalesce(1).write.parquet(f"{tmp_path}/in")
     rows.filter(F.col("occurred_at") >= edge).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     stream = adapter.read_events(spark, f"{tmp_path}/in", rows.schema, streaming=True, maxFilesPerTrigger=1)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # else the idle sweep keeps the query alive
     query = streaming.closed_sessions(stream, timeout_s=86_400).writeStream.format("memory").queryName("closed").outputMode("append").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
     query.awaitTermination(150)
+    spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
     assert query.exception() is None and not query.isActive
     got = {(r.identity, r.session_no): (r.session_start, r.session_end, r.event_count) for r in spark.table("closed").collect()}
     batch = ss.sessions(rows, 86_400)

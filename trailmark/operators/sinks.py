@@ -48,4 +48,4 @@ def updated(stored: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 def deleted_if_unchanged(stored: DataFrame, seen: DataFrame, key: str, version: str) -> DataFrame:
     """``stored`` without the rows of ``seen``, except those that have changed since (another ``version`` under the same key)."""
-    return stored.join(seen.select(key, version), [key, version], "left_anti")
+    return stored.join(seen.select(key, version), [key, version], "left_anti").select(stored.columns)

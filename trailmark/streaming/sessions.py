@@ -52,7 +52,8 @@ def _state_machine(timeout_s: int, slack_s: int, grace_s: int):
 def closed_sessions(rows: DataFrame, timeout_s: int = 1800, slack_s: int = 30, grace_s: int = 60) -> DataFrame:
     """Sessions of a stream as they close: by the visitor's next event, or by the idle sweep (a processing-time timer).
 
-    Sessions are numbered from 1 again once a visitor has idled out, as nothing is kept of visitors who are gone. A gap above ``timeout_s``, or more than ``slack_s`` back, opens a session; a smaller step back stays in it and does not move its end. Late
+    The sweep runs in batches without data, so a run that is to end with its input (``availableNow``) turns those off
+    (``spark.sql.streaming.noDataMicroBatches.enabled``) and leaves the last sessions open in its state. Sessions are numbered from 1 again once a visitor has idled out, as nothing is kept of visitors who are gone. A gap above ``timeout_s``, or more than ``slack_s`` back, opens a session; a smaller step back stays in it and does not move its end. Late
     rows are applied in order of arrival, never dropped. State is one row a visitor, in Spark's checkpointed store, and its cart claims
     go with each session. Rows without identity have no session.
     """
