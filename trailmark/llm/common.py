@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,9 +77,14 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def clear_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete shuffle files of steps that nothing refers to any more (their results are checkpointed), instead of at some later collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark's cleaner delete shuffle files of steps that nothing refers to any more (their results are checkpointed), instead of at some later collection.
+
+    Two rounds: the first lets go of the driver's Python handles, the second of what they held in the JVM.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def lower_ascii(text: Column) -> Column:
