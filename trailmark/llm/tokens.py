@@ -99,21 +99,27 @@ class Encoder:
         new = [p for p in pieces if p not in parts]
         made = dict(zip(new, self.plain(new), strict=True))
         parts |= made
-        found = {w: parts[some[0]] if len(some) == 1 else b"".join([parts[p] for p in some]) for w, some in cut.items()}
+        found = {w: b"".join([parts[p] for p in some]) for w, some in cut.items()}
         self.memo.add(made | found)
         return found
 
     def ids(self, texts: list[str]) -> list[bytes]:
         whole = {k for k, t in enumerate(texts) if any(s in t for s in self.special)}
         cut = [[] if k in whole else self.cut(t) for k, t in enumerate(texts)]
-        table = self.memo.young
-        unknown = [w for w in set().union(*cut) if w not in table]
-        if unknown:
+        known = [list(map(self.memo.young.get, words)) for words in cut]
+        holes: list[tuple[int, int]] = []
+        for k, values in enumerate(known):
+            at = -1
+            for _ in range(values.count(None)):
+                at = values.index(None, at + 1)
+                holes.append((k, at))
+        if holes:
+            unknown = list(dict.fromkeys(cut[k][at] for k, at in holes))
             found = self.memo.get(unknown)
             found |= self.learn([w for w in unknown if w not in found])
-            if self.memo.young is not table or not found.keys() <= table.keys():
-                table = table | found  # a new generation has begun, or some were too long to be remembered
-        out = [b"".join(map(table.__getitem__, words)) for words in cut]
+            for k, at in holes:
+                known[k][at] = found[cut[k][at]]
+        out = [b"".join(values) for values in known]
         for k in whole:
             (out[k],) = self.plain([texts[k]])
         return out
