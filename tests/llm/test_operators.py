@@ -400,7 +400,7 @@ def test_piece_lengths(n, bits):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.one_of(st.characters(codec="utf-8"), st.sampled_from(["a", "B", " ", "  ", "\t", "\n", ".", ",", "'s", "!", "1", "\u00e9", "\u3000", "<|", "<|endoftext|>", "<|startoftext|>"])), max_size=60).map("".join))
+@given(st.lists(st.one_of(st.characters(codec="utf-8"), st.sampled_from(["a", "B", " ", "  ", "\t", "\n", ".", ",", "'s", "!", "1", "\u00e9", "\u3000", "<|", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|STARTOFTEXT|>", " cat", " Cats", "123", "\u212a"])), max_size=60).map("".join))
 def test_cut_encoding_equals_whole_encoding(text):
     for name, spaces in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
         path = tokenizer_path(name)

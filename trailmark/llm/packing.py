@@ -19,7 +19,7 @@ def piece_lengths(n: int, longest: int) -> list[int]:
     return [longest] * whole + [1 << b for b in range(longest.bit_length() - 2, -1, -1) if rest >> b & 1]
 
 
-def binary_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, longest: int = 4096, memo_bytes: int = 100_000_000) -> DataFrame:
+def binary_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, longest: int = 4096, memo_bytes: int = 130_000_000) -> DataFrame:
     """The pieces of all documents: id, ``start``, ``length``, ``bucket`` (log2 of the length), ``doc_tokens``, ``ids`` (little-endian
     unsigned 32-bit), ``sequence_id``, ``offset``.
 

@@ -8,6 +8,7 @@ equals encoding the whole text (tests compare them).
 
 from __future__ import annotations
 
+import operator
 import os
 import re
 from collections.abc import Iterator
@@ -18,6 +19,9 @@ LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,!?;:|&$%*#"
 PIECE = re.compile(rf"[{SPACE}]*[{LETTERS}]+(?=[{MARKS}{SPACE}]|\Z)|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Where cutting before every blank might cut inside a run of white space; begins with a literal, which is searched fast.
 RUNS = re.compile(rf" (?:[{SPACE}]|\Z)")
+#: Pieces that the pre-tokenizers leave whole (and normalizers as they are), so that the library's model can take them at once: of the
+#: vocabulary where spaces matter, and of the one of lower-case words.
+WHOLE = {True: re.compile(rf" ?(?:[{LETTERS}]+|[0-9]+)"), False: re.compile("[a-zß-öø-ÿ]+")}
 #: What a remembered piece takes beside its characters and ids (two objects and a place in a table), and the longest piece remembered.
 ENTRY_BYTES, LONGEST = 220, 64
 
@@ -34,6 +38,13 @@ def token_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte: printable ones as themselves, all others by the letters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Memo:
     """Ids by piece in two generations of about ``most`` bytes each: a full young one becomes the old one, and what is met again moves back.
 
@@ -56,79 +67,120 @@ class Memo:
     def get(self, pieces: list[str]) -> dict[str, bytes]:
         """Those of ``pieces`` that are known."""
         found = {p: ids for p, ids in zip(pieces, map(self.young.get, pieces), strict=True) if ids is not None}
-        older = {p: ids for p, ids in zip(pieces, map(self.old.get, pieces), strict=True) if ids is not None and p not in found}
+        older = {p: ids for p, ids in zip(pieces, map(self.old.get, pieces), strict=True) if ids is not None and p not in found} if self.old else {}
         self.add(older)
         return found | older
 
 
+ID = operator.attrgetter("id")
+
+
 class Encoder:
     """``ids(texts)``: for each text its ids as little-endian unsigned 32-bit bytes, as ``encode(text, add_special_tokens=False)`` gives them.
 
-    Words are looked up first, then their pieces, and only unknown pieces go to the library, all of a batch in one call. ``spaces_matter`` is
-    false for a vocabulary of lower-case words that drops white space. A text that holds the string of a special token is encoded whole, since
-    the library makes one id of it wherever it stands; with ``special_as_text`` such strings are ordinary text.
+    Words are looked up first, then their pieces, and only unknown pieces go to the library: plain words to its model, which saves the
+    normalizer, the pre-tokenizer and the records that these make, all others of a batch to one call. ``spaces_matter`` is false for a vocabulary of
+    lower-case words that drops white space. A text that holds the string of a special token, in any case of its letters, is encoded whole: the
+    library makes one id of it wherever it stands as it is, and ordinary ids where its case differs. With ``special_as_text`` such strings are
+    ordinary text.
     """
 
-    def __init__(self, path: str, spaces_matter: bool, special_as_text: bool = False, memo_bytes: int = 100_000_000):
+    def __init__(self, path: str, spaces_matter: bool, special_as_text: bool = False, memo_bytes: int = 130_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.prefix = re.match("[^A-Za-z]*", os.path.commonprefix(self.special))[0]  # searched fast
+        self.any_case = re.compile("|".join(map(re.escape, self.special)), re.IGNORECASE | re.ASCII)
         self.spaces_matter = spaces_matter
+        self.model, self.letters, self.whole = self.tokenizer.model, byte_letters(), WHOLE[spaces_matter].fullmatch
         self.memo = Memo(memo_bytes)
 
-    def cut(self, text: str) -> list[str]:
-        """The words of a text; joined in order they give its ids."""
-        if not self.spaces_matter:
-            return [w.decode() for w in text.encode("utf-8", "replace").lower().split()]
-        if "\0" in text or RUNS.search(text):
-            return PIECE.findall(text)
-        return text.replace(" ", "\0 ").split("\0")
-
     def plain(self, pieces: list[str]) -> list[bytes]:
         from array import array
 
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def plain_words(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that ``WHOLE`` takes."""
+        from array import array
+
+        letters, tokens = self.letters, self.model.tokenize
+        return [array("I", map(ID, tokens(p.encode().decode("latin-1").translate(letters)))).tobytes() for p in pieces]
+
     def learn(self, unknown: list[str]) -> dict[str, bytes]:
-        cut = {w: PIECE.findall(w) for w in unknown}
+        """Ids of words that are not known, all of which are then."""
+        whole = self.whole
+        words = [w for w in unknown if whole(w)]
+        found = dict(zip(words, self.plain_words(words), strict=True))
+        cut = {w: PIECE.findall(w) for w in unknown if w not in found}
         pieces = list(dict.fromkeys(p for some in cut.values() for p in some))
         parts = self.memo.get(pieces)
         new = [p for p in pieces if p not in parts]
-        made = dict(zip(new, self.plain(new), strict=True))
+        words = [p for p in new if whole(p)]
+        made = dict(zip(words, self.plain_words(words), strict=True))
+        others = [p for p in new if p not in made]
+        made |= dict(zip(others, self.plain(others), strict=True))
         parts |= made
-        found = {w: b"".join([parts[p] for p in some]) for w, some in cut.items()}
+        found |= {w: b"".join([parts[p] for p in some]) for w, some in cut.items()}
         self.memo.add(made | found)
         return found
 
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, in their order."""
+        found = self.memo.get(words)
+        found |= self.learn([w for w in words if w not in found])
+        return list(map(found.__getitem__, words))
+
+    def cut_at_spaces(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts by Arrow's kernels: cut into words, number the distinct ones, look these up, and put their ids in the places of the words."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        column = pa.array(texts, pa.large_string())
+        lists = pc.split_pattern(column, " ") if self.spaces_matter else pc.ascii_split_whitespace(pc.ascii_lower(column))
+        ends = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        at, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        if self.spaces_matter:  # all but a text's first word have a space before them
+            first = coded.take(pa.array(ends[:-1])).to_pylist()
+            alone = dict(zip(kinds := list(dict.fromkeys(first)), self.words(kinds), strict=True))
+            values = self.words([f" {w}" for w in distinct]) + [alone[w] for w in first]
+            at = at.copy()
+            at[ends[:-1]] = np.arange(len(distinct), len(values))
+        else:
+            values = self.words(distinct)
+        placed = pa.array(values, pa.large_binary()).take(pa.array(at))
+        bytes_at = np.frombuffer(placed.buffers()[1], np.int64, len(placed) + 1)[ends].tolist() if len(placed) else [0] * len(ends)
+        data = memoryview(placed.buffers()[2]) if bytes_at[-1] else b""
+        return [bytes(data[a:b]) for a, b in zip(bytes_at, bytes_at[1:], strict=False)]
+
     def ids(self, texts: list[str]) -> list[bytes]:
-        whole = {k for k, t in enumerate(texts) if any(s in t for s in self.special)}
-        cut = [[] if k in whole else self.cut(t) for k, t in enumerate(texts)]
-        known = [list(map(self.memo.young.get, words)) for words in cut]
-        holes: list[tuple[int, int]] = []
-        for k, values in enumerate(known):
-            at = -1
-            for _ in range(values.count(None)):
-                at = values.index(None, at + 1)
-                holes.append((k, at))
-        if holes:
-            unknown = list(dict.fromkeys(cut[k][at] for k, at in holes))
-            found = self.memo.get(unknown)
-            found |= self.learn([w for w in unknown if w not in found])
-            for k, at in holes:
-                known[k][at] = found[cut[k][at]]
-        out = [b"".join(values) for values in known]
-        for k in whole:
-            (out[k],) = self.plain([texts[k]])
+        out: list = [None] * len(texts)
+        plain = []
+        for k, text in enumerate(texts):
+            if self.special and self.prefix in text and self.any_case.search(text):
+                (out[k],) = self.plain([text])
+            elif self.spaces_matter and RUNS.search(text):
+                words = PIECE.findall(text)
+                kinds = list(dict.fromkeys(words))
+                of = dict(zip(kinds, self.words(kinds), strict=True))
+                out[k] = b"".join(map(of.__getitem__, words))
+            else:
+                plain.append(k)
+        if plain:
+            for k, ids in zip(plain, self.cut_at_spaces([texts[k] for k in plain]), strict=True):
+                out[k] = ids
         return out
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, spaces_matter: bool, special_as_text: bool = False, memo_bytes: int = 100_000_000) -> Encoder:
+def encoder(path: str, spaces_matter: bool, special_as_text: bool = False, memo_bytes: int = 130_000_000) -> Encoder:
     """One encoder a Python worker, whatever the number of its tasks; only the one asked for last is kept."""
     key = (path, spaces_matter, special_as_text, memo_bytes)
     if key not in _ENCODERS:
@@ -137,7 +189,7 @@ def encoder(path: str, spaces_matter: bool, special_as_text: bool = False, memo_
     return _ENCODERS[key]
 
 
-def batches(texts: list[str], chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def batches(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about ``chars`` characters each (a longer text is a range of its own)."""
     begin = total = 0
     for i, text in enumerate(texts):
