@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from . import ann_graph, exact_dedup, hilbert, language_id, license_scan, mixing, ngram_jaccard, packing, secret_scan, simple8b
+from . import ann_graph, best_fit, exact_dedup, hilbert, language_id, license_scan, max_score, mixing, ngram_jaccard, packing, prefix_trie, secret_scan, simple8b
 from .common import shared_dir, table
 from .tokens import token_pattern, tokenizer_path
 
@@ -145,6 +146,72 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op11_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return max_score.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Terms as they are written for both sides; what stands between terms is of ASCII.
+OP11_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {OP11_TERMS} AS t FROM documents WHERE text IS NOT NULL),
+n AS (SELECT r, doc_id, len(t)::BIGINT AS n FROM d WHERE len(t) > 0),
+total AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM n),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term),
+q AS (SELECT item_id, row_number() OVER () AS i, unnest(list_distinct({OP11_TERMS})) AS term FROM benchmark),
+s AS (SELECT i, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term) JOIN n USING (r), total GROUP BY i, r),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
+def rebuilt(turns: DataFrame, family: int = 20) -> DataFrame:
+    """Conversations that begin like the first of their family of ids: each takes its first turns (up to three, by its own id) in place of as many of its own.
+
+    Turns of one number are ordered by role and text. Each conversation also has a row without a place, so that one without turns stays. Rows
+    without an id belong to none.
+    """
+    own = turns.filter("conv_id is not null").select("conv_id", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "turn")
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    placed = own.select("conv_id", F.row_number().over(order).alias("place"), "role", "text")
+    head = lambda c: F.crc32(F.col(c).cast("string")) % 4
+    ids = own.select("conv_id").distinct().withColumns({"first": F.col("conv_id") - F.col("conv_id") % family, "h": head("conv_id")})
+    heads = placed.filter((F.col("conv_id") % family == 0) & (F.col("place") <= 3)).withColumnRenamed("conv_id", "first")
+    taken = ids.join(heads, "first").filter("place <= h").select("conv_id", "place", "role", "text")
+    nothing = ids.select("conv_id", F.lit(None).cast("int").alias("place"), F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"))
+    return taken.unionByName(placed.filter(F.col("place") > head("conv_id"))).unionByName(nothing)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = prefix_trie.prefix_trie(prefix_trie.conversations(rebuilt(table(spark, sf_dir, "conversations"))))
+    return out.select(*[F.col(c).cast("long").alias(c) for c in ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens")], "ends_sha256")
+
+
+OP12_SQL = f"""
+WITH {CRC32_TABLE_SQL},
+own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, c - c % 20 AS base, {CRC32_SQL} % 4 AS h FROM (SELECT DISTINCT c, c::VARCHAR AS t FROM own), ct),
+turns AS (SELECT i.c, place, role, text FROM ids i JOIN own o ON o.c = i.base AND place <= h UNION ALL SELECT i.c, place, role, text FROM ids i JOIN own o ON o.c = i.c AND place > h),
+ranked AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY place) AS d, len(role) || ':' || role || text AS step, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM turns),
+paths AS (SELECT c, d, words, list(md5(step)) OVER (PARTITION BY c ORDER BY d) AS path FROM ranked UNION ALL SELECT c, 0, 0, [] FROM ids),
+ended AS (SELECT c, max(d) AS n FROM paths GROUP BY c),
+nodes AS (SELECT path, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+          sha256(coalesce(string_agg(CASE WHEN d = n THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256 FROM paths JOIN ended USING (c) GROUP BY path),
+kids AS (SELECT path[:-2] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_ AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (path)),
+ups AS (SELECT path[:k] AS path, n_children = 0 AS leaf, (n_convs - 1) * words AS saved FROM (SELECT *, unnest(range(depth + 1)) AS k FROM full_)),
+sums AS (SELECT path, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM ups GROUP BY path)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM full_ f JOIN sums USING (path) LEFT JOIN nodes p ON f.depth > 0 AND p.path = f.path[:-2]
+"""
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.best_fit_pieces(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_graph_neighbours": op2_graph_neighbours,
@@ -156,5 +223,8 @@ QUERIES = {
     "op8_simple8b_ids": op8_simple8b_ids,
     "op9_secret_scan": op9_secret_scan,
     "op10_entropy_mix": op10_entropy_mix,
+    "op11_max_score": op11_max_score,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_best_fit": op13_best_fit,
 }
-ORACLES = {"op4_hilbert_shards": op4_sql(), "op5_exact_dedup": OP5_SQL}
+ORACLES = {"op4_hilbert_shards": op4_sql(), "op5_exact_dedup": OP5_SQL, "op11_max_score": OP11_SQL, "op12_prefix_trie": OP12_SQL}

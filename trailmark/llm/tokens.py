@@ -130,9 +130,18 @@ class Encoder:
 
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words, in their order."""
-        found = self.memo.get(words)
-        found |= self.learn([w for w in words if w not in found])
-        return list(map(found.__getitem__, words))
+        values = list(map(self.memo.young.get, words))
+        missing = [k for k, v in enumerate(values) if v is None]
+        if missing:
+            names = [words[k] for k in missing]
+            older = list(map(self.memo.old.get, names))
+            found = {w: v for w, v in zip(names, older, strict=True) if v is not None}
+            unknown = [w for w, v in zip(names, older, strict=True) if v is None]
+            self.memo.add(found)
+            found |= self.learn(unknown)
+            for k, w in zip(missing, names, strict=True):
+                values[k] = found[w]
+        return values
 
     def cut_at_spaces(self, texts: list[str]) -> list[bytes]:
         """Ids of texts by Arrow's kernels: cut into words, number the distinct ones, look these up, and put their ids in the places of the words."""
@@ -144,7 +153,7 @@ class Encoder:
         lists = pc.split_pattern(column, " ") if self.spaces_matter else pc.ascii_split_whitespace(pc.ascii_lower(column))
         ends = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
-        at, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        at, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if self.spaces_matter:  # all but a text's first word have a space before them
             first = coded.take(pa.array(ends[:-1])).to_pylist()
             alone = dict(zip(kinds := list(dict.fromkeys(first)), self.words(kinds), strict=True))
@@ -189,7 +198,7 @@ def encoder(path: str, spaces_matter: bool, special_as_text: bool = False, memo_
     return _ENCODERS[key]
 
 
-def batches(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def batches(texts: list[str], chars: int = 8_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about ``chars`` characters each (a longer text is a range of its own)."""
     begin = total = 0
     for i, text in enumerate(texts):
