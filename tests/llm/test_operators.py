@@ -15,6 +15,7 @@ import pytest
 from compare import duck_rows, spark_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trailmark.llm import ann_graph, common, components, exact_dedup, hilbert, language_id, license_scan, mixing, ngram_jaccard, packing, queries, secret_scan, simple8b
@@ -76,6 +77,30 @@ def test_language_odd_rows(odd, empty):
     assert {r.lang_pred for r in language_id.predict(odd, *language_id.train(empty)).collect()} == {"und"}
 
 
+def test_language_with_few_distinct_texts_is_learned(spark):
+    """One text in all rows of a language, or in most: it is read once, and no language is left without."""
+    rows = [("xx", "quux quuz quuxes")] * 100 + [("yy", "wibble wobble")] * 500 + [("yy", f"wibbly {i}") for i in range(50)] + [("zz", "z")]
+    names, logs = language_id.train(spark.createDataFrame(rows, "lang string, text string"), rows_per_language=20)
+    assert names == ["xx", "yy", "zz"] and all(len(set(np.round(row[:-1], 9))) > 1 for row in logs)
+    asked = spark.createDataFrame([(1, "quux"), (2, "wobbly")], "doc_id long, text string")
+    assert [r.lang_pred for r in language_id.predict(asked, names, logs).orderBy("doc_id").collect()] == ["xx", "yy"]
+
+
+def test_grams_equal_a_plain_loop():
+    """Buckets are those of each run of one to three characters, letters in lower case and other runs as one blank."""
+
+    def bucket(gram):
+        key = 0
+        for size, c in enumerate(gram, 1):
+            key = (key * 0x9E3779B1 + ord(c) * (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)[size - 1] + size) % 2**32
+        return ((key ^ key >> 15) * 0x85EBCA77 % 2**32) >> 18
+
+    for text in ("", "a", "Ab", "x1y  Zé!", "été, ÉTÉ 12 the"):
+        plain = re.sub(r"[^a-zé]+", " ", text.lower())
+        grams = [plain[i : i + n] for n in (1, 2, 3) for i in range(len(plain) - n + 1)]
+        assert sorted(language_id.gram_buckets(text, 14).tolist()) == sorted(map(bucket, grams))
+
+
 def test_language_posterior_equals_brute_force(odd):
     names, logs = language_id.train(odd, bits=8)
     counts = {n: sum((language_id.gram_counts(r.text, 8) for r in odd.collect() if r.lang == n and r.text is not None), np.zeros(256)) + 0.1 for n in names}
@@ -113,6 +138,13 @@ def test_neighbours_odd_rows(spark):
     assert ann_graph.nearest(df.limit(0), ann_graph.F.col("id") % 100 == 0).count() == 0
 
 
+def test_neighbours_where_rows_repeat_the_query(spark):
+    """The query's own id, on many rows of one vector, takes no candidate's place."""
+    rows = [(100, [1.0, 2.0])] * 12 + [(i, [1.0, 2.0]) for i in (101, 101, 102, 103)] + [(200, [5.0, 6.0]), (100, [9.0, 9.0])]
+    got = ann_graph.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") == 100, k=4).orderBy("rank").collect()
+    assert [(r.id, round(r.score, 2)) for r in got if r.query_id == 100][:3] == [(101, 0.0), (102, 0.0), (103, 0.0)] and len(got) == 4
+
+
 def test_beam_reaches_most_in_many_shards(spark):
     points = np.random.default_rng(5).normal(size=(3000, 16)).astype(np.float32)
     df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, vector array<float>")

@@ -136,3 +136,19 @@ def test_stages_take_odd_and_empty_rows(spark, odd, empty):  # noqa: F811
 def test_run(spark, stages):
     got = Counter(r.doc_id for r in corpus_pipeline.run(spark, SF).collect())
     assert got == Counter(r.doc_id for r in stages["binary_packing"][1])
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies])
+def test_no_group_is_lost_when_files_are_dealt_anew(spark, tmp_path, stage):
+    """Verdicts are computed in one pass and applied in another, over tasks that hold other files in another order."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(12)) for i in range(300)]
+    rows = [(2 * i + c, texts[i], "_metadata") for c in range(2) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, _metadata string").repartition(20).write.parquet(f"{tmp_path}/docs")
+    try:
+        kept = stage(spark, spark.read.parquet(f"{tmp_path}/docs"), SF)
+        spark.conf.set("spark.sql.files.minPartitionNum", "37")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert sorted(r.text for r in kept.collect()) == sorted(texts)
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")

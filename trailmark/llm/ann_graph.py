@@ -208,8 +208,10 @@ def _answers(k: int, beam: int):
             nodes = np.frombuffer(shard["vectors"], np.float64).reshape(-1, dim)
             graph = np.frombuffer(shard["edges"], "<i4").reshape(len(nodes), -1).astype(np.int64)
             ids, owners = np.frombuffer(shard["ids"], "<i8"), np.frombuffer(shard["owners"], "<i4")
-            grouped = np.argsort(owners, kind="stable")  # ids ascend inside a node
-            begins = np.searchsorted(owners[grouped], np.arange(len(nodes) + 1))
+            order = np.lexsort((ids, owners))  # ids ascend inside a node, each once
+            fresh = np.append(True, (np.diff(ids[order]) != 0) | (np.diff(owners[order]) != 0))
+            ids, owners = ids[order][fresh], owners[order][fresh]
+            begins = np.searchsorted(owners, np.arange(len(nodes) + 1))
             own = asked.column("query").to_numpy()
             queries = asked.column("asked").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
             frame = Frame(nodes)
@@ -221,7 +223,7 @@ def _answers(k: int, beam: int):
                     scores = exact_distances(queries[q], nodes[met])
                     kept: list[tuple[float, int]] = []
                     for node, score in zip(met.tolist(), scores.tolist(), strict=True):
-                        mine = ids[grouped[begins[node] : min(begins[node + 1], begins[node] + k + 1)]].tolist()
+                        mine = ids[begins[node] : min(begins[node + 1], begins[node] + k + 1)].tolist()  # one of them may be the query's own
                         kept += [(score, i) for i in mine if i != own[q]]
                     for score, i in sorted(kept)[:k]:
                         out[0].append(int(own[q]))
@@ -240,7 +242,7 @@ def vectors_of(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
 
 
 def nearest(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """The ``k`` nearest found of each query row among all rows but the query's own id (rows that repeat an id are candidates once each, never of themselves).
+    """The ``k`` nearest found of each query row among all rows but the query's own id (rows that repeat id and vector are one candidate, and rows of the query's id none).
 
     Vectors of different dimensions never meet. An empty table gives no rows; other columns are ignored.
     """

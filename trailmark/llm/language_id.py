@@ -57,21 +57,25 @@ def _letters(points: np.ndarray) -> np.ndarray:
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", bits: int = 14, rows_per_language: int = 20_000, smoothing: float = 0.1, most_languages: int = 1000) -> tuple[list[str], np.ndarray]:
     """(languages, log-probability matrix of languages by buckets, its last column the log prior).
 
-    At most about ``rows_per_language`` rows a language, chosen by a hash of the text, are read: a documented bound on what a
-    model needs, whatever the table's size. Partitions add up their counts; one row per language and partition is summed by Spark,
+    About ``rows_per_language`` distinct texts a language at most, chosen by a hash of the text, are read: a documented bound on what a
+    model needs, whatever the table's size. A text counts as often as it stands in the table, but its copies are read once; the text of a
+    language's least hash is always among them, so no language with a text is left without. Partitions add up their counts; one row per language and partition is summed by Spark,
     and the matrix of ``2 ** bits`` columns reaches the driver. It has ``most_languages`` rows at most (1,000 rows of 2 ** 14 doubles are 131 MB): a
     table with more distinct languages is refused with an error, as its column cannot hold languages. Rows with a null language or text are left out.
     """
     known = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
-    share = known.groupBy("lang").agg(F.count("*").alias("n")).select("lang", F.least(F.lit(1.0), rows_per_language / F.col("n")).alias("share"), "n")
-    languages = [(r.lang, r.share, r.n) for r in share.orderBy("lang").limit(most_languages + 1).collect()]
+    known = known.withColumn("hash", F.xxhash64("text"))
+    distinct = known.groupBy("lang", "hash").agg(F.count("*").alias("n"))
+    share = distinct.groupBy("lang").agg(F.sum("n").alias("n"), (F.lit(1.0) * rows_per_language / F.count("*")).alias("share"), F.min("hash").alias("least"))
+    languages = [(r.lang, r.share, r.n, r.least) for r in share.orderBy("lang").limit(most_languages + 1).collect()]
     if len(languages) > most_languages:
         raise ValueError(f"more than {most_languages} languages")
     if not languages:
         return [], np.zeros((0, (1 << bits) + 1))
     names = [x[0] for x in languages]
-    cut = F.element_at(F.create_map(*[F.lit(v) for x in languages for v in x[:2]]), F.col("lang"))
-    chosen = known.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < cut * (1 << 20))
+    cuts = labelled.sparkSession.createDataFrame([(x[0], x[1], x[3]) for x in languages], "lang string, share double, least long")
+    chosen = known.join(F.broadcast(cuts), "lang").filter((F.pmod("hash", F.lit(1 << 20)) < F.col("share") * (1 << 20)) | (F.col("hash") == F.col("least")))  # most_languages rows
+    chosen = chosen.groupBy("lang", "hash").agg(F.any_value("text").alias("text"), F.count("*").alias("n")).select("lang", "text", "n")
     place = {name: i for i, name in enumerate(names)}
 
     def count(parts: Iterator) -> Iterator:
@@ -79,8 +83,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", b
 
         sums: dict[int, np.ndarray] = {}
         for part in parts:
-            for lang, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                sums[place[lang]] = sums.get(place[lang], 0) + gram_counts(text.as_py(), bits)
+            for lang, text, n in zip(part.column(0).to_pylist(), part.column(1), part.column(2).to_pylist(), strict=True):
+                sums[place[lang]] = sums.get(place[lang], 0) + n * gram_counts(text.as_py(), bits)
         for lang, counts in sums.items():
             some = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array(counts[some], pa.int64())], ["lang", "bucket", "n"])

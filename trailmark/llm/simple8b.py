@@ -32,18 +32,22 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     high = ids >> np.uint32(16)
     wide[:n] = np.where(high > 0, BITS[np.minimum(high, len(BITS) - 1)] + 16, BITS[ids & np.uint32(0xFFFF)]) if high.any() else BITS[ids]
     best = np.zeros(blocks * block, np.uint8)  # the selector that packs most ids from here on
-    most = wide.copy()
-    left = np.tile(np.arange(block, 0, -1, dtype=np.uint16), blocks)
     by_count = {COUNTS[s]: s for s in range(14, 0, -1)}
-    for k in range(1, 61):
+    most, room = wide[:n].copy(), np.tile(np.arange(block, 0, -1, dtype=np.uint16), blocks)[:n]
+    for k in range(1, 6):
         if k > 1:
-            np.maximum(most[:-1], most[1:], out=most[:-1]) if k == 2 else np.maximum(most[: -(k - 1)], wide[k - 1 :], out=most[: -(k - 1)])
+            np.maximum(most, wide[k - 1 : k - 1 + n], out=most)
+        fits = (most <= WIDTHS[by_count[k]]) & (room >= k)
+        best[:n][fits] = by_count[k]
+    # where a selector's ids don't fit, those of one for more and narrower ids don't either: the few places that are left are looked at one by one
+    place = np.flatnonzero(fits)
+    most = most[place]
+    for k in range(6, COUNTS[1] + 1):
+        most = np.maximum(most, wide[place + (k - 1)])
         if k in by_count:
-            s = by_count[k]
-            fits = (most[: blocks * block] <= WIDTHS[s]) & (left >= k)
-            if k > 8 and not fits.any():
-                continue
-            best[fits] = s
+            fits = (most <= WIDTHS[by_count[k]]) & (room[place] >= k)
+            place, most = place[fits], most[fits]
+            best[place] = by_count[k]
     counts = np.array(COUNTS)
     at = np.arange(blocks) * block
     ends = np.minimum(at + block, n)

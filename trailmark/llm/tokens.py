@@ -104,11 +104,18 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def plain_words(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that ``WHOLE`` takes."""
+        """Ids of pieces that ``WHOLE`` takes: a blank at most at the beginning, then letters or digits."""
         from array import array
 
         letters, tokens = self.letters, self.model.tokenize
-        return [array("I", map(ID, tokens(p.encode().decode("latin-1").translate(letters)))).tobytes() for p in pieces]
+        blank = letters[32]
+        spelt = [(blank + p[1:] if p[0] == " " else p) if p.isascii() else p.encode().decode("latin-1").translate(letters) for p in pieces]
+        flat, ends = array("I"), [0]
+        for piece in spelt:
+            flat.extend(map(ID, tokens(piece)))
+            ends.append(len(flat))
+        data = flat.tobytes()
+        return [data[4 * i : 4 * j] for i, j in zip(ends, ends[1:], strict=False)]
 
     def learn(self, unknown: list[str]) -> dict[str, bytes]:
         """Ids of words that are not known, all of which are then."""
