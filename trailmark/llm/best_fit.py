@@ -111,7 +111,7 @@ def _places(entries: list[tuple[int, tuple[int, ...]]], counts: dict[int, int])
     return dict(zip(("first", "sequence", "each", "offset"), columns, strict=True))
 
 
-def best_fit_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, capacity: int = 1024, with_ids: bool = False, memo_bytes: int = 130_000_000) -> DataFrame:
+def best_fit_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, capacity: int = 1024, with_ids: bool = False, memo_bytes: int = 100_000_000) -> DataFrame:
     """The pieces of all documents and their places: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset`` and, if asked for, ``ids``
     (little-endian unsigned 32-bit).
 
