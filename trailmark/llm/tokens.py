@@ -72,6 +72,105 @@ class Memo:
         return found | older
 
 
+class Words:
+    """Ids of words in flat arrays, found by a 128-bit hash of the word: some 45 bytes a word, so that a worker remembers millions of them.
+
+    Beyond ``most`` bytes it starts anew (``begin``), so memory is bounded on any corpus.
+    """
+
+    KEYS = (("0 inside a text 1", "0 inside a text 2"), ("1 first in text 1", "1 first in text 2"))
+
+    def __init__(self, most: int):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        import numpy as np
+
+        self.n, self.used = 0, 0
+        self.slots = np.full(1 << 16, -1, np.int32)
+        self.keys = np.zeros((2, 1 << 15), np.uint64)
+        self.starts, self.lengths = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
+        self.ids = np.zeros(1 << 17, np.uint32)
+
+    def begin(self) -> None:
+        if sum(x.nbytes for x in (self.slots, self.keys, self.starts, self.lengths, self.ids)) > self.most:
+            self.clear()
+
+    def hashed(self, words, kind: int):
+        """Both halves of the hash of each word (an array of strings); words of another ``kind`` are others though they are spelt alike."""
+        import numpy as np
+        from pandas.util import hash_array
+
+        return np.stack([hash_array(words, hash_key=key[-16:], categorize=False) for key in self.KEYS[kind]])
+
+    def find(self, keys):
+        """The place of each key, or -1."""
+        import numpy as np
+
+        mask = np.uint64(len(self.slots) - 1)
+        found = np.full(keys.shape[1], -1, np.int32)
+        open_ = np.arange(keys.shape[1])
+        slot = (keys[0] & mask).astype(np.int64)
+        while len(open_):
+            entry = self.slots[slot[open_]]
+            some = entry >= 0
+            open_, entry = open_[some], entry[some]
+            same = (self.keys[0][entry] == keys[0][open_]) & (self.keys[1][entry] == keys[1][open_])
+            found[open_[same]] = entry[same]
+            open_ = open_[~same]
+            slot[open_] = (slot[open_] + 1) & int(mask)
+        return found
+
+    def _place(self, first: int) -> None:
+        """Puts the entries from number ``first`` on into slots."""
+        import numpy as np
+
+        mask = len(self.slots) - 1
+        entries = np.arange(first, self.n, dtype=np.int32)
+        slot = (self.keys[0][first : self.n] & np.uint64(mask)).astype(np.int64)
+        while len(entries):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = entries[free]  # of several, the last one gets it
+            left = self.slots[slot] != entries
+            entries, slot = entries[left], (slot[left] + 1) & mask
+
+    def add(self, keys, ids: list[bytes]):
+        """Takes in words that are not known, all different; gives their places."""
+        import numpy as np
+
+        first, more = self.n, len(ids)
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        lengths = np.array(list(map(len, ids)), np.int32) // 4
+        while self.n + more > self.keys.shape[1]:
+            self.keys = np.concatenate([self.keys, np.zeros_like(self.keys)], axis=1)
+            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.n += more
+        self.keys[:, first : self.n] = keys
+        self.lengths[first : self.n] = lengths
+        self.starts[first : self.n] = self.used + np.cumsum(lengths) - lengths
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+        if 2 * self.n > len(self.slots):
+            self.slots = np.full(1 << (4 * self.n).bit_length() - 1, -1, np.int32)
+            self._place(0)
+        else:
+            self._place(first)
+        return np.arange(first, self.n, dtype=np.int32)
+
+    def joined(self, places, ends) -> list[bytes]:
+        """The ids of words in the given order, as one byte string for each range between two ``ends``."""
+        import numpy as np
+
+        lengths = self.lengths[places].astype(np.int64)
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        data = self.ids[np.repeat(self.starts[places] - upto[:-1], lengths) + np.arange(upto[-1])].astype("<u4").tobytes()
+        cuts = (4 * upto[ends]).tolist()
+        return [data[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+
+
 ID = operator.attrgetter("id")
 
 
@@ -96,7 +195,7 @@ class Encoder:
         self.any_case = re.compile("|".join(map(re.escape, self.special)), re.IGNORECASE | re.ASCII)
         self.spaces_matter = spaces_matter
         self.model, self.letters, self.whole = self.tokenizer.model, byte_letters(), WHOLE[spaces_matter].fullmatch
-        self.memo = Memo(memo_bytes)
+        self.memo, self.known = Memo(memo_bytes // 8), Words(memo_bytes * 3 // 2)
 
     def plain(self, pieces: list[str]) -> list[bytes]:
         from array import array
@@ -132,23 +231,27 @@ class Encoder:
         made |= dict(zip(others, self.plain(others), strict=True))
         parts |= made
         found |= {w: b"".join([parts[p] for p in some]) for w, some in cut.items()}
-        self.memo.add(made | found)
+        self.memo.add(made)
         return found
 
     def words(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words, in their order."""
-        values = list(map(self.memo.young.get, words))
-        missing = [k for k, v in enumerate(values) if v is None]
-        if missing:
-            names = [words[k] for k in missing]
-            older = list(map(self.memo.old.get, names))
-            found = {w: v for w, v in zip(names, older, strict=True) if v is not None}
-            unknown = [w for w, v in zip(names, older, strict=True) if v is None]
-            self.memo.add(found)
-            found |= self.learn(unknown)
-            for k, w in zip(missing, names, strict=True):
-                values[k] = found[w]
-        return values
+        """Ids of distinct words, in their order, by the memo of pieces."""
+        found = self.memo.get(words)
+        found |= self.learn([w for w in words if w not in found])
+        return list(map(found.__getitem__, words))
+
+    def places(self, words, kind: int):
+        """Places among the known words of an array of distinct ones; unknown ones are learnt. ``kind`` is 1 for words without a space before them."""
+        import numpy as np
+
+        keys = self.known.hashed(words, kind)
+        place = self.known.find(keys)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            names = [f" {w}" for w in words[new]] if self.spaces_matter and not kind else words[new].tolist()
+            found = self.learn(names)
+            place[new] = self.known.add(keys[:, new], [found[w] for w in names])
+        return place
 
     def cut_at_spaces(self, texts: list[str]) -> list[bytes]:
         """Ids of texts by Arrow's kernels: cut into words, number the distinct ones, look these up, and put their ids in the places of the words."""
@@ -156,23 +259,16 @@ class Encoder:
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        self.known.begin()
         column = pa.array(texts, pa.large_string())
         lists = pc.split_pattern(column, " ") if self.spaces_matter else pc.ascii_split_whitespace(pc.ascii_lower(column))
         ends = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
-        at, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        place = self.places(coded.dictionary.to_numpy(zero_copy_only=False), 0)[coded.indices.to_numpy()]
         if self.spaces_matter:  # all but a text's first word have a space before them
-            first = coded.take(pa.array(ends[:-1])).to_pylist()
-            alone = dict(zip(kinds := list(dict.fromkeys(first)), self.words(kinds), strict=True))
-            values = self.words([f" {w}" for w in distinct]) + [alone[w] for w in first]
-            at = at.copy()
-            at[ends[:-1]] = np.arange(len(distinct), len(values))
-        else:
-            values = self.words(distinct)
-        placed = pa.array(values, pa.large_binary()).take(pa.array(at))
-        bytes_at = np.frombuffer(placed.buffers()[1], np.int64, len(placed) + 1)[ends].tolist() if len(placed) else [0] * len(ends)
-        data = memoryview(placed.buffers()[2]) if bytes_at[-1] else b""
-        return [bytes(data[a:b]) for a, b in zip(bytes_at, bytes_at[1:], strict=False)]
+            first = coded.take(pa.array(ends[:-1])).dictionary_decode().dictionary_encode()
+            place[ends[:-1]] = self.places(first.dictionary.to_numpy(zero_copy_only=False), 1)[first.indices.to_numpy()]
+        return self.known.joined(place, ends)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
