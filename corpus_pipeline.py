@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trailmark.llm import exact_dedup, language_id, mixing, ngram_jaccard, packing
-from trailmark.llm.common import remove, shared_dir, table
+from trailmark.llm.common import remove, shared_dir, table, written
 from trailmark.llm.tokens import tokenizer_path
 
 LEAST_SCORE = 0.5
 #: Rows of an Arrow batch in the stages that run Python (batches of Spark's 10,000 rows of long texts fill workers), and bytes for known token ids:
 #: the executors' memory also holds what earlier stages left in their JVM.
 BATCH_ROWS, MEMO_BYTES = 1000, 24_000_000
+BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _in_small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    """For this and the later stages' plans; ``run`` sets the session back."""
+    spark.conf.set(BATCHES, BATCH_ROWS)
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -33,11 +35,20 @@ def _free(docs: DataFrame, name: str) -> str:
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a number for each row, and that column's name.
 
-    ``docs`` is a table read from files, as each stage gets it: a scan gives its rows in the same order in each pass and in each new attempt of a
-    task, so a row has the same number wherever it is asked for, without a copy of the table.
+    The number is the row's place in its file under the number of the file, so it belongs to the row: however a later pass or a new attempt deals
+    files over tasks, a row has the same one. Rows that do not come from files are written first. The files' names (which the driver lists in any case)
+    are numbered there and broadcast.
     """
     row = _free(docs, "__row")
-    return docs.withColumn(row, F.monotonically_increasing_id()), row
+    if not docs.inputFiles():
+        docs = written(docs)
+    path, index = _free(docs, "__path"), _free(docs, "__index")
+    place = docs.metadataColumn("_metadata")
+    placed = docs.withColumns({path: place["file_path"], index: place["row_index"]})
+    names = sorted(r[path] for r in placed.select(path).distinct().collect())
+    numbers = docs.sparkSession.createDataFrame([(name, k << 40) for k, name in enumerate(names)], f"`{path}` string, `{row}` long")
+    keyed = placed.join(F.broadcast(numbers), path).withColumn(row, F.col(row) + F.col(index))  # one row a file
+    return keyed.select(*docs.columns, row), row
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -109,11 +120,14 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of ``documents`` after all stages. Each stage is written under the shared folder; a stage's table goes once the next stands."""
     docs, base = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    before = None
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
-        docs = spark.read.parquet(f"{base}/{name}")
-        if before:
-            remove(spark, before)
-        before = f"{base}/{name}"
+    before, rows = None, spark.conf.get(BATCHES)
+    try:
+        for name, stage in STAGES:
+            stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+            docs = spark.read.parquet(f"{base}/{name}")
+            if before:
+                remove(spark, before)
+            before = f"{base}/{name}"
+    finally:
+        spark.conf.set(BATCHES, rows)
     return docs
