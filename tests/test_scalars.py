@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import ast
 import random
+import re
+import urllib.parse
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -78,3 +81,47 @@ def test_sources(spark, tmp_path):
     assert adapter.table_if_there(spark, "no_such_table") is None
     plan = adapter.activity(spark, "/root/testdata/sf0.001", "2024-01-08 00:00:00", "2024-01-09 00:00:00")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts,2024-01-08" in plan and "LessThan(ts,2024-01-09" in plan
+
+
+def test_cart_titles_equal_python_on_generated_literals(spark):
+    draw = random.Random(11)
+    chars = ["a", "B", " ", ",", "'", '"', "\\", "\n", "\t", "[", "]", "(", ")", "é", "ß", "’", "\x07", "x41", "0"]
+    made = [[draw.choice(["".join(draw.choices(chars, k=draw.randint(0, 8))), 7, -3, 1.5, None, True]) for _ in range(draw.randint(0, 6))] for _ in range(400)]
+    texts = [repr(x if k % 3 else tuple(x)) for k, x in enumerate(made)] + [f" {m!r}\n" for m in made[:20]]
+    texts += [r"['it\'s', 'b']", r"""["a\"b", 'c\\', 'd\x41é\q']""", "['a' 'b'", "['a',]", "('a')", "('a',)", "a", "", "['a'] x", "[1, [2, 3]]", "[01]", None]
+    expected = []
+    for t in texts:
+        try:
+            held = ast.literal_eval((t or "").strip())
+            expected.append([str(x) for x in held] if isinstance(held, (list, tuple)) else None)
+        except (ValueError, SyntaxError):
+            expected.append(None)
+    assert values(spark, [(t,) for t in texts], "t string", fn.cart_titles(F.col("t"))) == expected
+
+
+def test_utm_equals_a_plain_parser_on_generated_urls(spark):
+    draw = random.Random(12)
+    bits = ["utm_source", "UTM_Source", "utm%5Fsource", "utm_term", "=", "=", "&", "&", "a", "b", "%20", "%zz", "%", "+", "%C3%A9", " ", "\t", " ", "#", "?", "%26", "x"]
+    urls = ["https://shop.example/p?" + "".join(draw.choices(bits, k=draw.randint(0, 12))) for _ in range(500)]
+    urls += ["/p?utm_source=a%20b%zz", "/p?utm%5Fsource=q", " /p?utm_source=x ", "/p#/r?utm_source=f", "/p?utm_source=&utm_source=b", "/p?a=1", None, "", f"/p?utm_source={'y' * 300}"]
+
+    def plain(url):
+        url = "" if url is None else re.sub("[\t\r\n]", "", url.strip())
+        main, _, fragment = url.partition("#")
+        found = {}
+        for query in (main.partition("?")[2], fragment.partition("?")[2]):
+            for name, value in urllib.parse.parse_qsl(query, keep_blank_values=True):
+                found.setdefault(name.strip().lower(), value.strip()[:255] or None)
+        return found.get("utm_source")
+
+    assert values(spark, [(u,) for u in urls], "u string", fn.utm(F.col("u"), "utm_source")) == [plain(u) for u in urls]
+
+
+def test_page_path_without_white_space_at_its_ends(spark):
+    urls = ["https://x.example/A/ \n", "\t/b/12/", " /c ", "/d e"]
+    assert values(spark, [(u,) for u in urls], "u string", fn.page_path(F.col("u"))) == ["/a", "/b/:id", "/c", "/d e"]
+
+
+def test_session_uuid_is_the_name_based_one(spark):
+    names = ["b|u1|e1", "", "é|x", None]
+    assert values(spark, [(n,) for n in names], "n string", fn.session_uuid(F.col("n"))) == [None if n is None else str(uuid.uuid5(uuid.UUID(fn.SESSION_SPACE), n)) for n in names]

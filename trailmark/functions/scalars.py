@@ -15,6 +15,26 @@ UTM = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content")
 DYNAMIC = r"^([0-9]+|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|[0-9a-f]{16,})$"
 
 
+#: Fixed value: the name space of session ids.
+SESSION_SPACE = "9d0c5a1e52b75f4e8c317a60d2f4b815"
+
+
+def session_uuid(name: Column) -> Column:
+    """The name-based UUID (version 5) of ``name`` in the name space of sessions: the same name has the same id in any run and on any day."""
+    h = F.sha1(F.concat(F.unhex(F.lit(SESSION_SPACE)), F.encode(name, "utf-8")))
+    part = lambda at, n: F.substring(h, at, n)
+    variant = F.translate(part(17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.concat(part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"), variant, part(18, 3), F.lit("-"), part(21, 12))
+
+
+#: What is taken off the ends of URLs, names and values: white space of any alphabet.
+BLANK = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+
+
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+
+
 def rounded(x: Column, digits: int) -> Column:
     """``x`` to ``digits`` decimals by its exact binary value, ties to even: 2.675 (a little less in binary) gives 2.67, 0.125 gives 0.12.
 
@@ -41,7 +61,7 @@ def raw_path(url: Column) -> Column:
 
 def page_path(url: Column) -> Column:
     """A page's canonical path: no scheme, host, query or fragment; lower case; ids become ``:id``; ``(unknown)`` if empty."""
-    cut = raw_path(F.trim(url))
+    cut = raw_path(stripped(url))
     path = F.regexp_replace(cut, r"^.*?://[^/]*", "")
     path = F.when(F.contains(cut, F.lit("://")) & (path == ""), "/").otherwise(path)
     path = F.lower(F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit("/"), path)))
@@ -73,11 +93,28 @@ def _list_items(raw: Column) -> Column:
     return F.when(F.endswith(F.trim(raw), F.lit("]")), items).otherwise(F.slice(items, 1, F.greatest(F.size(items) - 1, F.lit(0))))
 
 
+#: An item of a list literal: a text in either quote, a number, a constant, or a list that is taken as it is written.
+_TEXTS = r"""'[^'\\\n]*(?:\\[\s\S][^'\\\n]*)*'|"[^"\\\n]*(?:\\[\s\S][^"\\\n]*)*\""""
+_ITEM = rf"(?:{_TEXTS}|-?(?:0|[1-9][0-9]*)(?:[.][0-9]+)?|None|True|False|\[[^\[\]'\"]*\])"
+_LIST = rf"^\s*(?:\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*,?\s*)?\]|\(\s*(?:{_ITEM}\s*,\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*,?\s*)?)?\))\s*$"
+#: What a letter after a backslash stands for; any other one stays with its backslash, but for quotes and the backslash itself.
+_ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "a": "\a", "b": "\b", "f": "\f", "v": "\v", "\\": "\\", "'": "'", '"': '"', "\n": ""}
+
+
+def _unescaped(body: Column) -> Column:
+    """A quoted text's characters, its escapes resolved."""
+    parts = F.regexp_extract_all(body, F.lit(r"\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|[\s\S])|[^\\]+"), F.lit(0))
+    table = F.create_map(*[F.lit(x) for k, v in _ESCAPES.items() for x in ("\\" + k, v)])
+    point = lambda p: F.decode(F.unhex(F.lpad(F.substring(p, 3, 4), 4, "0")), "UTF-16BE")
+    plain = F.transform(parts, lambda p: F.when(p.rlike(r"^\\[xu][0-9a-fA-F]{2}"), point(p)).otherwise(F.coalesce(F.try_element_at(table, p), p)))
+    return F.array_join(plain, "")
+
+
 def cart_titles(raw: Column) -> Column:
-    """The quoted texts of a list literal (either quote, backslash escapes taken off); null if it is none."""
-    items = F.regexp_extract_all(raw, F.lit(r"""'((?:[^'\\\\]|\\\\.)*)'|"((?:[^"\\\\]|\\\\.)*)\""""), F.lit(0))
-    plain = F.transform(items, lambda t: F.regexp_replace(F.substring(t, 2, F.length(t) - 2), r"\\(.)", "$1"))
-    return F.when(F.trim(raw).rlike(r"^[\[(].*[\])]$"), plain)
+    """The items of a list or tuple literal as texts: quoted ones with their escapes resolved, numbers, constants and inner lists as they are written; null if it is none."""
+    items = F.regexp_extract_all(F.regexp_extract(raw, r"^\s*[\[(]([\s\S]*)[\])]\s*$", 1), F.lit(_ITEM), F.lit(0))
+    plain = F.transform(items, lambda t: F.when(t.rlike("^['\"]"), _unescaped(F.substring(t, F.lit(2), F.length(t) - 2))).when(t.rlike("^-?[0-9]+[.]"), t.try_cast("double").cast("string")).otherwise(t))
+    return F.when(raw.rlike(_LIST), plain)
 
 
 def cart_items(ids: Column, titles: Column) -> Column:
@@ -105,13 +142,18 @@ def is_bot(agent: Column) -> Column:
     return F.coalesce(a.rlike("|".join(BOTS)) | a.rlike(r"\bbot\b"), F.lit(False))
 
 
+def _decoded(part: Column) -> Column:
+    """Percent codes and plus signs resolved; a percent sign that begins no code stays."""
+    return F.url_decode(F.regexp_replace(part, "%(?![0-9A-Fa-f]{2})", "%25"))
+
+
 def utm(url: Column, name: str) -> Column:
-    """The first value of a utm parameter in the query, then after the fragment sign; names in any case, decoded, trimmed, at most 255 characters."""
-    query = F.concat_ws("&", F.when(F.contains(url, F.lit("?")), F.regexp_extract(url, r"^[^#?]*\?([^#]*)", 1)), F.regexp_extract(url, r"#[^?]*\?(.*)$", 1))
-    pairs = F.filter(F.split(query, "&"), lambda p: F.lower(F.trim(F.substring_index(p, "=", 1))) == name)
+    """The first value of a utm parameter in the query, then after the fragment sign; names decoded and in any case, values decoded, trimmed, at most 255 characters."""
+    plain = F.regexp_replace(stripped(url), r"[\t\r\n]", "")
+    query = F.concat_ws("&", F.when(F.contains(plain, F.lit("?")), F.regexp_extract(plain, r"^[^#?]*\?([^#]*)", 1)), F.regexp_extract(plain, r"^[^#]*#[^?]*\?(.*)$", 1))
+    pairs = F.filter(F.split(query, "&"), lambda p: F.lower(stripped(_decoded(F.substring_index(p, "=", 1)))) == name)
     value = F.regexp_replace(F.get(pairs, F.lit(0)), "^[^=]*=?", "")
-    plain = F.replace(value, F.lit("+"), F.lit(" "))
-    return F.left(F.nullif(F.trim(F.coalesce(F.try_url_decode(value), plain)), F.lit("")), F.lit(255))
+    return F.left(F.nullif(stripped(_decoded(value)), F.lit("")), F.lit(255))
 
 
 def topic(name: Column) -> Column:

@@ -34,11 +34,14 @@ def page_behavior(rows: DataFrame, exact_distinct: bool = False) -> DataFrame:
     """
     day = F.to_date("occurred_at").alias(DAY)
     seen = rows.filter((F.col("event_name") != "click") & (F.col("url") != ""))
-    raw = seen.groupBy(day, fn.raw_path(F.col("url")).alias("raw")).agg(
-        F.count("*").alias("page_views"), F.countDistinct("actor_id").alias("actors"), F.countDistinct("session_id").alias("sessions"),
-        F.sum(F.round(F.col("scroll_percent") * 1e6).cast("long")).alias("millionths"), F.count("scroll_percent").alias("with_scroll"), F.max("scroll_percent").alias("most"),
+    # a session has one actor at most, so what is counted by session is added up, and no row is multiplied for several distinct counts
+    each = seen.groupBy(day, fn.raw_path(F.col("url")).alias("raw"), "session_id").agg(
+        F.count("*").alias("page_views"), F.max("actor_id").alias("actor_id"), F.sum(F.round(F.col("scroll_percent") * 1e6).cast("long")).alias("millionths"), F.count("scroll_percent").alias("with_scroll"), F.max("scroll_percent").alias("most"),
         F.count_if(F.col("event_name") == "product_added_to_cart").alias("atc"), F.count_if(F.col("event_name") == "checkout_started").alias("checkout"),
     )
+    raw = each.groupBy(DAY, "raw").agg(
+        *[F.sum(c).alias(c) for c in ("page_views", "millionths", "with_scroll", "atc", "checkout")], F.countDistinct("actor_id").alias("actors"), F.count("session_id").alias("sessions"), F.max("most").alias("most")
+    )
     page = fn.page_path(F.col("raw")).alias("page_path")
     mean = F.floor(F.col("millionths").cast("double") / F.col("with_scroll") * 1000 + 0.5).cast("decimal(18,0)")  # exact whole numbers in, one rounding
     weight = F.when(F.col("with_scroll") > 0, F.col("page_views").cast("decimal(18,0)"))
@@ -77,10 +80,13 @@ def _product_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
     title = F.min(F.nullif(F.trim("product_title"), F.lit(""))).alias("title")  # the smallest, where the reference takes any
     viewed = F.col("event_name") == "product_viewed"
     single = rows.filter((F.col("product_id") != "") & ~F.startswith("product_id", F.lit("[")))
-    raw = single.groupBy(day, *names, "product_id").agg(
-        F.count_if(viewed).alias("views"), F.countDistinct(F.when(viewed, F.col("actor_id"))).alias("viewers"), F.countDistinct(F.when(viewed, F.col("session_id"))).alias("sessions"),
+    each = single.groupBy(day, *names, "product_id", "session_id").agg(
+        F.count_if(viewed).alias("views"), F.max(F.when(viewed, F.col("actor_id"))).alias("viewer"),
         F.count_if(F.col("event_name") == "product_added_to_cart").alias("atc"), F.count_if(F.col("event_name") == "checkout_started").alias("checkouts"), title,
     )
+    raw = each.groupBy(DAY, *names, "product_id").agg(
+        *[F.sum(c).alias(c) for c in ("views", "atc", "checkouts")], F.countDistinct("viewer").alias("viewers"), F.count_if((F.col("views") > 0) & F.col("session_id").isNotNull()).alias("sessions"), F.min("title").alias("title")
+    )
     clean = raw.withColumn("product_id", fn.product_id(F.col("product_id"))).filter("product_id <> ''")
     carts = rows.filter((F.col("event_name") == "checkout_started") & F.startswith("product_id", F.lit("[")))
     carts = carts.select(day, *names, F.inline(fn.cart_items(F.col("product_id"), F.col("product_title")))).groupBy(DAY, *names, "product_id").agg(F.count("*").alias("checkouts"), title)
@@ -136,10 +142,10 @@ def path_daily(sessions: DataFrame) -> DataFrame:
 def heatmap(rows: DataFrame, scored: DataFrame) -> DataFrame:
     """Per day, page and device: page views, sessions, and sessions at each behaviour level, added over raw paths."""
     seen = with_levels(rows.filter((F.col("event_name") == "page_viewed") & (F.col("url") != "")), scored)
-    at = lambda level: F.countDistinct(F.when(F.col("behavior_level") == level, F.col("session_id")))
-    raw = seen.groupBy(F.to_date("occurred_at").alias(DAY), fn.raw_path(F.col("url")).alias("raw"), fn.device(F.col("user_agent")).alias("device_type")).agg(
-        F.count("*").alias("page_views"), F.countDistinct("session_id").alias("sessions"), at("high").alias("high_sessions"), at("medium").alias("medium_sessions"), at("low").alias("low_sessions")
-    )
+    keys = [F.to_date("occurred_at").alias(DAY), fn.raw_path(F.col("url")).alias("raw"), fn.device(F.col("user_agent")).alias("device_type")]
+    each = seen.groupBy(*keys, "session_id").agg(F.count("*").alias("page_views"), F.max("behavior_level").alias("level"))  # a session has one level
+    at = lambda level: F.count_if(F.col("session_id").isNotNull() & (F.col("level") == level)).alias(f"{level}_sessions")
+    raw = each.groupBy(DAY, "raw", "device_type").agg(F.sum("page_views").alias("page_views"), F.count("session_id").alias("sessions"), at("high"), at("medium"), at("low"))
     out = raw.groupBy(DAY, fn.page_path(F.col("raw")).alias("page_path"), "device_type")
     return out.agg(*[F.sum(c).alias(c) for c in ("page_views", "sessions", "high_sessions", "medium_sessions", "low_sessions")]).filter("page_path <> '(unknown)'")
 

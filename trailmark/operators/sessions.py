@@ -37,60 +37,170 @@ def first_deliveries(rows: DataFrame) -> DataFrame:
 ORDER = ("occurred_at", "received_at", "__click", "seq")
 
 
-def with_gaps(rows: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
-    """Adds ``session_no`` and ``session_id`` by gaps alone: one above ``timeout_s`` opens a session, exactly ``timeout_s`` does not. Cart claims play no part."""
-    known = identified(rows).filter("identity is not null").withColumn("__click", F.col("event_name") == "click")
-    order = Window.partitionBy("identity").orderBy(*ORDER)
-    gap = F.expr("timestampdiff(MICROSECOND, __before, occurred_at)")
-    opened = known.withColumn("__before", F.lag("occurred_at").over(order)).withColumn("__new", F.when(F.col("__before").isNull() | (gap > timeout_s * 1_000_000), 1).otherwise(0))
-    return named(opened.withColumn("session_no", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))).drop("__before", "__new", "__click")
+#: A visitor with more rows is dealt over tasks by time; of at most so many such visitors (all others have less than a thousandth of the rows).
+HOT_ROWS, MOST_HOT = 1_000_000, 1000
 
 
-def named(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("session_id", F.sha1(F.concat_ws("|", "identity", F.col("session_no").cast("string"))))
+def visitor(rows: DataFrame) -> list[str]:
+    """The columns that name a visitor: the identity, within its brand where rows have one."""
+    return [*(["brand_id"] if "brand_id" in rows.columns else []), "identity"]
 
 
-def _fold(timeout_us: int):
-    """Numbers sessions along rows sorted by visitor and time; only the current visitor's last time and claims are held."""
+def named(rows: DataFrame, first: str = "__first") -> DataFrame:
+    """Adds ``session_id``, made from the visitor and the session's first event: rows of other days, or found later, change it for no other session."""
+    return rows.withColumn("session_id", fn.session_uuid(F.concat_ws("|", *visitor(rows), first)))
+
+
+def _known(rows: DataFrame) -> DataFrame:
+    return identified(rows).filter("identity is not null").withColumn("__click", F.col("event_name") == "click")
+
+
+def _apart(known: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of most visitors, and those of visitors with more than ``hot_rows``, if there are any."""
+    own = visitor(known)
+    many = known.groupBy(*own).agg(F.count("*").alias("__n")).filter(F.col("__n") > hot_rows)
+    names = [r[:-1] for r in many.orderBy(F.col("__n").desc()).limit(MOST_HOT).collect()]
+    if not names:
+        return known, None
+    hot = F.broadcast(known.sparkSession.createDataFrame(names, known.select(*own).schema))  # MOST_HOT rows
+    return known.join(hot, own, "left_anti"), known.join(hot, own, "left_semi")
+
+
+def _longer(before: Column, after: Column, timeout_s: int) -> Column:
+    return F.timestamp_diff("MICROSECOND", before, after) > timeout_s * 1_000_000
+
+
+def _gaps(known: DataFrame, timeout_s: int) -> DataFrame:
+    """Adds ``session_no`` by gaps and ``__first``, the event that opens the session."""
+    order = Window.partitionBy(*visitor(known)).orderBy(*ORDER)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    before = known.withColumn("__before", F.lag("occurred_at").over(order))
+    opened = before.withColumn("__new", F.coalesce(_longer(F.col("__before"), F.col("occurred_at"), timeout_s), F.lit(True)).cast("int"))
+    return opened.withColumns({"session_no": F.sum("__new").over(upto), "__first": F.last(F.when(F.col("__new") == 1, F.col("event_id")), ignorenulls=True).over(upto)}).drop("__before")
+
+
+def _by_hour(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("__hour", F.coalesce(F.expr("timestampdiff(HOUR, timestamp_ntz'1970-01-01 00:00:00', occurred_at)"), F.lit(0)))
+
+
+def _gaps_by_hour(known: DataFrame, timeout_s: int) -> DataFrame:
+    """As ``_gaps``, for visitors of any number of rows: windows inside each hour, and what one hour hands to the next from one row an hour."""
+    own = visitor(known)
+    order = Window.partitionBy(*own, "__hour").orderBy(*ORDER)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = _by_hour(known).withColumn("__before", F.lag("occurred_at").over(order))
+    rows = rows.withColumn("__new", F.coalesce(_longer(F.col("__before"), F.col("occurred_at"), timeout_s), F.lit(False)).cast("int"))
+    rows = rows.withColumns({"__count": F.sum("__new").over(upto), "__own": F.last(F.when(F.col("__new") == 1, F.col("event_id")), ignorenulls=True).over(upto)})
+    place = F.struct(*ORDER)
+    hours = rows.groupBy(*own, "__hour").agg(
+        F.min("occurred_at").alias("begin"), F.max("occurred_at").alias("end"), F.sum("__new").alias("inner"), F.min_by("event_id", place).alias("first_event"), F.max_by("event_id", F.when(F.col("__new") == 1, place)).alias("last_opener")
+    )
+    along = Window.partitionBy(*own).orderBy("__hour")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.withColumn("opens", F.coalesce(_longer(F.lag("end").over(along), F.col("begin"), timeout_s), F.lit(True)).cast("int"))
+    hours = hours.withColumn("opener", F.coalesce("last_opener", F.when(F.col("opens") == 1, F.col("first_event"))))
+    handed = hours.select(
+        *own, "__hour", "opens", F.coalesce(F.sum(F.col("inner") + F.col("opens")).over(earlier), F.lit(0)).alias("__so_far"),
+        F.coalesce(F.when(F.col("opens") == 1, F.col("first_event")), F.last("opener", ignorenulls=True).over(earlier)).alias("__open"),
+    )
+    met = rows.join(handed, [*own, "__hour"])
+    number, new = F.col("__so_far") + F.col("opens") + F.col("__count"), F.greatest("__new", F.when(F.col("__before").isNull(), F.col("opens")).otherwise(0))
+    return met.withColumns({"session_no": number, "__first": F.coalesce("__own", "__open"), "__new": new}).drop("__before", "__count", "__own", "__so_far", "__open", "opens")
+
+
+def with_gaps(rows: DataFrame, timeout_s: int = TIMEOUT_S, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Adds ``session_no`` and ``session_id`` by gaps alone: one above ``timeout_s`` opens a session, exactly ``timeout_s`` does not. Cart claims play no part.
+
+    Visitors are windows of one shuffle; those with more than ``hot_rows`` rows are cut by hours.
+    """
+    most, hot = _apart(_known(rows), hot_rows)
+    out = _gaps(most, timeout_s)
+    if hot is not None:
+        out = out.unionByName(_gaps_by_hour(hot, timeout_s).drop("__hour"))
+    return named(out).drop("__first", "__new", "__click")
+
+
+def _fold(timeout_us: int, group: list[str]):
+    """Numbers sessions along rows sorted by ``group`` and time; only the last time, the claims and the first event of the open session are held."""
 
     def fold(parts: Iterator) -> Iterator:
         import pyarrow as pa
 
-        visitor, number, last, claimed = None, 0, 0, set()
+        current, number, last, claimed, opener = None, 0, 0, set(), None
         for part in parts:
-            numbers, counts = [], []
-            for own, micros, product in zip(*(part.column(k).to_pylist() for k in ("identity", "__micros", "__claim")), strict=True):
-                if own != visitor:
-                    visitor, number, last, claimed = own, 0, None, set()
+            numbers, counts, openers, fresh_ones = [], [], [], []
+            names = zip(*(part.column(k).to_pylist() for k in group), strict=True)
+            for own, micros, product, event in zip(names, *(part.column(k).to_pylist() for k in ("__micros", "__claim", "event_id")), strict=True):
+                if own != current:
+                    current, number, last, claimed = own, 0, None, set()
                 fresh = last is None or micros - last > timeout_us
                 repeated = product is not None and not fresh and product in claimed
                 if not repeated:
                     if fresh:
-                        number, claimed = number + 1, set()
+                        number, claimed, opener = number + 1, set(), event
                     if product is not None:
                         claimed.add(product)
                     last = micros
                 numbers.append(number)
                 counts.append(not repeated)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(numbers, pa.int64()), pa.array(counts, pa.bool_())], [*part.schema.names, "session_no", "counts"])
+                openers.append(opener)
+                fresh_ones.append(int(fresh and not repeated))
+            made = [pa.array(numbers, pa.int64()), pa.array(counts, pa.bool_()), pa.array(openers, pa.string()), pa.array(fresh_ones, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, "session_no", "counts", "__first", "__new"])
 
     return fold
 
 
-def with_sessions(rows: DataFrame, timeout_s: int = TIMEOUT_S) -> DataFrame:
+def _folded(rows: DataFrame, group: list[str], timeout_s: int) -> DataFrame:
+    rows = rows.withColumn("__micros", F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', occurred_at)"))
+    dealt = rows.repartition(*group).sortWithinPartitions(*group, *ORDER)
+    schema = T.StructType([*dealt.schema.fields]).add("session_no", "long").add("counts", "boolean").add("__first", "string").add("__new", "integer")
+    return dealt.mapInArrow(_fold(timeout_s * 1_000_000, group), schema).drop("__micros")
+
+
+def _most_sessions(known: DataFrame, timeout_s: int) -> DataFrame:
+    """Sessions of visitors that fit into windows; only visitors who add a product again before a gap are folded, as for all others gaps decide."""
+    own = visitor(known)
+    whole, segment = Window.partitionBy(*own), Window.partitionBy(*own, "session_no")
+    rows = _gaps(known, timeout_s)
+    again = F.size(F.collect_list("__claim").over(segment)) > F.size(F.collect_set("__claim").over(segment))
+    rows = rows.withColumn("__again", again).withColumn("__again", F.max("__again").over(whole))
+    plain = rows.filter("not __again").drop("__again").withColumn("counts", F.lit(True))
+    return plain.unionByName(_folded(rows.filter("__again").drop("__again", "session_no", "__first", "__new"), own, timeout_s))
+
+
+def _hot_sessions(known: DataFrame, timeout_s: int) -> DataFrame:
+    """Sessions of visitors of any number of rows. A gap above the timeout opens a session whatever was claimed, so what lies between two gaps stands
+    alone: such segments are dealt over tasks, those with a repeated add are folded, and fresh sessions are counted along the hours."""
+    own = visitor(known)
+    rows = _gaps_by_hour(known, timeout_s).withColumnRenamed("session_no", "__segment")
+    claims = rows.filter("__claim is not null").groupBy(*own, "__segment", "__claim").agg(F.count("*").alias("n")).filter("n > 1").select(*own, "__segment").distinct()
+    marked = rows.join(claims.withColumn("__again", F.lit(True)), [*own, "__segment"], "left")
+    plain = marked.filter("__again is null").drop("__again").withColumn("counts", F.lit(True))
+    folded = _folded(marked.filter("__again").drop("__again", "__first", "__new"), [*own, "__segment"], timeout_s).drop("session_no")
+    both = plain.unionByName(folded)
+    order = Window.partitionBy(*own, "__hour").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*own).orderBy("__hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = both.groupBy(*own, "__hour").agg(F.sum("__new").alias("n")).select(*own, "__hour", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__so_far"))
+    counted = both.withColumn("__count", F.sum("__new").over(order)).join(hours, [*own, "__hour"])
+    return counted.withColumn("session_no", F.col("__so_far") + F.col("__count")).drop("__so_far", "__count", "__hour", "__segment")
+
+
+def with_sessions(rows: DataFrame, timeout_s: int = TIMEOUT_S, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds ``session_no``, ``session_id`` and ``counts``.
 
     A gap above ``timeout_s`` since the visitor's last event that counts opens a session. Of a session's ``product_added_to_cart`` events for one
     product (ids in any case) only the first counts: a repeated one leaves the session untouched, so it never bridges a gap. What counts
-    depends on the sessions and these on what counts, so the rows of a visitor are folded in order: one shuffle and sort by visitor, then a
-    stream of Arrow batches whose state is the current visitor's alone. Visitors of any length fit.
+    depends on the sessions and these on what counts, but only where a product is added again before a gap: these visitors' rows are folded in
+    order through Arrow batches whose state is one session's. All others are numbered by windows. Visitors with more than ``hot_rows`` rows are
+    cut by hours and segments, so that no task holds one of them.
     """
-    known = identified(rows).filter("identity is not null").withColumn("__click", F.col("event_name") == "click")
     claim = F.when(F.col("event_name") == "product_added_to_cart", F.lower("product_id"))
-    micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', occurred_at)")
-    dealt = known.withColumns({"__micros": micros, "__claim": claim}).repartition("identity").sortWithinPartitions("identity", *ORDER)
-    schema = T.StructType([*dealt.schema.fields]).add("session_no", "long").add("counts", "boolean")
-    return named(dealt.mapInArrow(_fold(timeout_s * 1_000_000), schema)).drop("__click", "__micros", "__claim")
+    most, hot = _apart(_known(rows).withColumn("__claim", claim), hot_rows)
+    out = _most_sessions(most, timeout_s)
+    if hot is not None:
+        out = out.unionByName(_hot_sessions(hot, timeout_s))
+    return named(out).drop("__first", "__new", "__click", "__claim")
 
 
 def keep_first_cart_adds(rows: DataFrame) -> DataFrame:
@@ -108,7 +218,7 @@ def session_rows(rows: DataFrame, more: list[Column] | None = None, names: bool
     last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("occurred_at", "seq"))).alias(c)
     tagged = rows.withColumn("__utm", fn.utm(F.col("url"), "utm_source"))
     return (
-        tagged.groupBy("identity", "session_no", "session_id")
+        tagged.groupBy(*visitor(rows), "session_no", "session_id")
         .agg(
             F.min("occurred_at").alias("session_start"),
             F.max("occurred_at").alias("session_end"),

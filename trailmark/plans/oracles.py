@@ -11,6 +11,12 @@ BOTS = "googlebot|bingbot|ahrefsbot|semrushbot|mj12bot|petalbot|yandexbot|bytesp
 DYNAMIC = "^([0-9]+|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|[0-9a-f]{16,})$"
 
 
+def uuid(identity: str, opener: str) -> str:
+    """A session's id from its visitor and its first event: the name-based UUID (version 5) over SHA-1."""
+    h = f"sha1(unhex('9d0c5a1e52b75f4e8c317a60d2f4b815') || encode(concat_ws('|', {identity}, {opener})))"
+    return f"(SELECT concat(h[1:8], '-', h[9:12], '-5', h[14:16], '-', translate(h[17], '0123456789abcdef', '89ab89ab89ab89ab'), h[18:20], '-', h[21:32]) FROM (SELECT {h} AS h))"
+
+
 def base(timeout_s: int, minimum: int, only: str = "true") -> str:
     """Events (those for which ``only`` holds), sessions and scored sessions as named expressions."""
     return f"""
@@ -48,7 +54,7 @@ fo AS (SELECT identity, rn, 1::BIGINT AS session_no, occurred_at AS last, CASE W
   UNION ALL SELECT identity, rn, CASE WHEN fresh THEN session_no + 1 ELSE session_no END, CASE WHEN again THEN last ELSE occurred_at END,
     CASE WHEN again THEN claims WHEN fresh THEN CASE WHEN cl IS NULL THEN []::VARCHAR[] ELSE [cl] END WHEN cl IS NULL THEN claims ELSE list_append(claims, cl) END, NOT again
   FROM (SELECT *, cl IS NOT NULL AND NOT fresh AND list_contains(claims, cl) AS again FROM (SELECT o0.identity, o0.rn, o0.cl, o0.occurred_at, fo.session_no, fo.last, fo.claims, date_diff('microsecond', fo.last, o0.occurred_at) > {timeout_s * 1_000_000} AS fresh FROM fo JOIN o0 ON o0.identity = fo.identity AND o0.rn = fo.rn + 1))),
-g2 AS MATERIALIZED (SELECT o0.*, fo.session_no, fo.counts, sha1(concat_ws('|', o0.identity, CAST(fo.session_no AS VARCHAR))) AS session_id FROM o0 JOIN fo USING (identity, rn)),
+g2 AS MATERIALIZED (SELECT * EXCLUDE (opener), {uuid('identity', 'opener')} AS session_id FROM (SELECT o0.*, fo.session_no, fo.counts, first_value(o0.event_id) OVER (PARTITION BY o0.identity, fo.session_no ORDER BY o0.rn) AS opener FROM o0 JOIN fo USING (identity, rn))),
 ins AS (SELECT * EXCLUDE (rn, cl, counts) FROM g2 WHERE counts),
 ev AS (SELECT * FROM ins UNION ALL BY NAME SELECT *, NULL::BIGINT AS session_no, sha1(event_id) AS session_id FROM rt WHERE identity IS NULL),
 ss AS (SELECT identity, session_no, session_id, min(occurred_at) AS session_start, max(occurred_at) AS session_end, count(*) AS event_count,
@@ -202,7 +208,7 @@ SELECTS: dict[str, tuple] = {
     "dq_backlog": (LONG, "SELECT CAST(sday AS VARCHAR) AS day, count(*) AS sessions, count(*) FILTER (NOT closed) AS open FROM sw GROUP BY sday"),
     "dq_anti_sessions": (LONG, "SELECT CAST(sday AS VARCHAR) AS day, count(*) AS sessions FROM ss WHERE session_id NOT IN (SELECT session_id FROM ev WHERE event_name <> 'click') GROUP BY sday"),
     "dq_dead_clicks": (LONG, "SELECT CASE WHEN click_count = 0 THEN 'none' WHEN dead_click_count = 0 THEN 'zero' WHEN dead_click_count / click_count <= 0.5 THEN 'up_to_half' WHEN dead_click_count < click_count THEN 'most' ELSE 'all' END AS band, count(*) AS sessions, sum(click_count)::BIGINT AS clicks, sum(dead_click_count)::BIGINT AS dead FROM bk GROUP BY 1"),
-    "sess_gap_lag": (HOUR, "SELECT event_id, identity, session_no, sha1(concat_ws('|', identity, CAST(session_no AS VARCHAR))) AS session_id FROM g1"),
+    "sess_gap_lag": (HOUR, f"SELECT event_id, identity, session_no, {uuid('identity', 'opener')} AS session_id FROM (SELECT *, first_value(event_id) OVER (PARTITION BY identity, session_no ORDER BY rn) AS opener FROM g1)"),
     "sess_reconstruct": (HOUR, "SELECT event_id, identity, session_no, counts FROM g2"),
     "sess_reconstruct_days": (LONG, "SELECT event_id, identity, session_no, counts FROM g2"),
     "sess_overlap": (HOUR, "SELECT (SELECT count(*) FROM n2) AS new_sessions, (SELECT count(*) FROM n2 WHERE o > 1) AS merged, (SELECT sum(m)::BIGINT FROM n2) AS events_moved, (SELECT count(*) FROM o2) AS old_sessions, (SELECT count(*) FROM o2 WHERE k > 1) AS split FROM (SELECT 1)", "n0 AS (SELECT *, sum(CASE WHEN prev IS NULL OR date_diff('microsecond', prev, occurred_at) > 7200000000 THEN 1 ELSE 0 END) OVER (PARTITION BY identity ORDER BY rn ROWS UNBOUNDED PRECEDING) AS nn FROM g1), n1 AS (SELECT identity, session_no, nn, count(*) AS c FROM n0 GROUP BY ALL), n2 AS (SELECT identity, nn, count(*) AS o, sum(c) - max(c) AS m FROM n1 GROUP BY ALL), o2 AS (SELECT identity, session_no, count(*) AS k FROM n1 GROUP BY ALL)"),
@@ -220,7 +226,7 @@ SELECTS: dict[str, tuple] = {
     "evt_dead_letters": (HOUR, "SELECT CASE WHEN event_name = 'checkout_started' THEN 'intent.checkout' WHEN event_name = 'product_added_to_cart' THEN 'intent.atc' WHEN event_name = 'click' THEN 'intent.click' ELSE 'intent.other' END AS topic, (seq % 3)::INTEGER AS partition, seq AS offset, reason AS reject_reason FROM @REASONS WHERE reason IS NOT NULL"),
     "evt_event_rows": (HOUR, "SELECT event_id, event_name, actor_id, client_id, CASE WHEN seq % 37 = 15 THEN repeat('9', 101) WHEN seq % 37 <> 14 THEN product_id END AS product_id, product_title, CASE seq % 6 WHEN 0 THEN 2.0 WHEN 2 THEN 1000.0 END AS quantity, (seq % 50) * 1.5::DOUBLE AS price, scroll_percent, strftime(occurred_at, '%Y-%m-%d %H:%M:%S') AS occurred_at, utm AS utm_source, NULL::VARCHAR AS utm_medium, NULL::VARCHAR AS utm_campaign, NULL::VARCHAR AS utm_term, NULL::VARCHAR AS utm_content FROM @REASONS WHERE reason IS NULL AND event_name <> 'click'"),
     "evt_click_rows": (HOUR, "SELECT event_id, (seq % 1000)::INTEGER AS click_x, 12 AS click_y, CASE seq % 4 WHEN 0 THEN 'Button' WHEN 1 THEN 'A' WHEN 2 THEN 'input' END AS click_tag, CASE WHEN seq % 5 < 2 THEN 'Btn-' || k END AS click_element_id, CASE WHEN seq % 6 = 0 THEN 'Buy' END AS click_element_name, CASE WHEN seq % 4 = 2 THEN 'TEXT' END AS click_element_type, CASE WHEN seq % 4 = 1 THEN url END AS click_href, seq % 2 = 0 AS url_changed, CASE WHEN seq % 3 = 0 THEN true END AS cart_changed, NULL::BOOLEAN AS ui_changed, click_bucket, strftime(occurred_at, '%Y-%m-%d %H:%M:%S') AS occurred_at FROM @REASONS WHERE reason IS NULL AND event_name = 'click'"),
-    "evt_message_sessions": ((86400, 20, "event_id % 37 > 15 OR (event_id % 37 = 11 AND event_name = 'click') OR (event_id % 37 IN (12, 13) AND event_name <> 'click') OR (event_id % 37 IN (14, 15) AND event_name <> 'product_added_to_cart')"), "SELECT event_id, identity, session_id FROM ins"),
+    "evt_message_sessions": ((86400, 20, "event_id % 37 > 15 OR (event_id % 37 = 11 AND event_name = 'click') OR (event_id % 37 IN (12, 13) AND event_name <> 'click') OR (event_id % 37 IN (14, 15) AND event_name <> 'product_added_to_cart')"), f"SELECT event_id, identity, {uuid(chr(39) + 'b|' + chr(39) + ' || identity', 'opener')} AS session_id FROM (SELECT *, first_value(event_id) OVER (PARTITION BY identity, session_no ORDER BY occurred_at, received_at, event_name = 'click', seq) AS opener FROM ins)"),
     "evt_receipt_proxy": (HOUR, "SELECT event_id, strftime(occurred_at, '%Y-%m-%d %H:%M:%S') AS occurred_at, -19800::BIGINT AS offset_s FROM r0"),
     "evt_send_order": (HOUR, "SELECT row_number() OVER (ORDER BY received_at, topic, seq % 3, seq) AS place, topic, (seq % 3)::INTEGER AS partition, seq AS offset FROM (SELECT *, CASE WHEN event_name = 'checkout_started' THEN 'intent.checkout' WHEN event_name = 'product_added_to_cart' THEN 'intent.atc' WHEN event_name = 'click' THEN 'intent.click' ELSE 'intent.other' END AS topic FROM act) ORDER BY place LIMIT 500"),
     "evt_released": (HOUR, "SELECT topic, partition, o AS offset FROM bf WHERE k <= (SELECT min(l) FROM (SELECT max(k) AS l FROM bf WHERE partition = 1 GROUP BY topic)) AND (received_at <= TIMESTAMP '2024-01-19 23:59:49' OR k <= (SELECT min(l) FROM (SELECT max(k) AS l FROM bf GROUP BY topic, partition)))", "bf AS (SELECT *, {'t': received_at, 'n': topic, 'p': partition, 'o': o} AS k FROM (SELECT received_at, seq AS o, (seq % 3)::INTEGER AS partition, CASE WHEN event_name = 'checkout_started' THEN 'intent.checkout' WHEN event_name = 'product_added_to_cart' THEN 'intent.atc' WHEN event_name = 'click' THEN 'intent.click' ELSE 'intent.other' END AS topic FROM act WHERE received_at < TIMESTAMP '2024-01-20 00:00:05'))"),

@@ -89,7 +89,7 @@ def messages(checked: DataFrame) -> DataFrame:
     rows = checked.filter("reject_reason is null").select(
         "v", _text(v, "type").alias("type"), *[_id(v, f).alias(f) for f in IDS], *[F.nullif(_text(v, f), F.lit("")).alias(f) for f in TEXTS],
         at.alias("client_time"), received.alias("received_at"), F.when(_text(v, "click_bucket").isin(*BUCKETS), _text(v, "click_bucket")).alias("click_bucket"),
-        F.try_variant_get(v, "$.raw.product_id", "string").alias("product_id"), *[c for c in checked.columns if c in ("seq", "offset", "partition", "timestamp")],
+        F.try_variant_get(v, "$.raw.product_id", "string").alias("product_id"), *[c for c in checked.columns if c in ("seq", "topic", "offset", "partition", "timestamp", "value")],
     )
     return adapter.corrected(rows)
 
@@ -100,7 +100,7 @@ def _number(v: Column, path: str) -> Column:
     return F.when(F.isnan(x) | (F.abs(x) == float("inf")), None).otherwise(x)
 
 
-def event_rows(rows: DataFrame) -> DataFrame:
+def event_rows(rows: DataFrame, *more: str) -> DataFrame:
     """Behavioural rows: product fields of ``raw`` as texts and numbers, scroll percent, the raw object as JSON, the five utm values of the URL."""
     v = F.col("v")
     raw = lambda f: F.try_variant_get(v, f"$.raw.{f}", "string").alias(f)
@@ -108,11 +108,11 @@ def event_rows(rows: DataFrame) -> DataFrame:
     return rows.filter("type = 'event'").select(
         "event_id", "event_name", "actor_id", "client_id", "visitor_id", *TEXTS, *[raw(f) for f in ("product_id", "variant_id", "product_title", "variant_title", "currency")],
         *[_number(v, f"$.raw.{source}").alias(f) for f, source in numbers.items()], F.to_json(F.try_variant_get(v, "$.raw", "variant")).alias("data"), "occurred_at",
-        *[fn.utm(F.col("url"), name).alias(name) for name in fn.UTM],
+        *[fn.utm(F.col("url"), name).alias(name) for name in fn.UTM], *more,
     )
 
 
-def click_rows(rows: DataFrame) -> DataFrame:
+def click_rows(rows: DataFrame, *more: str) -> DataFrame:
     """Click rows: place, element, signals, bucket, and both objects as one JSON text."""
     v = F.col("v")
     part = lambda path: F.try_variant_get(v, path, "string")
@@ -123,7 +123,7 @@ def click_rows(rows: DataFrame) -> DataFrame:
         "event_id", "event_name", "actor_id", "client_id", "visitor_id", *TEXTS, whole("$.click.x").alias("click_x"), whole("$.click.y").alias("click_y"), trimmed("$.click.tag_name").alias("click_tag"),
         *[trimmed(f"$.click.{f}").alias(f"click_{f}") for f in ("element_id", "element_name", "element_type")], part("$.click.element_value").alias("click_element_value"), part("$.click.href").alias("click_href"),
         *[signal(f) for f in ("url_changed", "cart_changed", "ui_changed", "meaningful_scroll")], "click_bucket",
-        F.to_json(F.struct(F.try_variant_get(v, "$.click", "variant").alias("click"), F.try_variant_get(v, "$.signals", "variant").alias("signals"))).alias("data"), "occurred_at", *[fn.utm(F.col("url"), name).alias(name) for name in fn.UTM],
+        F.to_json(F.struct(F.try_variant_get(v, "$.click", "variant").alias("click"), F.try_variant_get(v, "$.signals", "variant").alias("signals"))).alias("data"), "occurred_at", *[fn.utm(F.col("url"), name).alias(name) for name in fn.UTM], *more,
     )
 
 
