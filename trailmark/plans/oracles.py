@@ -180,11 +180,14 @@ SELECTS: dict[str, tuple] = {
     "fn_device": (HOUR, "SELECT device AS device_type, count(*) AS n FROM rw GROUP BY ALL"),
     "fn_cart_explode": (LONG, "SELECT event_id, unnest(cart) AS product_id FROM pr0"),
     "fn_sequence_path": (LONG, "SELECT session_id, sq AS sequence, sha1(sq) AS sequence_hash FROM @SEQ"),
+    "ru_incremental_pages": (LONG, "@PAGES"),
+    "snk_score_update": (LONG, "SELECT session_id, event_count, CASE WHEN status = 'scored' THEN score END AS score, CASE WHEN status = 'scored' THEN bucket ELSE 'pending' END AS bucket FROM bk"),
     "ru_page_behavior": (LONG, "@PAGES"),
     "ru_page_behavior_exact": (LONG, "SELECT summary_date, page_path, page_views, x.ua AS unique_actors, x.us AS unique_sessions, clicks FROM (@PAGES) p JOIN (SELECT CAST(day AS VARCHAR) AS d, path, count(DISTINCT actor_id) AS ua, count(DISTINCT session_id) AS us FROM ev WHERE event_name <> 'click' AND url <> '' GROUP BY ALL) x ON x.d = p.summary_date AND x.path = p.page_path"),
     "ru_product_behavior": (LONG, f"SELECT *, unique_sessions AS sessions_with_product_view, least({_ratio('add_to_cart_count', 'product_views')}, 99.9999 + 0 * product_views / nullif(product_views, 0)) AS view_to_atc_rate, least({_ratio('checkout_started_count', 'product_views')}, 99.9999 + 0 * product_views / nullif(product_views, 0)) AS view_to_checkout_rate FROM (SELECT {DAY}, product_id, {PRODUCTS} FROM {_products('', '')} GROUP BY day, product_id)"),
     "ru_product_intent": (LONG, f"SELECT {DAY}, b.basis AS basis, b.level AS level, product_id, {PRODUCTS} FROM (SELECT *, unnest([{{'basis': 'behavior', 'level': behavior_level}}, {{'basis': 'score', 'level': score_level}}]) AS b FROM {_products('behavior_level, score_level', ',')}) GROUP BY day, b.basis, b.level, product_id"),
     "ru_path_daily": (LONG, f"SELECT *, {_ratio('sessions_with_atc', 'session_count')} AS conversion_to_atc, {_ratio('sessions_with_checkout', 'session_count')} AS conversion_to_checkout, left(split_part(sequence, '>', 1), 100) AS first_event FROM (SELECT {SDAY}, sha1(sq) AS sequence_hash, sq AS sequence, count(*) AS session_count, count(DISTINCT identity) AS unique_actor_count, count(*) FILTER (add_to_cart_count > 0) AS sessions_with_atc, count(*) FILTER (checkout_started_count > 0) AS sessions_with_checkout FROM @SEQ GROUP BY sday, sq)"),
+    "ru_heatmap_stored_days": (LONG, f"SELECT {DAY}, path AS page_path, device AS device_type, sum(n)::BIGINT AS page_views, sum(s)::BIGINT AS sessions, sum(h)::BIGINT AS high_sessions, sum(m)::BIGINT AS medium_sessions, sum(l)::BIGINT AS low_sessions FROM (SELECT day, raw, path, device, count(*) AS n, count(DISTINCT session_id) AS s, count(DISTINCT session_id) FILTER (behavior_level = 'high') AS h, count(DISTINCT session_id) FILTER (behavior_level = 'medium') AS m, count(DISTINCT session_id) FILTER (behavior_level = 'low') AS l FROM lv WHERE day BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' AND event_name = 'page_viewed' AND url <> '' GROUP BY ALL) WHERE path <> '(unknown)' GROUP BY day, path, device"),
     "ru_heatmap": (LONG, f"SELECT {DAY}, path AS page_path, device AS device_type, sum(n)::BIGINT AS page_views, sum(s)::BIGINT AS sessions, sum(h)::BIGINT AS high_sessions, sum(m)::BIGINT AS medium_sessions, sum(l)::BIGINT AS low_sessions FROM (SELECT day, raw, path, device, count(*) AS n, count(DISTINCT session_id) AS s, count(DISTINCT session_id) FILTER (behavior_level = 'high') AS h, count(DISTINCT session_id) FILTER (behavior_level = 'medium') AS m, count(DISTINCT session_id) FILTER (behavior_level = 'low') AS l FROM lv WHERE event_name = 'page_viewed' AND url <> '' GROUP BY ALL) WHERE path <> '(unknown)' GROUP BY day, path, device"),
     "ru_affected_dates": (HOUR, "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS summary_date FROM (SELECT unnest(generate_series(greatest(CAST(min(received_at) - INTERVAL 3600 SECOND AS DATE), CAST(max(occurred_at) AS DATE) - 30), CAST(max(occurred_at) AS DATE), INTERVAL 1 DAY)) AS d FROM r0)"),
     "sc_enrichment": (LONG, "SELECT session_id, entry_page_type, page_rank, ua AS user_agent FROM en"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 
@@ -13,11 +14,12 @@ from pyspark.sql.window import Window
 from ..functions import scalars as fn
 from ..operators import diagnostics as dq
 from ..operators import evaluation as ev
+from ..operators import incremental
 from ..operators import rollups as ru
 from ..operators import scoring as sc
 from ..operators import sessions as ss
 from ..operators import sinks
-from ..sources import adapter, scratch
+from ..sources import adapter, layout, scratch
 from ..streaming import contract
 
 DAY_S, MINIMUM = 86400, 20
@@ -300,6 +302,33 @@ def _premature(p: Plans) -> DataFrame:
     return dq.premature_closes(p.swept().withColumn("written_at", late))
 
 
+def _incremental(p: Plans) -> DataFrame:
+    """Page rollups by two runs: one over what was received until a day, and one, from its watermark on, over the days that later receipts touch."""
+    base, mark, events = f"{scratch.shared_dir(p.spark)}/rollups-{uuid.uuid4().hex}", datetime.datetime(2024, 1, 15, 12), p.events()
+    newest = events.agg(F.greatest(F.max("received_at"), F.max("occurred_at"))).first()[0] or mark
+    stages, far = {"pages": ru.page_behavior}, {"first_run_s": 90 * DAY_S, "most_days": 92}
+    incremental.run(events.filter(F.col("received_at") < F.lit(mark)), base, mark, stages, **far)
+    incremental.run(events, base, max(newest, mark), stages, **far)
+    return p.spark.read.schema(ru.page_behavior(events).schema).parquet(f"{base}/pages")
+
+
+def _stored_heatmap(p: Plans) -> DataFrame:
+    """The heatmap of one week from stored tables: other days are not read, and events meet sessions bucket by bucket."""
+    p.events()
+    events = layout.store(p.events(), F.to_date("occurred_at"))
+    sessions = layout.store(p.bucketed().drop("day"), F.to_date("session_start"))
+    return ru.heatmap(layout.days(events, "2024-01-08", "2024-01-14"), sessions.drop("day"))
+
+
+def _score_updates(p: Plans) -> DataFrame:
+    """Session rows, of which a keyed write sets scores and buckets and leaves the rest."""
+    table = incremental.KeyedTable(f"{scratch.shared_dir(p.spark)}/scores-{uuid.uuid4().hex}", "session_id", parts=16)
+    scored = p.bucketed()
+    table.upsert(scored.select("session_id", "event_count", F.lit(None).cast("double").alias("score"), F.lit("pending").alias("bucket")))
+    table.update(scored.filter("status = 'scored'").select("session_id", "score", "bucket"), ["score", "bucket"])
+    return table.read(p.spark).drop("part")
+
+
 #: name: (timeout in seconds, percentile minimum, plan)
 PLANS: dict[str, tuple[int, int, Callable[[Plans], DataFrame]]] = {
     "sess_gap_lag": (1800, 500, lambda p: ss.with_gaps(p.rows, 1800).select("event_id", "identity", "session_no", "session_id")),
@@ -428,6 +457,9 @@ PLANS: dict[str, tuple[int, int, Callable[[Plans], DataFrame]]] = {
     "dq_override_impact": (DAY_S, MINIMUM, lambda p: dq.override_impact(p.bucketed())),
     "dq_premature_closes": (DAY_S, MINIMUM, _premature),
     "dq_open_cursors": (DAY_S, MINIMUM, lambda p: dq.open_cursors(p.swept())),
+    "ru_incremental_pages": (DAY_S, MINIMUM, _incremental),
+    "ru_heatmap_stored_days": (DAY_S, MINIMUM, _stored_heatmap),
+    "snk_score_update": (DAY_S, MINIMUM, _score_updates),
     "snk_insert_new": (DAY_S, MINIMUM, _insert_new),
     "snk_upsert": (DAY_S, MINIMUM, _overwrite),
     "snk_update_join": (DAY_S, MINIMUM, _update_join),
