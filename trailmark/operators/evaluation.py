@@ -22,14 +22,19 @@ FACTS = (
 CART, CHECKOUT = "add_to_cart_count > 0", "checkout_started_count > 0"
 
 
-def _unpivoted(scored: DataFrame, versions: dict[str, scoring.Version]) -> DataFrame:
-    """One row per scored session and version with its score, raw score and bounce part: all versions in one pass."""
+def _side_by_side(scored: DataFrame, versions: dict[str, scoring.Version]) -> DataFrame:
+    """One row per scored session, all versions beside each other: ``vs``, in their order, each with score, raw score, bounce part and what its buckets go by."""
     base = scored.filter("status = 'scored'").drop("score", "bucket")
     rows = [
         F.struct(F.lit(n).alias("version"), v.score().alias("score"), v.raw().alias("raw_score"), v.bounce_part().alias("bounce"), F.lit(v.eligible_thresholds).alias("own"), F.lit(v.floor).alias("floor"), F.lit(v.high_from_stage).alias("high_from"), F.lit(v.percentiles_of == "all_eligible").alias("zeros"))
         for n, v in versions.items()
     ]
-    return base.select(*FACTS, F.explode(F.array(*rows)).alias("v")).select("*", "v.*").drop("v")
+    return base.select(*FACTS, F.array(*rows).alias("vs"))
+
+
+def _exploded(across: DataFrame, *more: Column) -> DataFrame:
+    """One row per session and version."""
+    return across.select(*FACTS, *more, F.explode("vs").alias("v")).select("*", "v.*").drop("v")
 
 
 def thresholds(long: DataFrame, mode: str = "common", keys: tuple[str, ...] = ("version",), enough: int = ENOUGH) -> DataFrame:
@@ -53,21 +58,34 @@ def thresholds(long: DataFrame, mode: str = "common", keys: tuple[str, ...] = ("
     return cuts.select(*keys, low.alias("p35"), high.alias("p72"), method.alias("method"), F.col("n").alias("population"))
 
 
-def _bucketed(long: DataFrame, cuts: DataFrame, keys: tuple[str, ...] = ("version",)) -> DataFrame:
-    out = long.join(F.broadcast(cuts), list(keys), "left")  # a row per version (and day)
-    low = (F.col("score") <= 0) | (F.col("score") < F.col("p35"))
-    plain = F.when(low, "low").when(F.col("score") < F.col("p72"), "medium").otherwise("high")
-    floored = F.when(F.col("floor") & (F.col("stage") == 0), "low").when((plain == "high") & (F.col("stage") < F.col("high_from")), "medium").otherwise(plain)
-    return out.withColumns({"bucket": floored, "bucket_without_floor": plain})
+def _buckets(v, stage: Column, p35: Column, p72: Column) -> tuple[Column, Column]:
+    """The bucket of a version's score with and without the floor of its evidence."""
+    plain = F.when((v["score"] <= 0) | (v["score"] < p35), "low").when(v["score"] < p72, "medium").otherwise("high")
+    return F.when(v["floor"] & (stage == 0), "low").when((plain == "high") & (stage < v["high_from"]), "medium").otherwise(plain), plain
 
 
-def versions_long(scored: DataFrame, names: tuple[str, ...] = tuple(scoring.VERSIONS), mode: str = "common") -> DataFrame:
-    """One row per scored session and version: score and bucket by thresholds over the whole set (its own percentile population).
+def versions_across(scored: DataFrame, names: tuple[str, ...] = tuple(scoring.VERSIONS), mode: str = "common") -> DataFrame:
+    """One row per scored session with every version's score and bucket side by side in ``vs``, by thresholds over the whole set (each its own population).
 
-    All versions are scored in one pass and unpivoted; one aggregation finds all thresholds.
+    Only stage, score and flags are unpivoted to find the thresholds, which are a few numbers a version and come back in one broadcast row; versions are
+    compared inside a row, without a join.
     """
-    long = _unpivoted(scored, {n: scoring.VERSIONS[n] for n in names})
-    return _bucketed(long, thresholds(long, mode))
+    across = _side_by_side(scored, {n: scoring.VERSIONS[n] for n in names})
+    cuts = thresholds(across.select("stage", F.explode(F.transform("vs", lambda v: F.struct(*[v[c].alias(c) for c in ("version", "score", "own", "zeros")]))).alias("v")).select("stage", "v.*"), mode)
+    row = cuts.agg(F.map_from_entries(F.collect_list(F.struct("version", F.struct("p35", "p72", "method", "population")))).alias("cuts"))  # an entry a version
+    fields = ("version", "score", "raw_score", "bounce", "own", "floor", "high_from", "zeros")
+
+    def judged(v):
+        cut = F.col("cuts")[v["version"]]
+        floored, plain = _buckets(v, F.col("stage"), cut["p35"], cut["p72"])
+        return F.struct(*[v[c].alias(c) for c in fields], *[cut[c].alias(c) for c in ("p35", "p72", "method", "population")], floored.alias("bucket"), plain.alias("bucket_without_floor"))
+
+    return across.crossJoin(F.broadcast(row)).select(*FACTS, F.transform("vs", judged).alias("vs"))
+
+
+def versions_long(scored: DataFrame, names: tuple[str, ...] = tuple(scoring.VERSIONS), mode: str = "common") -> DataFrame:
+    """One row per scored session and version: score and bucket by thresholds over the whole set (its own percentile population)."""
+    return _exploded(versions_across(scored, names, mode))
 
 
 def result_rows(scored: DataFrame, everything: DataFrame, names: tuple[str, ...] = tuple(scoring.VERSIONS), known: dict[str, scoring.Version] | None = None) -> DataFrame:
@@ -89,26 +107,41 @@ def result_rows(scored: DataFrame, everything: DataFrame, names: tuple[str, ...]
 
 def replays(scored: DataFrame) -> DataFrame:
     """The replay variants over the scored sessions, each day with its own thresholds and the constants below 500 of its population."""
-    long = _unpivoted(scored, scoring.REPLAYS)
-    return _bucketed(long, thresholds(long, "production", ("version", "day")), ("version", "day"))
+    long = _exploded(_side_by_side(scored, scoring.REPLAYS))
+    keys = ["version", "day"]
+    out = long.join(F.broadcast(thresholds(long, "production", tuple(keys))), keys, "left")  # a row per version and day
+    floored, plain = _buckets({c: F.col(c) for c in ("score", "floor", "high_from")}, F.col("stage"), F.col("p35"), F.col("p72"))
+    return out.withColumns({"bucket": floored, "bucket_without_floor": plain})
 
 
-def wide(long: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def wide(across: DataFrame, names: tuple[str, ...]) -> DataFrame:
     """One row per session, each version's score and bucket in columns."""
-    return long.groupBy("session_id").pivot("version", list(names)).agg(F.first("score").alias("score"), F.first("bucket").alias("bucket"))
+    of = F.map_from_entries(F.transform("vs", lambda v: F.struct(v["version"].alias("k"), v.alias("v"))))
+    each = across.select("session_id", of.alias("of"))
+    return each.select("session_id", *[F.col("of")[n][c].alias(f"{n}_{c}") for n in names for c in ("score", "bucket")])
+
 
+def transitions(across: DataFrame, pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Counts of all nine bucket moves between the versions of each pair (all pairs by default), zeros included, with cart and checkout counts of the movers.
 
-def transitions(long: DataFrame, pairs: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Counts of all nine bucket moves between the versions of each pair (all pairs by default), zeros included, with cart and checkout counts of the movers."""
+    Sessions are counted by the buckets of all versions at once; pairs are taken from these few combinations.
+    """
     pairs = pairs or list(combinations(scoring.VERSIONS, 2))
-    spark, names = long.sparkSession, sorted({v for p in pairs for v in p})
-    across = wide(long, tuple(names)).join(long.filter(F.col("version") == names[0]).select("session_id", "add_to_cart_count", "checkout_started_count"), "session_id")
-    moves = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}_bucket").alias("src"), F.col(f"{b}_bucket").alias("dst")) for a, b in pairs]))
-    counts = across.select(moves.alias("m"), "add_to_cart_count", "checkout_started_count").groupBy("m.a", "m.b", "m.src", "m.dst").agg(F.count("*").alias("sessions"), F.count_if(F.expr(CART)).alias("atc"), F.count_if(F.expr(CHECKOUT)).alias("checkout"))
-    cells = spark.createDataFrame([(a, b, x, y) for a, b in pairs for x in BUCKETS for y in BUCKETS], "a string, b string, src string, dst string")
+    of = F.transform("vs", lambda v: F.struct(v["version"].alias("version"), v["bucket"].alias("bucket")))
+    kinds = across.select(of.alias("of"), "add_to_cart_count", "checkout_started_count").groupBy("of").agg(F.count("*").alias("sessions"), F.count_if(F.expr(CART)).alias("atc"), F.count_if(F.expr(CHECKOUT)).alias("checkout"))
+    at = F.map_from_entries("of")
+    moves = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), at[a].alias("src"), at[b].alias("dst")) for a, b in pairs]))
+    counts = kinds.select(moves.alias("m"), "sessions", "atc", "checkout").groupBy("m.a", "m.b", "m.src", "m.dst").agg(*[F.sum(c).alias(c) for c in ("sessions", "atc", "checkout")])
+    cells = across.sparkSession.createDataFrame([(a, b, x, y) for a, b in pairs for x in BUCKETS for y in BUCKETS], "a string, b string, src string, dst string")
     return cells.join(counts, ["a", "b", "src", "dst"], "left").fillna(0, ["sessions", "atc", "checkout"])
 
 
+def _against(across: DataFrame, base: str) -> DataFrame:
+    """One row per session and version with the base's score and bucket as ``s0`` and ``b0``."""
+    own = F.get(F.filter("vs", lambda v: v["version"] == base), F.lit(0))
+    return _exploded(across, own["score"].alias("s0"), own["bucket"].alias("b0"))
+
+
 def _counted(prefix: str = "", of: Column | None = None) -> list[Column]:
     of = F.lit(True) if of is None else of
     cart, checkout = F.expr(CART), F.expr(CHECKOUT)
@@ -195,10 +228,9 @@ def bucket_stages(long: DataFrame) -> DataFrame:
     return counts.withColumn("share_of_bucket", fn.percent(F.col("n"), F.sum("n").over(Window.partitionBy("version", "group"))))
 
 
-def zero_reduction(long: DataFrame, base: str = "V1") -> DataFrame:
+def zero_reduction(across: DataFrame, base: str = "V1") -> DataFrame:
     """How much of the base's zero scores each other version removes: recovered, new zeros, buckets of the recovered, ties, causes of what is left."""
-    own = long.filter(F.col("version") == base).select("session_id", F.col("score").alias("s0"))
-    both = long.filter(F.col("version") != base).join(own, "session_id")
+    both = _against(across, base).filter(F.col("version") != base)
     was, now = F.col("s0") == 0, F.col("score") == 0
     recovered = was & ~now
     facts = both.groupBy("version").agg(
@@ -211,11 +243,9 @@ def zero_reduction(long: DataFrame, base: str = "V1") -> DataFrame:
     return out.withColumns({"reduction_pct": fn.percent(F.col("base_zeros") - F.col("zeros"), F.col("base_zeros")), "recovered_pct": fn.percent(F.col("recovered"), F.col("base_zeros"))})
 
 
-def agreement(long: DataFrame, base: str = "V1") -> DataFrame:
+def agreement(across: DataFrame, base: str = "V1") -> DataFrame:
     """Per version: sessions whose bucket equals the base's, movers, greatest score difference."""
-    own = long.filter(F.col("version") == base).select("session_id", F.col("bucket").alias("b0"), F.col("score").alias("s0"))
-    both = long.join(own, "session_id")
-    return both.groupBy("version").agg(F.count("*").alias("compared"), F.count_if(F.col("bucket") == F.col("b0")).alias("equal"), F.count_if(F.col("bucket") != F.col("b0")).alias("movers"), fn.rounded(F.max(F.abs(F.col("score") - F.col("s0"))), 2).alias("max_difference"))
+    return _against(across, base).groupBy("version").agg(F.count("*").alias("compared"), F.count_if(F.col("bucket") == F.col("b0")).alias("equal"), F.count_if(F.col("bucket") != F.col("b0")).alias("movers"), fn.rounded(F.max(F.abs(F.col("score") - F.col("s0"))), 2).alias("max_difference"))
 
 
 def parity(computed: DataFrame, stored: DataFrame, tolerance: float = 0.01) -> DataFrame:

@@ -70,6 +70,9 @@ class Plans:
     def bucketed(self) -> DataFrame:
         return self.stored("bucketed", lambda: sc.with_buckets(self.scored(), self.calibration()))
 
+    def across(self) -> DataFrame:
+        return ev.versions_across(self.scored())
+
     def long(self) -> DataFrame:
         return self.stored("long", lambda: ev.versions_long(self.scored()))
 
@@ -368,15 +371,15 @@ PLANS: dict[str, tuple[int, int, Callable[[Plans], DataFrame]]] = {
     "sc_asof_thresholds": (DAY_S, MINIMUM, _gaps_as_of),
     "sc_buckets": (DAY_S, MINIMUM, lambda p: p.bucketed().select("session_id", "score", "bucket", "operational_bucket")),
     "sc_actor_best": (DAY_S, MINIMUM, lambda p: sc.actors(p.bucketed())),
-    "ev_versions_long": (DAY_S, MINIMUM, lambda p: p.long().select("session_id", "version", "score", "stage", "bucket")),
-    "ev_wide_pivot": (DAY_S, MINIMUM, lambda p: ev.wide(p.long(), tuple(sc.VERSIONS))),
-    "ev_transitions": (DAY_S, MINIMUM, lambda p: ev.transitions(p.long())),
+    "ev_versions_long": (DAY_S, MINIMUM, lambda p: ev.versions_long(p.scored()).select("session_id", "version", "score", "stage", "bucket")),
+    "ev_wide_pivot": (DAY_S, MINIMUM, lambda p: ev.wide(p.across(), tuple(sc.VERSIONS))),
+    "ev_transitions": (DAY_S, MINIMUM, lambda p: ev.transitions(p.across())),
     "ev_outcome_lift": (DAY_S, MINIMUM, lambda p: ev.outcomes(p.long(), ["version", "bucket"])),
     "ev_monotonic": (DAY_S, MINIMUM, lambda p: ev.monotonic(p.long())),
     "ev_score_bands": (DAY_S, MINIMUM, lambda p: ev.score_bands(p.long())),
     "ev_landing_cohort": (DAY_S, MINIMUM, lambda p: ev.landing_cohort(p.long())),
     "ev_stage_crosstab": (DAY_S, MINIMUM, lambda p: ev.stage_crosstab(p.long())),
-    "ev_parity": (DAY_S, MINIMUM, lambda p: ev.agreement(p.long())),
+    "ev_parity": (DAY_S, MINIMUM, lambda p: ev.agreement(p.across())),
     "ev_tv_distance": (DAY_S, MINIMUM, lambda p: ev.total_variation(p.long())),
     "ev_zero_scores": (DAY_S, MINIMUM, lambda p: ev.zero_scores(p.long())),
     "ev_threshold_shift": (DAY_S, MINIMUM, lambda p: ev.threshold_shift(p.long())),
@@ -435,7 +438,7 @@ PLANS: dict[str, tuple[int, int, Callable[[Plans], DataFrame]]] = {
     "ev_engaged": (DAY_S, MINIMUM, lambda p: ev.engaged(p.long())),
     "ev_bucket_stages": (DAY_S, MINIMUM, lambda p: ev.bucket_stages(p.long())),
     "ev_stage_effects": (DAY_S, MINIMUM, lambda p: ev.stage_effects(p.long())),
-    "ev_zero_reduction": (DAY_S, MINIMUM, lambda p: ev.zero_reduction(p.long())),
+    "ev_zero_reduction": (DAY_S, MINIMUM, lambda p: ev.zero_reduction(p.across())),
     "ev_duration_diagnostics": (DAY_S, MINIMUM, lambda p: ev.duration_diagnostics(p.long())),
     "ev_scroll_diagnostics": (DAY_S, MINIMUM, lambda p: ev.scroll_diagnostics(p.long())),
     "ev_struggle_differences": (DAY_S, MINIMUM, lambda p: ev.struggle_differences(p.long())),
