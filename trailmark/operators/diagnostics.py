@@ -147,6 +147,7 @@ def cohorts(bucketed: DataFrame) -> DataFrame:
     product, cart, checkout = (F.col(c) > 0 for c in ("product_view_count", "add_to_cart_count", "checkout_started_count"))
     bounced = F.expr(BOUNCED)
     only = (F.col("click_count") == 0) & (F.col("scroll_count") == 0) & ~product & ~cart & ~checkout
+    # fixed values: the cohorts' names
     kinds = {"with product views": product, "without product views": ~product, "with add to cart": cart, "with checkout started": checkout, "page views only": only, "bounced": bounced, "not bounced": ~bounced}
     of = F.explode(F.array_compact(F.array(*[F.when(c, k) for k, c in kinds.items()])))
     rows = bucketed.filter("status = 'scored'").withColumn("cohort", of)

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from ..functions import scalars as fn
 from . import scoring
 
+#: Names of buckets; those of threshold methods stand in ``thresholds``.
 BUCKETS = ("low", "medium", "high")
 #: Scored sessions a version needs for percentiles that are not noisy.
 ENOUGH = 500

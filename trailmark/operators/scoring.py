@@ -226,10 +226,9 @@ def with_buckets(scored: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 def actors(bucketed: DataFrame) -> DataFrame:
     """Each actor's best scored session (ties to the smaller session id) and how many were scored; none: nulls."""
-    order = F.when(F.col("status") == "scored", F.struct(F.col("score"), F.col("session_id")))
-    best = Window.partitionBy("identity").orderBy(F.col("score").desc_nulls_last(), "session_id")
-    one = bucketed.withColumn("__n", F.row_number().over(best)).withColumn("__count", F.count(order).over(Window.partitionBy("identity"))).filter("__n = 1")
-    return one.select("identity", F.when(F.col("__count") > 0, F.col("session_id")).alias("best_session"), F.col("score").alias("best_score"), F.col("bucket").alias("best_bucket"), F.col("__count").alias("scored_sessions"))
+    scored = F.when(F.col("status") == "scored", F.struct((-F.col("score")).alias("order"), "session_id", "score", "bucket"))
+    found = bucketed.groupBy("identity").agg(F.min(scored).alias("best"), F.count(scored).alias("scored_sessions"))
+    return found.select("identity", F.col("best.session_id").alias("best_session"), F.col("best.score").alias("best_score"), F.col("best.bucket").alias("best_bucket"), "scored_sessions")
 
 
 def touched_actors(pages: list[DataFrame]) -> DataFrame:

@@ -305,6 +305,14 @@ def _premature(p: Plans) -> DataFrame:
     return dq.premature_closes(p.swept().withColumn("written_at", late))
 
 
+def _two_streams(p: Plans) -> DataFrame:
+    """Behavioural events and clicks as two streams, each delivered again later under another name: the first delivery of an id wins."""
+    again = {"event_name": F.lit("delivered again"), "received_at": F.expr("received_at + INTERVAL 1 HOUR"), "url": F.lit(None).cast("string")}
+    streams = [p.rows.filter(where) for where in ("event_name = 'click'", "event_name <> 'click'")]
+    late = [s.withColumns(again) for s in streams]
+    return ss.first_deliveries(late[0].unionByName(streams[1]).unionByName(streams[0]).unionByName(late[1])).select("event_id", "event_name")
+
+
 def _incremental(p: Plans) -> DataFrame:
     """Page rollups by two runs: one over what was received until a day, and one, from its watermark on, over the days that later receipts touch."""
     base, mark, events = f"{scratch.shared_dir(p.spark)}/rollups-{uuid.uuid4().hex}", datetime.datetime(2024, 1, 15, 12), p.events()
@@ -343,7 +351,7 @@ PLANS: dict[str, tuple[int, int, Callable[[Plans], DataFrame]]] = {
     "sess_overlap": (1800, 500, _overlap),
     "sess_integrity": (1800, 500, _integrity),
     "evt_atc_keep_first": (DAY_S, MINIMUM, lambda p: p.inside().filter("event_name = 'product_added_to_cart'").select("event_id", "session_id", "product_id")),
-    "evt_dedup": (1800, 500, lambda p: ss.first_deliveries(p.rows.unionByName(p.rows)).select("event_id", "event_name")),
+    "evt_dedup": (1800, 500, _two_streams),
     "evt_future_clock": (1800, 500, lambda p: ss.future_clock(p.rows)),
     "evt_topic_route": (1800, 500, lambda p: p.rows.groupBy("event_name", fn.topic(F.col("event_name")).alias("topic")).agg(F.count("*").alias("events"))),
     "fn_page_path": (1800, 500, lambda p: p.rows.select("event_id", fn.page_path(F.col("url")).alias("page_path"))),

@@ -39,6 +39,7 @@ def _bad_text(v: Column, field: str, required: bool, is_id: bool) -> Column:
     return checks.when(F.length(text) > LONGEST_ID, f"{field} is longer than {LONGEST_ID} characters") if is_id else checks
 
 
+#: The wordings below are fixed values: a dead letter shows them.
 def reject_reason(value: Column, v: Column) -> Column:
     """Why a record is refused (the first check it fails); null if it is sound. ``v`` is the value parsed as a variant, null if it is no JSON."""
     version, kind = _kind(v, "schema_version"), _text(v, "type")
