@@ -40,6 +40,7 @@ def streamed(spark, folder, batches, name, timeout_s=1800, **how):
         frame = spark.createDataFrame(rows, RECORD) if isinstance(rows, list) else rows
         frame.coalesce(1).write.mode("append").parquet(f"{folder}/in")
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # a run that ends with its input leaves the last sessions open
+    spark.conf.set("spark.sql.shuffle.partitions", "2")  # state stores of each batch
     counted = machine.Counted()
     spark.streams.addListener(counted)
     try:
@@ -49,6 +50,7 @@ def streamed(spark, folder, batches, name, timeout_s=1800, **how):
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     finally:
         spark.streams.removeListener(counted)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
     return counted.totals.get(name, {})
 
