@@ -301,7 +301,7 @@ def duration_bands(long: DataFrame) -> DataFrame:
 def duration_diagnostics(long: DataFrame, version: str = "V1") -> DataFrame:
     """Recorded durations of one version's sessions in seconds: extremes, nearest ranks, shares above 5 and 10 seconds, of 0 and under a second."""
     rows = long.filter(F.col("version") == version).withColumn("s", F.coalesce("session_time_spent_ms", F.lit(0)) / 1000.0)
-    cuts = scoring.nearest_ranks(rows, "version", F.col("s"), {f"p{p}": (p / 100, None) for p in (25, 50, 75, 90)}).drop("n")
+    cuts = scoring.nearest_ranks(rows, "version", F.col("s"), {f"p{p}": (p / 100, None) for p in (25, 50, 75, 90)}, many=True).drop("n")
     part = {"over_5s": F.col("s") > 5, "over_10s": F.col("s") > 10, "exactly_0": F.col("s") == 0, "under_1s": F.col("s") < 1}
     facts = rows.groupBy("version").agg(F.count("*").alias("sessions"), F.min("s").alias("least"), F.max("s").alias("most"), *[fn.percent(F.count_if(c), F.count("*")).alias(k) for k, c in part.items()])
     return facts.join(cuts, "version")
@@ -334,7 +334,7 @@ def composition(long: DataFrame) -> DataFrame:
     whole = lambda c: fn.rounded(F.sum(F.round(c * 100).cast("long")) / F.count("*") / 100.0, 4)  # noqa: E731 (scores have two decimals: whole sums)
     facts = long.groupBy("version", "bucket").agg(*_counted(), *[whole(c).alias(k) for k, c in means.items()], fn.rounded(F.sum("session_time_spent_ms") / F.count("*") / 1000.0, 3).alias("avg_duration_s"))
     key = long.withColumn("__key", F.struct("version", "bucket"))
-    mids = [scoring.nearest_ranks(key, "__key", value, {name: (0.5, None)}).select("__key.*", name) for name, value in (("median_score", F.col("score")), ("median_duration_s", F.col("session_time_spent_ms") / 1000.0))]
+    mids = [scoring.nearest_ranks(key, "__key", value, {name: (0.5, None)}, many).select("__key.*", name) for name, value, many in (("median_score", F.col("score"), False), ("median_duration_s", F.col("session_time_spent_ms") / 1000.0, True))]
     out = facts.join(mids[0], ["version", "bucket"]).join(mids[1], ["version", "bucket"])
     return out.select("version", "bucket", F.col("n").alias("sessions"), *means, "avg_duration_s", "median_score", "median_duration_s", *[fn.percent(F.col(m), F.col("n")).alias(f"{m}_rate") for m in ("atc", "checkout", "either")])
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import scalars as fn
+from . import ordered
 
 #: Fixed values of the production and candidate models: caps and weights, page modifiers, penalties, thresholds.
 TERMS = (("product_view_count", 4, 11.0), ("useful_click_count", 12, 2.2), ("minutes", 6, 4.5), ("scroll_count", 8, 1.8), ("page_view_count", 6, 1.5))
@@ -159,16 +160,21 @@ def register_version(version: Version) -> None:
     VERSIONS[version.name] = version
 
 
-def nearest_ranks(rows: DataFrame, key: str, value: Column, cuts: dict[str, tuple[float, Column | None]]) -> DataFrame:
+def nearest_ranks(rows: DataFrame, key: str, value: Column, cuts: dict[str, tuple[float, Column | None]], many: bool = False) -> DataFrame:
     """Per ``key``: ``n`` values, and for each cut (p, condition or none) the element at ``round_half_even(p * (n - 1))`` of the sorted values with that condition.
 
     Equal values are counted first, and running counts go over the distinct values only, so that no group of rows is held in one place. Nulls do not count.
+    ``many``: a group may have any number of distinct values (durations; scores have 10,001), and these are dealt over tasks by ranges (``ordered.running``).
     """
     whole = F.lit(True)
     counts = rows.groupBy(key, value.alias("__value")).agg(F.count(value).alias("__n"), *[F.count(F.when(whole if c is None else c, value)).alias(f"__of_{name}") for name, (_, c) in cuts.items()])
-    group = Window.partitionBy(key)
-    upto = group.orderBy("__value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.select(key, "__value", "__n", *[((F.col(f"__of_{name}") > 0) & (F.sum(f"__of_{name}").over(upto) > F.bround(p * (F.sum(f"__of_{name}").over(group) - 1), 0))).alias(f"__past_{name}") for name, (p, _) in cuts.items()])
+    if many:
+        sums = ordered.running(counts, [key], ["__value"], {f"__upto_{name}": F.col(f"__of_{name}") for name in cuts})
+    else:
+        group = Window.partitionBy(key)
+        upto = group.orderBy("__value").rowsBetween(Window.unboundedPreceding, 0)
+        sums = counts.select("*", *[F.sum(f"__of_{name}").over(upto).alias(f"__upto_{name}") for name in cuts], *[F.sum(f"__of_{name}").over(group).alias(f"__upto_{name}_all") for name in cuts])
+    ranked = sums.select(key, "__value", "__n", *[((F.col(f"__of_{name}") > 0) & (F.col(f"__upto_{name}") > F.bround(p * (F.col(f"__upto_{name}_all") - 1), 0))).alias(f"__past_{name}") for name, (p, _) in cuts.items()])
     return ranked.groupBy(key).agg(F.sum("__n").alias("n"), *[F.min(F.when(F.col(f"__past_{name}"), F.col("__value"))).alias(name) for name in cuts])
 
 

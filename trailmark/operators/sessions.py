@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import scalars as fn
+from . import ordered
 
 TIMEOUT_S = 1800
 COUNTED = {
@@ -317,9 +318,8 @@ def repaired(old: DataFrame, new: DataFrame, timeout_s: int = TIMEOUT_S) -> Data
         facts = sessions_.agg(F.count_if(no_browsing(cart, F.col("page_view_count"), F.col("product_view_count"))).alias(f"{tag}_without_browsing"), F.sum("event_count").alias(f"{tag}_events"))
         torn = fragments(sessions_, timeout_s).agg(F.count("*").alias(f"{tag}_fragments"))
         counts = sessions_.groupBy("session_time_spent_ms").agg(F.count("*").alias("n"))
-        whole, upto = Window.partitionBy(), Window.orderBy("session_time_spent_ms").rowsBetween(Window.unboundedPreceding, 0)  # a row per distinct duration
-        ranked = counts.withColumns({"__all": F.sum("n").over(whole), "__upto": F.sum("n").over(upto)})
-        cuts = ranked.agg(F.sum("n").alias(f"{tag}_sessions"), *[F.min(F.when(F.col("__upto") > F.floor(F.col("__all") * p / 100), F.col("session_time_spent_ms"))).alias(f"{tag}_p{p}") for p in (50, 75, 90)])
+        ranked = ordered.running(counts, [], ["session_time_spent_ms"], {"upto": F.col("n")})
+        cuts = ranked.agg(F.sum("n").alias(f"{tag}_sessions"), *[F.min(F.when(F.col("upto") > F.floor(F.col("upto_all") * p / 100), F.col("session_time_spent_ms"))).alias(f"{tag}_p{p}") for p in (50, 75, 90)])
         return facts.crossJoin(torn).crossJoin(cuts)  # one row each
 
     return side(old, "old").crossJoin(side(new, "new"))

@@ -230,9 +230,9 @@ SELECTS: dict[str, tuple] = {
     "evt_event_rows": (HOUR, "SELECT event_id, event_name, actor_id, client_id, CASE WHEN seq % 37 = 15 THEN repeat('9', 101) WHEN seq % 37 <> 14 THEN product_id END AS product_id, product_title, CASE seq % 6 WHEN 0 THEN 2.0 WHEN 2 THEN 1000.0 END AS quantity, (seq % 50) * 1.5::DOUBLE AS price, scroll_percent, strftime(occurred_at, '%Y-%m-%d %H:%M:%S') AS occurred_at, utm AS utm_source, NULL::VARCHAR AS utm_medium, NULL::VARCHAR AS utm_campaign, NULL::VARCHAR AS utm_term, NULL::VARCHAR AS utm_content FROM @REASONS WHERE reason IS NULL AND event_name <> 'click'"),
     "evt_click_rows": (HOUR, "SELECT event_id, (seq % 1000)::INTEGER AS click_x, 12 AS click_y, CASE seq % 4 WHEN 0 THEN 'Button' WHEN 1 THEN 'A' WHEN 2 THEN 'input' END AS click_tag, CASE WHEN seq % 5 < 2 THEN 'Btn-' || k END AS click_element_id, CASE WHEN seq % 6 = 0 THEN 'Buy' END AS click_element_name, CASE WHEN seq % 4 = 2 THEN 'TEXT' END AS click_element_type, CASE WHEN seq % 4 = 1 THEN url END AS click_href, seq % 2 = 0 AS url_changed, CASE WHEN seq % 3 = 0 THEN true END AS cart_changed, NULL::BOOLEAN AS ui_changed, click_bucket, strftime(occurred_at, '%Y-%m-%d %H:%M:%S') AS occurred_at FROM @REASONS WHERE reason IS NULL AND event_name = 'click'"),
     "evt_message_sessions": ((86400, 20, "event_id % 37 > 15 OR (event_id % 37 = 11 AND event_name = 'click') OR (event_id % 37 IN (12, 13) AND event_name <> 'click') OR (event_id % 37 IN (14, 15) AND event_name <> 'product_added_to_cart')"), f"SELECT event_id, identity, {uuid(chr(39) + 'b|' + chr(39) + ' || identity', 'opener')} AS session_id FROM (SELECT *, first_value(event_id) OVER (PARTITION BY identity, session_no ORDER BY occurred_at, received_at, event_name = 'click', seq) AS opener FROM ins)"),
-    "evt_receipt_proxy": (HOUR, "SELECT event_id, strftime(occurred_at, '%Y-%m-%d %H:%M:%S') AS occurred_at, -19800::BIGINT AS offset_s FROM r0"),
-    "evt_send_order": (HOUR, "SELECT row_number() OVER (ORDER BY received_at, topic, seq % 3, seq) AS place, topic, (seq % 3)::INTEGER AS partition, seq AS offset FROM (SELECT *, CASE WHEN event_name = 'checkout_started' THEN 'intent.checkout' WHEN event_name = 'product_added_to_cart' THEN 'intent.atc' WHEN event_name = 'click' THEN 'intent.click' ELSE 'intent.other' END AS topic FROM act) ORDER BY place LIMIT 500"),
-    "evt_released": (HOUR, "SELECT topic, partition, o AS offset FROM bf WHERE k <= (SELECT min(l) FROM (SELECT max(k) AS l FROM bf WHERE partition = 1 GROUP BY topic)) AND (received_at <= TIMESTAMP '2024-01-19 23:59:49' OR k <= (SELECT min(l) FROM (SELECT max(k) AS l FROM bf GROUP BY topic, partition)))", "bf AS (SELECT *, {'t': received_at, 'n': topic, 'p': partition, 'o': o} AS k FROM (SELECT received_at, seq AS o, (seq % 3)::INTEGER AS partition, CASE WHEN event_name = 'checkout_started' THEN 'intent.checkout' WHEN event_name = 'product_added_to_cart' THEN 'intent.atc' WHEN event_name = 'click' THEN 'intent.click' ELSE 'intent.other' END AS topic FROM act WHERE received_at < TIMESTAMP '2024-01-20 00:00:05'))"),
+    "evt_receipt_proxy": (HOUR, "SELECT event_id, strftime(CASE WHEN replaced THEN w ELSE client_time END, '%Y-%m-%d %H:%M:%S') AS occurred_at, replaced, CASE WHEN seq % 61 <> 0 THEN -19800::BIGINT END AS offset_s FROM (SELECT *, seq % 61 <> 0 AND client_time > w + INTERVAL 300 SECOND AS replaced FROM (SELECT *, received_at + to_seconds(seq % 400) AS w FROM r0))"),
+    "evt_send_order": (HOUR, "SELECT row_number() OVER (ORDER BY received_at, topic, seq % 3, seq) AS place, topic, (seq % 3)::INTEGER AS partition, seq AS offset FROM (SELECT *, CASE WHEN event_name = 'checkout_started' THEN 'intent.checkout' WHEN event_name = 'product_added_to_cart' THEN 'intent.atc' WHEN event_name = 'click' THEN 'intent.click' ELSE 'intent.other' END AS topic FROM act)"),
+    "evt_released": (HOUR, "SELECT topic, partition, o AS offset FROM bf WHERE k <= (SELECT min(l) FROM (SELECT max(k) AS l FROM bf WHERE partition = 1 GROUP BY topic)) AND (received_at <= TIMESTAMP '2024-01-19 23:59:49' OR k <= (SELECT min(l) FROM (SELECT max(k) AS l FROM bf GROUP BY topic, partition)))", "bf AS (SELECT *, {'t': received_at, 'n': topic, 'p': partition, 'o': o} AS k FROM (SELECT received_at, seq AS o, (seq % 3)::INTEGER AS partition, CASE WHEN event_name = 'checkout_started' THEN 'intent.checkout' WHEN event_name = 'product_added_to_cart' THEN 'intent.atc' WHEN event_name = 'click' THEN 'intent.click' ELSE 'intent.other' END AS topic FROM act))"),
     "fn_utm_all": (HOUR, "SELECT event_id, utm AS utm_source, CASE WHEN contains(x, '?') AND NOT contains(split_part(x, '?', 1), '#') THEN CASE WHEN contains(split_part(url || '&', '#', 1), '?') AND NOT contains(url, '#') THEN 'Mail a' END END AS utm_medium, CASE WHEN url IS NOT NULL THEN 'é' END AS utm_campaign, NULL::VARCHAR AS utm_term, NULL::VARCHAR AS utm_content FROM (SELECT *, url || '&UTM_Medium=' AS x FROM rt)"),
     "fn_cart_items": (LONG, "SELECT event_id, it.i AS product_id, it.t AS product_title FROM (SELECT event_id, unnest(@CART) AS it FROM pr0 WHERE ids IS NOT NULL)"),
     "fn_stored_path": (LONG, "SELECT s.session_id, sq AS sequence, pattern AS journey FROM @SEQ s JOIN @JOURNEY j USING (session_id)"),

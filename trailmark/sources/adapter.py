@@ -119,6 +119,15 @@ def corrected(rows: DataFrame, limit_s: int = 300) -> DataFrame:
     return rows.withColumn("occurred_at", F.when(ahead, F.col("received_at")).otherwise(F.col("client_time")))
 
 
+def corrected_by_write_time(rows: DataFrame, limit_s: int = 300, ahead_s: int = 19_800) -> DataFrame:
+    """``corrected`` for stored rows that keep no receipt: ``ingested_at``, when a database whose clock runs ``ahead_s`` behind the store's wrote the row,
+    stands for it. Adds ``occurred_at`` and ``replaced``; rows without a write time keep the client's.
+    """
+    receipt = F.col("ingested_at") + F.expr(f"INTERVAL {ahead_s} SECONDS")
+    replaced = F.coalesce(F.col("client_time") > receipt + F.expr(f"INTERVAL {limit_s} SECONDS"), F.lit(False))
+    return rows.withColumns({"occurred_at": F.when(replaced, receipt).otherwise(F.col("client_time")), "replaced": replaced})
+
+
 def events(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None) -> DataFrame:
     return corrected(activity(spark, sf_dir, first, last))
 

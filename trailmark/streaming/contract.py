@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as fn
+from ..operators import ordered
 from ..sources import adapter
 
 #: Fixed values of the contract.
 VERSION, LONGEST_ID, BUCKETS = 1, 100, ("useful_click", "dead_click")
 IDS = ("brand_id", "event_id", "event_name", "actor_id", "client_id", "visitor_id")
 TEXTS, OBJECTS = ("url", "referrer", "user_agent"), ("raw", "click", "signals")
+SENT = ("timestamp", "topic", "partition", "offset")
 ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.]\d{1,6})?)?)?)?$"
 
 
@@ -130,7 +132,12 @@ def click_rows(rows: DataFrame, *more: str) -> DataFrame:
 
 def in_send_order(records: DataFrame) -> DataFrame:
     """One order over all partitions: time of sending, topic, partition, offset."""
-    return records.orderBy("timestamp", "topic", "partition", "offset")
+    return records.orderBy(*SENT)
+
+
+def numbered_in_send_order(records: DataFrame) -> DataFrame:
+    """Adds ``place``, each record's number (from 1) in that order."""
+    return ordered.numbered(records, list(SENT))
 
 
 def released(buffered: DataFrame, partitions: DataFrame, now: str, slack_s: int = 10) -> DataFrame:
