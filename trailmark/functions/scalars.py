@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -232,9 +234,48 @@ def click_target(tag: Column, element_id: Column, name: Column, kind: Column, hr
     return F.struct(*[c.alias(n) for n, c in fields.items()], F.md5(F.concat_ws("|", *fields.values())).alias("target_hash"))
 
 
+def _sql_text(c: Column) -> str:
+    """A column expression as SQL text; operators, which print as functions, are quoted so that they parse as such."""
+    parts = re.split(r"('(?:[^'\\]|\\[\s\S])*')", c._jc.node().sql())  # texts stand at odd places
+    return "".join(part if i % 2 else re.sub(r"(?<![\w`])([=<>+*/%-]+|and|or|not)\(", r"`\1`(", part) for i, part in enumerate(parts))
+
+
+def _inlined(items: Column) -> str:
+    return f"SELECT * FROM inline({_sql_text(items)})"
+
+
+def _utm_values(url: Column) -> Column:
+    return F.filter(F.array(*[F.struct(F.lit(n).alias("name"), utm(url, n).alias("value")) for n in UTM]), lambda x: x["value"].isNotNull())
+
+
+_NAMES = "ARRAY<STRING>"
+#: SQL name: (parameters, type, the function that makes the expression of them). Those of a type TABLE give rows, for lateral joins.
+SQL_FUNCTIONS = {
+    "tm_raw_path": ("url STRING", "STRING", raw_path),
+    "tm_page_path": ("url STRING", "STRING", page_path),
+    "tm_page_type": ("path STRING", "STRING", page_type),
+    "tm_product_id": ("raw STRING", "STRING", product_id),
+    "tm_cart_titles": ("raw STRING", _NAMES, cart_titles),
+    "tm_cart_products": ("raw STRING", _NAMES, cart_products),
+    "tm_utm": ("url STRING, name STRING", "STRING", utm),
+    "tm_device": ("agent STRING", "STRING", device),
+    "tm_is_bot": ("agent STRING", "BOOLEAN", is_bot),
+    "tm_topic": ("event STRING", "STRING", topic),
+    "tm_safe_ratio": ("n DOUBLE, d DOUBLE", "DOUBLE", safe_ratio),
+    "tm_percent": ("n DOUBLE, d DOUBLE", "DOUBLE", percent),
+    "tm_sequence_path": ("names ARRAY<STRING>", "STRING", sequence_path),
+    "tm_stored_path": ("stored STRING", "STRING", stored_path),
+    "tm_journey": ("names ARRAY<STRING>", "STRING", journey),
+    "tm_zone_name": ("label STRING", "STRING", zone_name),
+    "tm_session_uuid": ("name STRING", "STRING", session_uuid),
+    "tm_cart_items": ("ids STRING, titles STRING", "TABLE (product_id STRING, product_title STRING)", cart_items),
+    "tm_utm_values": ("url STRING", "TABLE (name STRING, value STRING)", _utm_values),
+}
+
+
 def register(spark) -> None:
-    """The domain's functions under SQL names, as SQL expressions: plans stay free of Python."""
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tm_raw_path(url STRING) RETURNS STRING RETURN substring_index(substring_index(url, '?', 1), '#', 1)")
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tm_page_type(path STRING) RETURNS STRING RETURN CASE WHEN path = '/' THEN 'home' WHEN startswith(path, '/products/') THEN 'pdp' WHEN startswith(path, '/collections/') THEN 'collection' WHEN startswith(path, '/checkout') THEN 'checkout' ELSE 'other' END")
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tm_product_id(raw STRING) RETURNS STRING RETURN regexp_replace(regexp_replace(trim(raw), '^[\\'\"]+|[\\'\"]+$', ''), '[.]0$', '')")
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tm_safe_ratio(n DOUBLE, d DOUBLE) RETURNS DOUBLE RETURN bround(n / nullif(d, 0), 4)")
+    """The domain's functions under SQL names, each from its one definition above: plans stay free of Python."""
+    for name, (parameters, kind, build) in SQL_FUNCTIONS.items():
+        made = build(*[F.col(p.split()[0]) for p in parameters.split(", ")])
+        body = _inlined(made) if kind.startswith("TABLE") else _sql_text(made)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {kind} RETURN {body}")

@@ -65,6 +65,12 @@ def _buckets(v, stage: Column, p35: Column, p72: Column) -> tuple[Column, Column
     return F.when(v["floor"] & (stage == 0), "low").when((plain == "high") & (stage < v["high_from"]), "medium").otherwise(plain), plain
 
 
+def _cuts_of_versions(cuts: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Thresholds (a row per version) as one row: ``cuts``, a map by version."""
+    cut = F.struct("p35", "p72", "method", "population")
+    return cuts.agg(F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.max(F.when(F.col("version") == n, cut)) for n in names])).alias("cuts"))
+
+
 def versions_across(scored: DataFrame, names: tuple[str, ...] = tuple(scoring.VERSIONS), mode: str = "common") -> DataFrame:
     """One row per scored session with every version's score and bucket side by side in ``vs``, by thresholds over the whole set (each its own population).
 
@@ -73,7 +79,7 @@ def versions_across(scored: DataFrame, names: tuple[str, ...] = tuple(scoring.VE
     """
     across = _side_by_side(scored, {n: scoring.VERSIONS[n] for n in names})
     cuts = thresholds(across.select("stage", F.explode(F.transform("vs", lambda v: F.struct(*[v[c].alias(c) for c in ("version", "score", "own", "zeros")]))).alias("v")).select("stage", "v.*"), mode)
-    row = cuts.agg(F.map_from_entries(F.collect_list(F.struct("version", F.struct("p35", "p72", "method", "population")))).alias("cuts"))  # an entry a version
+    row = _cuts_of_versions(cuts, names)
     fields = ("version", "score", "raw_score", "bounce", "own", "floor", "high_from", "zeros")
 
     def judged(v):
@@ -374,3 +380,27 @@ def page_type_table(bucketed: DataFrame) -> DataFrame:
     """By best page type: sessions, mean score in hundredths, buckets, and sessions the struggle rule hits."""
     page = F.element_at(F.array(*map(F.lit, scoring.RANKED)), F.col("page_rank"))
     return bucketed.filter("status = 'scored'").groupBy(page.alias("page_type")).agg(F.count("*").alias("n"), fn.rounded(F.sum(F.round(F.col("score") * 100).cast("long")) / F.count("*") / 100.0, 4).alias("avg_score"), *[F.count_if(F.col("bucket") == b).alias(b) for b in BUCKETS], F.count_if(scoring.stuck()).alias("stuck"))
+
+
+def other_paths(rows: DataFrame, top: int = 25) -> DataFrame:
+    """The ``top`` paths of no known page type, by the sessions that viewed them; of equal numbers the first in order."""
+    path = fn.page_path(F.col("url"))
+    seen = rows.filter((F.col("event_name") == "page_viewed") & (F.col("url") != "")).select("session_id", path.alias("page_path"))
+    pairs = seen.filter(fn.page_type(F.col("page_path")) == "other").distinct()
+    return pairs.groupBy("page_path").agg(F.count("session_id").alias("sessions")).orderBy(F.col("sessions").desc(), "page_path").limit(top)
+
+
+def struggle_report(sessions: DataFrame, least_clicks: int = 10) -> DataFrame:
+    """Dead-click rates of all sessions with ``least_clicks`` or more, in one row: nearest ranks, extremes, how many lie above or at the 90th, and how many of
+    the sessions were scored. Counts are 0 and ranks null if there is none.
+    """
+    busy = sessions.filter(F.col("click_count") >= least_clicks).select("status", (F.col("dead_click_count") / F.col("click_count")).alias("rate"), F.lit(1).alias("all"))
+    ranks = scoring.nearest_ranks(busy, "all", F.col("rate"), {f"p{p}": (p / 100, None) for p in (50, 75, 80, 85, 90, 95, 99)}, many=True)
+    cut = ranks.agg(*[F.max(c).alias(c) for c in ranks.columns if c not in ("all", "n")])  # one row, also of nothing
+    rate, p90 = F.col("rate"), F.col("cut90")
+    facts = busy.crossJoin(F.broadcast(cut.select(F.col("p90").alias("cut90")))).agg(
+        F.count("*").alias("sessions"), fn.rounded(F.max(rate), 4).alias("most"), F.count_if(rate >= 1).alias("all_dead"), fn.percent(F.count_if(rate >= 1), F.count("*")).alias("all_dead_pct"),
+        F.count_if(rate >= 0.9).alias("ninety_plus"), F.count_if(rate >= 0.5).alias("fifty_plus"), F.count_if(rate > p90).alias("above_p90"), F.count_if(rate >= p90).alias("from_p90"),
+        F.count_if(F.col("status") == "scored").alias("scored"), F.count_if(F.col("status") != "scored").alias("excluded"),
+    )
+    return facts.crossJoin(F.broadcast(cut.select(*[fn.rounded(F.col(c), 4).alias(c) for c in cut.columns])))

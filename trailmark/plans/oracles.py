@@ -236,7 +236,10 @@ SELECTS: dict[str, tuple] = {
     "fn_utm_all": (HOUR, "SELECT event_id, utm AS utm_source, CASE WHEN contains(x, '?') AND NOT contains(split_part(x, '?', 1), '#') THEN CASE WHEN contains(split_part(url || '&', '#', 1), '?') AND NOT contains(url, '#') THEN 'Mail a' END END AS utm_medium, CASE WHEN url IS NOT NULL THEN 'é' END AS utm_campaign, NULL::VARCHAR AS utm_term, NULL::VARCHAR AS utm_content FROM (SELECT *, url || '&UTM_Medium=' AS x FROM rt)"),
     "fn_cart_items": (LONG, "SELECT event_id, it.i AS product_id, it.t AS product_title FROM (SELECT event_id, unnest(@CART) AS it FROM pr0 WHERE ids IS NOT NULL)"),
     "fn_stored_path": (LONG, "SELECT s.session_id, sq AS sequence, pattern AS journey FROM @SEQ s JOIN @JOURNEY j USING (session_id)"),
-    "fn_sql_functions": (HOUR, "SELECT CASE WHEN raw = '/' THEN 'home' WHEN starts_with(raw, '/products/') THEN 'pdp' WHEN starts_with(raw, '/collections/') THEN 'collection' WHEN starts_with(raw, '/checkout') THEN 'checkout' ELSE 'other' END AS page_type, regexp_replace(product_id, '[.]0$', '') AS product_id, count(*) AS n FROM rt WHERE product_id NOT LIKE '[%' GROUP BY ALL"),
+    "fn_sql_functions": (HOUR, "SELECT CASE WHEN raw = '/' THEN 'home' WHEN starts_with(raw, '/products/') THEN 'pdp' WHEN starts_with(raw, '/collections/') THEN 'collection' WHEN starts_with(raw, '/checkout') THEN 'checkout' ELSE 'other' END AS page_type, regexp_replace(product_id, '[.]0$', '') AS product_id, count(*) AS n FROM rt GROUP BY ALL"),
+    "fn_sql_pages": (HOUR, f"SELECT event_id, path AS page_path, device AS device_type, CASE WHEN event_name = 'checkout_started' THEN 'intent.checkout' WHEN event_name = 'product_added_to_cart' THEN 'intent.atc' WHEN event_name = 'click' THEN 'intent.click' ELSE 'intent.other' END AS topic, coalesce(regexp_matches(lower(user_agent), '{BOTS}') OR regexp_matches(lower(user_agent), '\\bbot\\b'), false) AS bot FROM rw"),
+    "fn_sql_carts": (LONG, "SELECT event_id, it.i AS product_id, it.t AS product_title FROM (SELECT event_id, unnest(@CART) AS it FROM pr0 WHERE ids IS NOT NULL)"),
+    "fn_sql_utm": (HOUR, "SELECT event_id, 'utm_source' AS name, utm AS value FROM rt WHERE utm IS NOT NULL"),
     "fn_zones": (HOUR, "SELECT CASE seq % 5 WHEN 0 THEN 'Asia/Kolkata' WHEN 1 THEN 'Europe/Berlin' WHEN 4 THEN 'America/Argentina/Buenos_Aires' ELSE 'UTC' END AS zone, count(*) AS n FROM act GROUP BY ALL"),
     "fn_click_target": (HOUR, "SELECT event_id, @TARGET FROM @CLICKS"),
     "ru_click_behavior": (LONG, f"SELECT summary_date, page_path, target_hash, min(tag) AS tag, min(element_id) AS element_id, min(element_name) AS element_name, min(element_type) AS element_type, min(href) AS href, min(value) AS value, count(*) AS clicks, count(*) FILTER (click_bucket = 'useful_click') AS useful_clicks, count(*) FILTER (click_bucket = 'dead_click') AS dead_clicks, count(DISTINCT actor_id) AS unique_actors FROM (SELECT {DAY}, path AS page_path, click_bucket, actor_id, @TARGET FROM (SELECT *, CASE WHEN seq % 4 = 1 AND path <> '(unknown)' THEN path ELSE '' END AS thref FROM ev WHERE event_name = 'click')) GROUP BY ALL"),
@@ -278,6 +281,8 @@ SELECTS: dict[str, tuple] = {
     "ev_replays": (LONG, "SELECT session_id, version, score, bucket, method FROM rb", "@REPLAYS"),
     "ev_distribution": (LONG, f"SELECT version, scored, low, medium, high, zero_score, {_pct('low', 'scored')} AS low_pct, {_pct('medium', 'scored')} AS medium_pct, {_pct('high', 'scored')} AS high_pct, {_pct('zero_score', 'scored')} AS zero_score_pct, total, excluded, {_pct('excluded', 'total')} AS excluded_pct FROM (SELECT version, count(*) AS scored, count(*) FILTER (bucket = 'low') AS low, count(*) FILTER (bucket = 'medium') AS medium, count(*) FILTER (bucket = 'high') AS high, count(*) FILTER (score = 0) AS zero_score FROM rb GROUP BY ALL), (SELECT count(*) AS total, count(*) FILTER (status <> 'scored') AS excluded FROM sc)", "@REPLAYS"),
     "ev_threshold_summary": (LONG, "SELECT " + ", ".join(f"{_round(f'(sum(CAST(round({c} * 100000000) AS HUGEINT) * population) FILTER ({c} IS NOT NULL))::DOUBLE / nullif(sum(population) FILTER ({c} IS NOT NULL), 0)::DOUBLE / 100000000::DOUBLE', 4)} AS {c}" for c in ("p35", "p72", "p90")) + ", sum(population)::BIGINT AS population, count(*) FILTER (basis = 'fixed_fallback') AS fallback_days, count(*) AS days FROM ca LEFT JOIN p9 USING (sday)"),
+    "ev_other_paths": (LONG, "SELECT path AS page_path, count(DISTINCT session_id) AS sessions FROM ev WHERE event_name = 'page_viewed' AND url <> '' AND ptype = 'other' GROUP BY path ORDER BY sessions DESC, page_path LIMIT 25"),
+    "ev_struggle": (LONG, f"SELECT n AS sessions, {', '.join(f"{_round(_pick('l', 'n', p / 100), 4)} AS p{p}" for p in (50, 75, 80, 85, 90, 95, 99))}, {_round('l[n]', 4)} AS most, len(list_filter(l, lambda r: r >= 1)) AS all_dead, {_pct('len(list_filter(l, lambda r: r >= 1))', 'n')} AS all_dead_pct, len(list_filter(l, lambda r: r >= 0.9::DOUBLE)) AS ninety_plus, len(list_filter(l, lambda r: r >= 0.5::DOUBLE)) AS fifty_plus, len(list_filter(l, lambda r: r > {_pick('l', 'n', 0.9)})) AS above_p90, len(list_filter(l, lambda r: r >= {_pick('l', 'n', 0.9)})) AS from_p90, scored, n - scored AS excluded FROM (SELECT count(*) AS n, coalesce(list_sort(list(dead_click_count / click_count)), []) AS l, count(*) FILTER (status = 'scored') AS scored FROM bk WHERE click_count >= 10)"),
     "ev_page_types": (LONG, f"SELECT ['other', 'home', 'collection', 'pdp', 'checkout'][page_rank] AS page_type, count(*) AS n, {_round('sum(CAST(round(score * 100) AS BIGINT))::BIGINT / count(*) / 100.0::DOUBLE', 4)} AS avg_score, count(*) FILTER (bucket = 'low') AS low, count(*) FILTER (bucket = 'medium') AS medium, count(*) FILTER (bucket = 'high') AS high, count(*) FILTER (stuck < 0) AS stuck FROM bk WHERE status = 'scored' GROUP BY page_rank"),
     "dq_score_frequency": (LONG, f"SELECT score, n, {_ratio('sum(n) OVER (ORDER BY n DESC, score ROWS UNBOUNDED PRECEDING)', 'sum(n) OVER ()')} AS running_share FROM (SELECT score, count(*) AS n FROM bk WHERE status = 'scored' GROUP BY ALL)"),
     "dq_feature_rollup": (LONG, "SELECT CASE WHEN grouping(bucket) = 1 THEN 'all' ELSE bucket END AS bucket, count(*) AS n, " + ", ".join(f"{_round(f'avg({c})', 4)} AS {c}" for c in ("event_count", "page_view_count", "product_view_count", "click_count", "useful_click_count", "dead_click_count", "scroll_count")) + " FROM bk WHERE status = 'scored' GROUP BY ROLLUP (bucket)"),

@@ -286,10 +286,14 @@ def _scoring_window(p: Plans) -> DataFrame:
     return sc.scoring_window(s, "2024-01-20 12:00:00", "2024-01-21 00:00:00").select("session_id", "status")
 
 
-def _sql_functions(p: Plans) -> DataFrame:
-    fn.register(p.spark)
-    p.rows.createOrReplaceTempView("tm_rows")
-    return p.spark.sql("SELECT tm_page_type(tm_raw_path(url)) AS page_type, tm_product_id(product_id) AS product_id, count(*) AS n FROM tm_rows WHERE product_id NOT LIKE '[%' GROUP BY ALL")
+def _sql(text: str) -> Callable[[Plans], DataFrame]:
+    """A query in SQL over the rows (``{rows}``), with the domain's functions under their SQL names."""
+
+    def plan(p: Plans) -> DataFrame:
+        fn.register(p.spark)
+        return p.spark.sql(text, rows=p.rows)
+
+    return plan
 
 
 def _zones(p: Plans) -> DataFrame:
@@ -425,7 +429,10 @@ PLANS: dict[str, tuple[int, int, Callable[[Plans], DataFrame]]] = {
     "fn_utm_all": (1800, 500, lambda p: p.rows.select("event_id", *[fn.utm(F.concat(F.col("url"), F.lit("&UTM_Medium=%20Mail+a&utm_term=&utm_term=x#q?utm_campaign=%C3%A9")), n).alias(n) for n in fn.UTM])),
     "fn_cart_items": (DAY_S, MINIMUM, lambda p: p.events_once().select("event_id", F.inline(fn.cart_items(F.col("product_id"), F.col("product_title"))))),
     "fn_stored_path": (DAY_S, MINIMUM, _stored_sequences),
-    "fn_sql_functions": (1800, 500, _sql_functions),
+    "fn_sql_functions": (1800, 500, _sql("SELECT tm_page_type(tm_raw_path(url)) AS page_type, tm_product_id(product_id) AS product_id, count(*) AS n FROM {rows} GROUP BY ALL")),
+    "fn_sql_pages": (1800, 500, _sql("SELECT event_id, tm_page_path(url) AS page_path, tm_device(user_agent) AS device_type, tm_topic(event_name) AS topic, tm_is_bot(user_agent) AS bot FROM {rows}")),
+    "fn_sql_carts": (DAY_S, MINIMUM, _sql("SELECT r.event_id, i.product_id, i.product_title FROM {rows} r, LATERAL tm_cart_items(r.product_id, r.product_title) i")),
+    "fn_sql_utm": (1800, 500, _sql("SELECT r.event_id, u.name, u.value FROM {rows} r, LATERAL tm_utm_values(r.url) u")),
     "fn_zones": (1800, 500, _zones),
     "ru_affected_dates_since": (1800, 500, lambda p: ru.affected_dates(p.rows, since="2024-01-20 00:00:00")),
     "ru_affected_dates_first": (1800, 500, lambda p: ru.affected_dates(p.rows, since="first")),
@@ -453,6 +460,8 @@ PLANS: dict[str, tuple[int, int, Callable[[Plans], DataFrame]]] = {
     "ev_percentile_rules": (DAY_S, MINIMUM, lambda p: ev.percentile_summaries(p.long())),
     "ev_stored_parity": (DAY_S, MINIMUM, _parity),
     "ev_page_types": (DAY_S, MINIMUM, lambda p: ev.page_type_table(p.bucketed())),
+    "ev_other_paths": (DAY_S, MINIMUM, lambda p: ev.other_paths(p.events_once())),
+    "ev_struggle": (DAY_S, MINIMUM, lambda p: ev.struggle_report(p.bucketed())),
     "dq_why_low": (DAY_S, MINIMUM, lambda p: dq.why_low(p.bucketed())),
     "dq_score_percentiles": (DAY_S, MINIMUM, lambda p: dq.score_percentiles(p.bucketed())),
     "dq_buckets": (DAY_S, MINIMUM, lambda p: dq.buckets(p.bucketed(), sc.actors(p.bucketed()))),
