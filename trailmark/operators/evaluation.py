@@ -112,6 +112,61 @@ def result_rows(scored: DataFrame, everything: DataFrame, names: tuple[str, ...]
     return done.unionByName(out, allowMissingColumns=True).unionByName(broken, allowMissingColumns=True)
 
 
+#: The columns of the long result table, in their order.
+RESULT = (
+    "session_id", "brand_id", "session_start", "version", "score", "bucket", "operational_bucket", "status", "exclusion_reason", "error_reason", "reason_codes", "evidence_stage",
+    "bucket_without_floor", "product_views", "useful_clicks", "dead_clicks", "click_count", "scrolls", "page_views", "minutes", "event_count", "add_to_cart_count",
+    "checkout_started_count", "entry_page_type", "highest_page_type", "struggle_penalty", "bounce_penalty", "page_modifier", "raw_score", "p35", "p72", "p90", "threshold_method",
+    "production_score", "production_bucket", "production_status", "purchased", "order_value",
+)
+
+
+def result_table(sessions: DataFrame, names: tuple[str, ...] = tuple(scoring.VERSIONS), outcomes: DataFrame | None = None, known: dict[str, scoring.Version] | None = None, mode: str = "common") -> DataFrame:
+    """The long result table in full: a row per session and version, with the columns of ``RESULT``, numbers rounded to 4.
+
+    ``sessions`` have facts and production's score, bucket and status. A session that is not scored is ``excluded`` or ``pending`` with its reason in every
+    version; one that lacks an input of a version is an ``error`` of that version alone, and no part of its thresholds. A version that is not registered
+    is a ValueError. ``outcomes`` (session_id, purchased, order_value; a row per session) are null where they are not known. All versions stand side by
+    side in a row until their thresholds, a few numbers each, come back; only then are rows multiplied.
+    """
+    known = scoring.VERSIONS if known is None else known
+    if unknown := [n for n in names if n not in known]:
+        raise ValueError(f"versions that are not registered: {unknown}")
+    ok = F.col("status") == "scored"
+    r4 = lambda c: fn.rounded(c.cast("double"), 4)
+
+    def outcome(v: scoring.Version) -> Column:
+        of = lambda c: F.when(ok & v.broken().isNull(), c)
+        parts = {"score": v.score(), "raw_score": v.raw(), "struggle_penalty": v.struggle_part(), "bounce_penalty": v.bounce_part(), "page_modifier": v.modifier(), "reason_codes": v.codes(), "evidence_stage": F.when(F.lit(v.floor), F.col("stage"))}
+        flags = {"own": v.eligible_thresholds, "floor": v.floor, "high_from": v.high_from_stage, "zeros": v.percentiles_of == "all_eligible"}
+        return F.struct(F.lit(v.name).alias("version"), F.when(ok, v.broken()).alias("error_reason"), *[of(c).alias(k) for k, c in parts.items()], *[F.lit(x).alias(k) for k, x in flags.items()])
+
+    if outcomes is None:
+        sessions = sessions.withColumns({"purchased": F.lit(None).cast("boolean"), "order_value": F.lit(None).cast("double")})
+    else:
+        sessions = sessions.drop("purchased", "order_value").join(outcomes.select("session_id", "purchased", "order_value"), "session_id", "left")
+    brand = F.col("brand_id") if "brand_id" in sessions.columns else F.lit(None).cast("string")
+    kind = F.when(F.col("status").isin("scored", "pending"), F.col("status")).otherwise("excluded")
+    facts = {
+        "session_id": F.col("session_id"), "brand_id": brand, "session_start": F.col("session_start"), "kind": kind, "exclusion_reason": F.when(F.col("status") == "pending", "missing_duration").when(~ok, F.col("status")),
+        "product_views": F.col("product_view_count"), "useful_clicks": F.col("useful_click_count"), "dead_clicks": F.col("dead_click_count"), "click_count": F.col("click_count"), "scrolls": F.col("scroll_count"),
+        "page_views": F.col("page_view_count"), "minutes": r4(F.col("session_time_spent_ms") / 60000.0), "event_count": F.col("event_count"), "add_to_cart_count": F.col("add_to_cart_count"),
+        "checkout_started_count": F.col("checkout_started_count"), "entry_page_type": F.col("entry_page_type"), "highest_page_type": F.element_at(F.array(*map(F.lit, scoring.RANKED)), F.col("page_rank")),
+        "p90": r4(F.col("p90")), "production_score": r4(F.col("score")), "production_bucket": F.col("bucket"), "production_status": kind, "purchased": F.col("purchased"), "order_value": r4(F.col("order_value")), "stage": F.col("stage"),
+    }
+    across = sessions.select(*[c.alias(k) for k, c in facts.items()], F.array(*[outcome(known[n]) for n in names]).alias("vs"))
+    slim = F.transform("vs", lambda v: F.struct(*[v[c].alias(c) for c in ("version", "score", "own", "zeros")]))
+    cuts = thresholds(across.select("stage", F.explode(slim).alias("v")).select("stage", "v.*").filter("score is not null"), mode)
+    rows = across.crossJoin(F.broadcast(_cuts_of_versions(cuts, names))).withColumn("v", F.explode("vs")).withColumn("cut", F.col("cuts")[F.col("v.version")])
+    has = F.col("v.score").isNotNull()
+    floored, plain = _buckets(F.col("v"), F.col("stage"), F.col("cut.p35"), F.col("cut.p72"))
+    rows = rows.withColumns({"bucket": F.when(has, floored), "bucket_without_floor": F.when(has, plain), "version": F.col("v.version"), "error_reason": F.col("v.error_reason"), "reason_codes": F.col("v.reason_codes"), "evidence_stage": F.col("v.evidence_stage")})
+    sure = (F.col("entry_page_type") == "checkout") | (F.col("checkout_started_count") > 0) | (F.col("add_to_cart_count") > 0)
+    rows = rows.withColumns({"operational_bucket": F.when(has, F.when(sure, "high").otherwise(F.col("bucket"))), "status": F.when(F.col("error_reason").isNotNull(), "error").otherwise(F.col("kind")), "threshold_method": F.when(has, F.col("cut.method"))})
+    rows = rows.withColumns({c: r4(F.col(f"v.{c}")) for c in ("score", "raw_score", "struggle_penalty", "bounce_penalty", "page_modifier")} | {c: F.when(has, r4(F.col(f"cut.{c}"))) for c in ("p35", "p72")})
+    return rows.select(*RESULT)
+
+
 def replays(scored: DataFrame) -> DataFrame:
     """The replay variants over the scored sessions, each day with its own thresholds and the constants below 500 of its population."""
     long = _exploded(_side_by_side(scored, scoring.REPLAYS))

@@ -16,6 +16,9 @@ TERMS = (("product_view_count", 4, 11.0), ("useful_click_count", 12, 2.2), ("min
 STAGE_TERMS = (("product_view_count", 4, 8.0), ("page_view_count", 6, 3.0), ("useful_click_count", 12, 4.0), ("minutes", 6, 4.0), ("scroll_count", 8, 1.0))
 MODIFIERS = {"checkout": 1.15, "pdp": 1.05, "collection": 0.95, "home": 0.85, "other": 0.70}
 RANKED = ("other", "home", "collection", "pdp", "checkout")
+#: Codes of evidence stages and of the bonuses, as they stand in result rows.
+STAGE_CODES = ("stage_0_passive", "stage_1_exploration", "stage_2_strong")
+BONUS_CODES = ("bonus_page_views_ge2", "bonus_product_views_ge2", "bonus_useful_clicks_ge2", "bonus_useful_clicks_ge5", "bonus_product_and_pages")
 #: Thresholds where a day has too few sessions of its own.
 FALLBACK = (25.0, 55.0)
 MIN_SESSIONS = 500
@@ -87,6 +90,7 @@ class Version:
     modifiers: tuple = tuple(MODIFIERS.items())
     zero_if_bounced: bool = False  # a bounce by all its limits scores 0
     percentiles_of: str = "positive"  # or "all_eligible", zeros included
+    labelled: bool = False  # codes name the stage and the bonuses
 
     def raw(self) -> Column:
         value = {"minutes": F.col("session_time_spent_ms") / 60000.0}
@@ -113,6 +117,22 @@ class Version:
             value = F.when(bounced, 0.0).otherwise(value)
         return value
 
+    def broken(self) -> Column:
+        """Why a session has no score of this version: the inputs it lacks; null if it has all."""
+        value = {"minutes": F.col("session_time_spent_ms")}
+        lacking = F.concat_ws(", ", *[F.when(value.get(c, F.col(c)).isNull() | F.isnan(value.get(c, F.col(c)).cast("double")), c) for c, _, _ in self.terms])
+        return F.when(lacking != "", F.concat(F.lit("missing: "), lacking))
+
+    def codes(self) -> Column:
+        """What moved the score, joined by ``|``."""
+        pv, pages, useful = F.col("product_view_count"), F.col("page_view_count"), F.col("useful_click_count")
+        own = [F.element_at(F.array(*map(F.lit, STAGE_CODES)), F.col("stage") + 1)] if self.labelled else []
+        hits = (pages >= 2, pv >= 2, useful >= 2, useful >= 5, (pv >= 2) & (pages >= 2))
+        bonuses = [F.when(hit, code) for code, hit in zip(BONUS_CODES, hits, strict=True)] if self.labelled and self.bonuses else []
+        bounce = "bounce_penalty" if self.bounce[0] == self.bounce[1] else "bounce_adjustment"
+        page = F.element_at(F.array(*map(F.lit, RANKED)), F.col("page_rank"))
+        return F.concat_ws("|", *own, *bonuses, F.when(self.struggle_part() < 0, "struggle_penalty"), F.when(self.bounce_part() < 0, bounce), F.concat(F.lit("page_modifier_"), page))
+
     def components(self) -> Column:
         """Score, its parts and the codes of what moved it."""
         page = F.element_at(F.array(*map(F.lit, RANKED)), F.col("page_rank"))
@@ -129,10 +149,10 @@ VERSIONS = {
     v.name: v
     for v in (
         Version("V1", floor=False),
-        Version("V2", bounce=(-5.0, -2.0)),
-        Version("V3", STAGE_TERMS, (-2.0, -1.0), 0.0, True),
-        Version("V4", bounce=(-5.0, -2.0), eligible_thresholds=True),
-        Version("V5", STAGE_TERMS, (-2.0, -1.0), 0.0, True, True, True, 2),
+        Version("V2", bounce=(-5.0, -2.0), labelled=True),
+        Version("V3", STAGE_TERMS, (-2.0, -1.0), 0.0, True, labelled=True),
+        Version("V4", bounce=(-5.0, -2.0), eligible_thresholds=True, labelled=True),
+        Version("V5", STAGE_TERMS, (-2.0, -1.0), 0.0, True, True, True, 2, labelled=True),
         Version("V1C", eligible_thresholds=True, high_from_stage=2),
         Version("V6", bounce=(-5.0, -2.0), eligible_thresholds=True, high_from_stage=2),
     )

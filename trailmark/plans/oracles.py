@@ -278,6 +278,19 @@ SELECTS: dict[str, tuple] = {
     "ev_percentile_rules": (LONG, "SELECT version, n, " + ", ".join(f"{_pick('l', 'n', p / 100)} AS p{p}" for p in (25, 50, 75, 90)) + ", l[1] AS least, l[n] AS most, median AS median, " + ", ".join(f"l[CAST(floor(n * {p} / 100) AS BIGINT) + 1] AS rebuild_p{p}" for p in (50, 75, 90)) + " FROM (SELECT version, count(*) AS n, list_sort(list(score)) AS l, median(score) AS median FROM vl GROUP BY ALL)"),
     "ev_thresholds": (LONG, "SELECT version, p35, p72, CASE WHEN n >= 200 THEN 'percentile' WHEN n > 0 THEN 'percentile_small_sample' ELSE 'no_engaged_sessions' END AS method, n AS population, 'common' AS mode FROM vc UNION ALL SELECT version, CASE WHEN n >= 200 THEN p35 ELSE 25.0 END, CASE WHEN n >= 200 THEN p72 ELSE 55.0 END, CASE WHEN n >= 200 THEN 'percentile' ELSE 'fixed_fallback' END, n, 'production' FROM vc"),
     "ev_results": (LONG, f"SELECT session_id, version, 'scored' AS status, NULL::VARCHAR AS reason, {_round('score', 4)} AS score, {_round('raw', 4)} AS raw_score, bo::DOUBLE AS bounce, bucket, free AS bucket_without_floor, CASE WHEN population >= 500 THEN 'percentile' WHEN population > 0 THEN 'percentile_small_sample' ELSE 'no_engaged_sessions' END AS method, population, {_round('p35', 4)} AS p35, {_round('p72', 4)} AS p72, event_count FROM vl WHERE version IN ('V1', 'V5') UNION ALL SELECT session_id, v, 'excluded', status, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, event_count FROM sc, (VALUES ('V1'), ('V5')) t(v) WHERE status <> 'scored' UNION ALL SELECT session_id, 'V9', 'error', 'unknown version', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, event_count FROM sc WHERE status = 'scored'"),
+    "ev_result_table": (LONG, f"""SELECT b.session_id, 'b' AS brand_id, {START}, version, {_round('r.score', 4)} AS score, r.bucket AS bucket, CASE WHEN r.score IS NULL THEN NULL WHEN entry_page_type = 'checkout' OR checkout_started_count > 0 OR add_to_cart_count > 0 THEN 'high' ELSE r.bucket END AS operational_bucket,
+  CASE WHEN status <> 'scored' THEN 'excluded' WHEN r.score IS NULL THEN 'error' ELSE 'scored' END AS status, CASE WHEN status <> 'scored' THEN status END AS exclusion_reason, CASE WHEN status = 'scored' AND r.score IS NULL THEN 'missing: deepest_scroll' END AS error_reason,
+  CASE WHEN r.score IS NOT NULL THEN concat_ws('|', CASE WHEN version = 'V5' THEN ['stage_0_passive', 'stage_1_exploration', 'stage_2_strong'][stage + 1] END, CASE WHEN version = 'V5' AND page_view_count >= 2 THEN 'bonus_page_views_ge2' END, CASE WHEN version = 'V5' AND product_view_count >= 2 THEN 'bonus_product_views_ge2' END,
+    CASE WHEN version = 'V5' AND useful_click_count >= 2 THEN 'bonus_useful_clicks_ge2' END, CASE WHEN version = 'V5' AND useful_click_count >= 5 THEN 'bonus_useful_clicks_ge5' END, CASE WHEN version = 'V5' AND product_view_count >= 2 AND page_view_count >= 2 THEN 'bonus_product_and_pages' END,
+    CASE WHEN version <> 'V5' AND stuck < 0 THEN 'struggle_penalty' END, CASE WHEN short > 0 THEN CASE WHEN version = 'V5' THEN 'bounce_adjustment' ELSE 'bounce_penalty' END END, 'page_modifier_' || ['other', 'home', 'collection', 'pdp', 'checkout'][page_rank]) END AS reason_codes,
+  CASE WHEN r.score IS NOT NULL AND version <> 'V1' THEN stage END AS evidence_stage, r.free AS bucket_without_floor, product_view_count AS product_views, useful_click_count AS useful_clicks, dead_click_count AS dead_clicks, click_count, scroll_count AS scrolls, page_view_count AS page_views, {_round('ms / 60000.0::DOUBLE', 4)} AS minutes,
+  event_count, add_to_cart_count, checkout_started_count, entry_page_type, ['other', 'home', 'collection', 'pdp', 'checkout'][page_rank] AS highest_page_type, CASE WHEN r.score IS NOT NULL THEN CASE WHEN version = 'V5' THEN 0.0::DOUBLE ELSE stuck END END AS struggle_penalty, r.bo::DOUBLE AS bounce_penalty, CASE WHEN r.score IS NOT NULL THEN modifier END AS page_modifier,
+  {_round('r.raw', 4)} AS raw_score, {_round('r.p35', 4)} AS p35, {_round('r.p72', 4)} AS p72, {_round('b.p90', 4)} AS p90, CASE WHEN r.score IS NOT NULL THEN CASE WHEN population >= 500 THEN 'percentile' ELSE 'percentile_small_sample' END END AS threshold_method,
+  {_round('b.score', 4)} AS production_score, b.bucket AS production_bucket, CASE WHEN status = 'scored' THEN 'scored' ELSE 'excluded' END AS production_status, CASE WHEN checkout_started_count > 0 THEN add_to_cart_count > 0 END AS purchased, CASE WHEN checkout_started_count > 0 THEN event_count::DOUBLE END AS order_value
+  FROM bk b CROSS JOIN (VALUES ('V1'), ('V1C'), ('V5'), ('VS')) t(version) LEFT JOIN (SELECT session_id, version, score, raw, bo, bucket, free, p35, p72, population FROM vl UNION ALL SELECT session_id, 'VS', score, raw, bo, CASE WHEN stage = 0 THEN 'low' ELSE free END, free, p35, p72, n FROM vs2) r USING (session_id, version)""",
+     f"""vs0 AS (SELECT sc.*, sc.raw1 + least(d::DOUBLE, 100.0::DOUBLE) * 0.1::DOUBLE AS raws FROM sc JOIN (SELECT session_id, max(scroll_percent) AS d FROM ins GROUP BY ALL) USING (session_id) WHERE status = 'scored' AND d IS NOT NULL),
+vs1 AS (SELECT session_id, stage, raws AS raw, CASE WHEN short > 0 THEN -20 ELSE 0 END AS bo, {_score('raws', 'stuck', -20, -20)} AS score FROM vs0),
+vs2 AS (SELECT *, CASE WHEN score <= 0 OR score < p35 THEN 'low' WHEN score < p72 THEN 'medium' ELSE 'high' END AS free FROM vs1, (SELECT n, {_pick('l', 'n', 0.35)} AS p35, {_pick('l', 'n', 0.72)} AS p72 FROM (SELECT count(*) FILTER (score > 0) AS n, list_sort(list(score) FILTER (score > 0)) AS l FROM vs1)))"""),
     "ev_replays": (LONG, "SELECT session_id, version, score, bucket, method FROM rb", "@REPLAYS"),
     "ev_distribution": (LONG, f"SELECT version, scored, low, medium, high, zero_score, {_pct('low', 'scored')} AS low_pct, {_pct('medium', 'scored')} AS medium_pct, {_pct('high', 'scored')} AS high_pct, {_pct('zero_score', 'scored')} AS zero_score_pct, total, excluded, {_pct('excluded', 'total')} AS excluded_pct FROM (SELECT version, count(*) AS scored, count(*) FILTER (bucket = 'low') AS low, count(*) FILTER (bucket = 'medium') AS medium, count(*) FILTER (bucket = 'high') AS high, count(*) FILTER (score = 0) AS zero_score FROM rb GROUP BY ALL), (SELECT count(*) AS total, count(*) FILTER (status <> 'scored') AS excluded FROM sc)", "@REPLAYS"),
     "ev_threshold_summary": (LONG, "SELECT " + ", ".join(f"{_round(f'(sum(CAST(round({c} * 100000000) AS HUGEINT) * population) FILTER ({c} IS NOT NULL))::DOUBLE / nullif(sum(population) FILTER ({c} IS NOT NULL), 0)::DOUBLE / 100000000::DOUBLE', 4)} AS {c}" for c in ("p35", "p72", "p90")) + ", sum(population)::BIGINT AS population, count(*) FILTER (basis = 'fixed_fallback') AS fallback_days, count(*) AS days FROM ca LEFT JOIN p9 USING (sday)"),

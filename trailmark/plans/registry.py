@@ -276,6 +276,15 @@ def _results(p: Plans) -> DataFrame:
     return out.select("session_id", "version", "status", "reason", "score", "raw_score", "bounce", "bucket", "bucket_without_floor", "method", "population", "p35", "p72", "event_count")
 
 
+def _result_table(p: Plans) -> DataFrame:
+    """Four versions, of which one reads the deepest scroll and so fails where a session has none; outcomes are known of sessions with a checkout."""
+    p.events()
+    sessions = sc.with_extras(p.bucketed(), [sc.deepest(p._inside())]).withColumn("brand_id", F.lit("b"))
+    known = sc.VERSIONS | {"VS": sc.Version("VS", (*sc.TERMS, ("deepest_scroll", 100, 0.1)))}
+    paid = p.facts().filter("checkout_started_count > 0").select("session_id", (F.col("add_to_cart_count") > 0).alias("purchased"), F.col("event_count").cast("double").alias("order_value"))
+    return ev.result_table(sessions, ("V1", "V1C", "V5", "VS"), paid, known)
+
+
 def _touched(p: Plans) -> DataFrame:
     s = p.scored()
     return sc.touched_actors([s.filter("status = 'scored'"), s.filter("status <> 'scored'")])
@@ -443,6 +452,7 @@ PLANS: dict[str, tuple[int, int, Callable[[Plans], DataFrame]]] = {
     "sc_scoring_window": (DAY_S, MINIMUM, _scoring_window),
     "ev_thresholds": (DAY_S, MINIMUM, _thresholds),
     "ev_results": (DAY_S, MINIMUM, _results),
+    "ev_result_table": (DAY_S, MINIMUM, _result_table),
     "ev_replays": (DAY_S, MINIMUM, lambda p: ev.replays(p.scored()).select("session_id", "version", "score", "bucket", "method")),
     "ev_distribution": (DAY_S, MINIMUM, lambda p: ev.distribution(ev.replays(p.scored()), p.scored())),
     "ev_threshold_summary": (DAY_S, MINIMUM, lambda p: ev.threshold_summary(p.calibration())),
