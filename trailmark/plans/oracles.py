@@ -227,6 +227,7 @@ SELECTS: dict[str, tuple] = {
     "evt_topic_route": (HOUR, "SELECT event_name, CASE WHEN lower(event_name) IN ('checkout_started', 'checkout_completed') THEN 'intent.checkout' WHEN contains(lower(event_name), 'add_to_cart') OR contains(lower(event_name), 'added_to_cart') THEN 'intent.atc' WHEN lower(event_name) = 'click' THEN 'intent.click' ELSE 'intent.other' END AS topic, count(*) AS events FROM act GROUP BY ALL"),
     "evt_contract": (HOUR, "SELECT reason AS reject_reason, count(*) AS n FROM @REASONS GROUP BY ALL"),
     "evt_dead_letters": (HOUR, "SELECT CASE WHEN event_name = 'checkout_started' THEN 'intent.checkout' WHEN event_name = 'product_added_to_cart' THEN 'intent.atc' WHEN event_name = 'click' THEN 'intent.click' ELSE 'intent.other' END AS topic, (seq % 3)::INTEGER AS partition, seq AS offset, reason AS reject_reason FROM @REASONS WHERE reason IS NOT NULL"),
+    "evt_quarantined": (HOUR, "SELECT 'intent.dlq' AS topic, 'k' || seq AS key, reason AS dlq_reason, CASE WHEN event_name = 'checkout_started' THEN 'intent.checkout' WHEN event_name = 'product_added_to_cart' THEN 'intent.atc' WHEN event_name = 'click' THEN 'intent.click' ELSE 'intent.other' END AS dlq_source_topic, (seq % 3)::VARCHAR AS dlq_source_partition, seq::VARCHAR AS dlq_source_offset, CASE WHEN seq % 5 = 0 THEN '3' ELSE '1' END AS dlq_attempts, '1700000000' AS dlq_failed_at FROM @REASONS WHERE reason IS NOT NULL"),
     "evt_event_rows": (HOUR, "SELECT event_id, event_name, actor_id, client_id, CASE WHEN seq % 37 = 15 THEN repeat('9', 101) WHEN seq % 37 <> 14 THEN product_id END AS product_id, product_title, CASE seq % 6 WHEN 0 THEN 2.0 WHEN 2 THEN 1000.0 END AS quantity, (seq % 50) * 1.5::DOUBLE AS price, scroll_percent, strftime(occurred_at, '%Y-%m-%d %H:%M:%S') AS occurred_at, utm AS utm_source, NULL::VARCHAR AS utm_medium, NULL::VARCHAR AS utm_campaign, NULL::VARCHAR AS utm_term, NULL::VARCHAR AS utm_content FROM @REASONS WHERE reason IS NULL AND event_name <> 'click'"),
     "evt_click_rows": (HOUR, "SELECT event_id, (seq % 1000)::INTEGER AS click_x, 12 AS click_y, CASE seq % 4 WHEN 0 THEN 'Button' WHEN 1 THEN 'A' WHEN 2 THEN 'input' END AS click_tag, CASE WHEN seq % 5 < 2 THEN 'Btn-' || k END AS click_element_id, CASE WHEN seq % 6 = 0 THEN 'Buy' END AS click_element_name, CASE WHEN seq % 4 = 2 THEN 'TEXT' END AS click_element_type, CASE WHEN seq % 4 = 1 THEN url END AS click_href, seq % 2 = 0 AS url_changed, CASE WHEN seq % 3 = 0 THEN true END AS cart_changed, NULL::BOOLEAN AS ui_changed, click_bucket, strftime(occurred_at, '%Y-%m-%d %H:%M:%S') AS occurred_at FROM @REASONS WHERE reason IS NULL AND event_name = 'click'"),
     "evt_message_sessions": ((86400, 20, "event_id % 37 > 15 OR (event_id % 37 = 11 AND event_name = 'click') OR (event_id % 37 IN (12, 13) AND event_name <> 'click') OR (event_id % 37 IN (14, 15) AND event_name <> 'product_added_to_cart')"), f"SELECT event_id, identity, {uuid(chr(39) + 'b|' + chr(39) + ' || identity', 'opener')} AS session_id FROM (SELECT *, first_value(event_id) OVER (PARTITION BY identity, session_no ORDER BY occurred_at, received_at, event_name = 'click', seq) AS opener FROM ins)"),

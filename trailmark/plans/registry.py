@@ -223,6 +223,14 @@ def _released(p: Plans) -> DataFrame:
     return contract.released(records, partitions, "2024-01-20 00:00:00").select("topic", "partition", "offset")
 
 
+def _quarantined(p: Plans) -> DataFrame:
+    """Dead letters as records of the quarantine topic, their headers as texts; every fifth record had been tried before."""
+    records = adapter.records(p.rows).withColumns({"key": F.concat(F.lit("k"), "seq"), "attempts": F.when(F.col("seq") % 5 == 0, 3)})
+    checked = p.stored("checked_with_keys", lambda: contract.parsed(records))
+    out = contract.quarantined(contract.dead_letters(checked), "intent.dlq", F.lit(1_700_000_000))
+    return out.select("topic", F.col("key").cast("string").alias("key"), *[F.get("headers", F.lit(i))["value"].cast("string").alias(name) for i, name in enumerate(contract.HEADERS)])
+
+
 def _events_of_messages(p: Plans) -> DataFrame:
     rows = contract.event_rows(contract.messages(p.checked()))
     return rows.select("event_id", "event_name", "actor_id", "client_id", "product_id", "product_title", "quantity", "price", "scroll_percent", "occurred_at", *fn.UTM)
@@ -429,6 +437,7 @@ PLANS: dict[str, tuple[int, int, Callable[[Plans], DataFrame]]] = {
     "sess_step_entries": (DAY_S, MINIMUM, lambda p: ss.step_entries(p.inside())),
     "evt_contract": (1800, 500, lambda p: p.checked().groupBy("reject_reason").agg(F.count("*").alias("n"))),
     "evt_dead_letters": (1800, 500, lambda p: contract.dead_letters(p.checked()).select("topic", "partition", "offset", "reject_reason")),
+    "evt_quarantined": (1800, 500, _quarantined),
     "evt_event_rows": (1800, 500, _events_of_messages),
     "evt_click_rows": (1800, 500, _clicks_of_messages),
     "evt_message_sessions": (DAY_S, MINIMUM, _message_sessions),

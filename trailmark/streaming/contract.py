@@ -77,8 +77,26 @@ def parsed(records: DataFrame) -> DataFrame:
 
 
 def dead_letters(checked: DataFrame) -> DataFrame:
-    """Refused records as they came, with the reason and where they stood."""
-    return checked.filter("reject_reason is not null").select("topic", "partition", "offset", "value", "reject_reason", F.lit(1).alias("attempts"))
+    """Refused records as they came, with the reason, where they stood and how often they were tried: ``attempts`` of the records, once if they have none."""
+    tried = F.coalesce("attempts", F.lit(1)).cast("int") if "attempts" in checked.columns else F.lit(1)
+    return checked.filter("reject_reason is not null").select("topic", "partition", "offset", *[c for c in ("key",) if c in checked.columns], "value", "reject_reason", tried.alias("attempts"))
+
+
+#: The headers of a quarantined record.
+HEADERS = ("dlq_reason", "dlq_source_topic", "dlq_source_partition", "dlq_source_offset", "dlq_attempts", "dlq_failed_at")
+LONGEST_REASON = 1000
+
+
+def quarantined(letters: DataFrame, topic: str, failed_at: Column | None = None) -> DataFrame:
+    """Dead letters as records for a Kafka sink: key and value as they came (an empty value for none), and what is known of them in headers.
+
+    The reason is cut to 1,000 bytes of UTF-8; ``failed_at`` (seconds) is the time of writing unless given.
+    """
+    at = F.unix_timestamp() if failed_at is None else failed_at
+    of = [F.substring(F.encode("reject_reason", "utf-8"), 1, LONGEST_REASON), *[F.encode(c.cast("string"), "utf-8") for c in (F.col("topic"), F.col("partition"), F.col("offset"), F.col("attempts"), at)]]
+    headers = F.array(*[F.struct(F.lit(name).alias("key"), value.alias("value")) for name, value in zip(HEADERS, of, strict=True)])
+    key = F.col("key").cast("binary") if "key" in letters.columns else F.lit(None).cast("binary")
+    return letters.select(F.lit(topic).alias("topic"), key.alias("key"), F.coalesce(F.col("value").cast("binary"), F.lit(b"")).alias("value"), headers.alias("headers"))
 
 
 def _id(v: Column, field: str) -> Column:
