@@ -136,10 +136,10 @@ def result_table(sessions: DataFrame, names: tuple[str, ...] = tuple(scoring.VER
     r4 = lambda c: fn.rounded(c.cast("double"), 4)
 
     def outcome(v: scoring.Version) -> Column:
-        of = lambda c: F.when(ok & v.broken().isNull(), c)
         parts = {"score": v.score(), "raw_score": v.raw(), "struggle_penalty": v.struggle_part(), "bounce_penalty": v.bounce_part(), "page_modifier": v.modifier(), "reason_codes": v.codes(), "evidence_stage": F.when(F.lit(v.floor), F.col("stage"))}
         flags = {"own": v.eligible_thresholds, "floor": v.floor, "high_from": v.high_from_stage, "zeros": v.percentiles_of == "all_eligible"}
-        return F.struct(F.lit(v.name).alias("version"), F.when(ok, v.broken()).alias("error_reason"), *[of(c).alias(k) for k, c in parts.items()], *[F.lit(x).alias(k) for k, x in flags.items()])
+        found = F.when(ok & v.broken().isNull(), F.struct(*[c.alias(k) for k, c in parts.items()]))
+        return F.struct(F.lit(v.name).alias("version"), F.when(ok, v.broken()).alias("error_reason"), found.alias("of"), *[F.lit(x).alias(k) for k, x in flags.items()])
 
     if outcomes is None:
         sessions = sessions.withColumns({"purchased": F.lit(None).cast("boolean"), "order_value": F.lit(None).cast("double")})
@@ -155,15 +155,19 @@ def result_table(sessions: DataFrame, names: tuple[str, ...] = tuple(scoring.VER
         "p90": r4(F.col("p90")), "production_score": r4(F.col("score")), "production_bucket": F.col("bucket"), "production_status": kind, "purchased": F.col("purchased"), "order_value": r4(F.col("order_value")), "stage": F.col("stage"),
     }
     across = sessions.select(*[c.alias(k) for k, c in facts.items()], F.array(*[outcome(known[n]) for n in names]).alias("vs"))
-    slim = F.transform("vs", lambda v: F.struct(*[v[c].alias(c) for c in ("version", "score", "own", "zeros")]))
+    slim = F.transform("vs", lambda v: F.struct(v["of"]["score"].alias("score"), *[v[c].alias(c) for c in ("version", "own", "zeros")]))
     cuts = thresholds(across.select("stage", F.explode(slim).alias("v")).select("stage", "v.*").filter("score is not null"), mode)
-    rows = across.crossJoin(F.broadcast(_cuts_of_versions(cuts, names))).withColumn("v", F.explode("vs")).withColumn("cut", F.col("cuts")[F.col("v.version")])
-    has = F.col("v.score").isNotNull()
-    floored, plain = _buckets(F.col("v"), F.col("stage"), F.col("cut.p35"), F.col("cut.p72"))
-    rows = rows.withColumns({"bucket": F.when(has, floored), "bucket_without_floor": F.when(has, plain), "version": F.col("v.version"), "error_reason": F.col("v.error_reason"), "reason_codes": F.col("v.reason_codes"), "evidence_stage": F.col("v.evidence_stage")})
+    rows = across.crossJoin(F.broadcast(_cuts_of_versions(cuts, names))).withColumn("v", F.explode("vs")).drop("vs").select("*", "v.*", "v.of.*", F.col("cuts")[F.col("v.version")].alias("cut")).drop("v", "of", "cuts")
+    has = F.col("score").isNotNull()
+    flags = F.struct("score", "floor", "high_from")
+    floored, plain = _buckets(flags, F.col("stage"), F.col("cut.p35"), F.col("cut.p72"))
     sure = (F.col("entry_page_type") == "checkout") | (F.col("checkout_started_count") > 0) | (F.col("add_to_cart_count") > 0)
-    rows = rows.withColumns({"operational_bucket": F.when(has, F.when(sure, "high").otherwise(F.col("bucket"))), "status": F.when(F.col("error_reason").isNotNull(), "error").otherwise(F.col("kind")), "threshold_method": F.when(has, F.col("cut.method"))})
-    rows = rows.withColumns({c: r4(F.col(f"v.{c}")) for c in ("score", "raw_score", "struggle_penalty", "bounce_penalty", "page_modifier")} | {c: F.when(has, r4(F.col(f"cut.{c}"))) for c in ("p35", "p72")})
+    made = {
+        "bucket": F.when(has, floored), "bucket_without_floor": F.when(has, plain), "operational_bucket": F.when(has, F.when(sure, "high").otherwise(floored)), "threshold_method": F.when(has, F.col("cut.method")),
+        "status": F.when(F.col("error_reason").isNotNull(), "error").otherwise(F.col("kind")), **{c: F.when(has, r4(F.col(f"cut.{c}"))) for c in ("p35", "p72")},
+        **{c: r4(F.col(c)) for c in ("score", "raw_score", "struggle_penalty", "bounce_penalty", "page_modifier")},
+    }
+    rows = rows.withColumns(made)
     return rows.select(*RESULT)
 
 
