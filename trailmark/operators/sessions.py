@@ -162,9 +162,9 @@ def _folded(rows: DataFrame, group: list[str], timeout_s: int) -> DataFrame:
 def _most_sessions(known: DataFrame, timeout_s: int) -> DataFrame:
     """Sessions of visitors that fit into windows; only visitors who add a product again before a gap are folded, as for all others gaps decide."""
     own = visitor(known)
-    whole, segment = Window.partitionBy(*own), Window.partitionBy(*own, "session_no")
+    whole, same = Window.partitionBy(*own), Window.partitionBy(*own, "session_no", "__claim")
     rows = _gaps(known, timeout_s)
-    again = F.size(F.collect_list("__claim").over(segment)) > F.size(F.collect_set("__claim").over(segment))
+    again = F.count("__claim").over(same) > 1  # a number: lists of a session's adds would be copied into each of its rows
     rows = rows.withColumn("__again", again).withColumn("__again", F.max("__again").over(whole))
     plain = rows.filter("not __again").drop("__again").withColumn("counts", F.lit(True))
     return plain.unionByName(_folded(rows.filter("__again").drop("__again", "session_no", "__first", "__new"), own, timeout_s))

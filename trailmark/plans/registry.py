@@ -78,6 +78,10 @@ class Plans:
     def checked(self) -> DataFrame:
         return self.stored("checked", lambda: contract.parsed(adapter.records(self.rows)))
 
+    def messages(self) -> DataFrame:
+        """Sound messages; the records' texts, which none of them needs again, are not stored."""
+        return contract.messages(self.stored("parsed", lambda: contract.parsed(adapter.records(self.rows)).select("seq", "v", "reject_reason")))
+
 
 def plain(df: DataFrame) -> DataFrame:
     """Dates and times as text, so that engines agree on how they print."""
@@ -232,18 +236,19 @@ def _quarantined(p: Plans) -> DataFrame:
 
 
 def _events_of_messages(p: Plans) -> DataFrame:
-    rows = contract.event_rows(contract.messages(p.checked()))
+    rows = contract.event_rows(p.messages())
     return rows.select("event_id", "event_name", "actor_id", "client_id", "product_id", "product_title", "quantity", "price", "scroll_percent", "occurred_at", *fn.UTM)
 
 
 def _clicks_of_messages(p: Plans) -> DataFrame:
-    rows = contract.click_rows(contract.messages(p.checked()))
+    rows = contract.click_rows(p.messages())
     return rows.select("event_id", "click_x", "click_y", "click_tag", "click_element_id", "click_element_name", "click_element_type", "click_href", "url_changed", "cart_changed", "ui_changed", "click_bucket", "occurred_at")
 
 
 def _message_sessions(p: Plans) -> DataFrame:
-    """Sound messages with the session each one got."""
-    rows = contract.messages(p.checked()).drop("v")
+    """Sound messages with the session each one got. What sessions need of a message is stored, as it is read several times."""
+    needed = ("brand_id", "event_id", "event_name", "actor_id", "client_id", "product_id", "occurred_at", "received_at", "seq")
+    rows = p.stored("messages", lambda: p.messages().select(*needed))
     return ss.keep_first_cart_adds(ss.with_sessions(rows, p.timeout_s)).select("event_id", "identity", "session_id")
 
 

@@ -33,36 +33,53 @@ def store_time(value: Column) -> Column:
     return F.when(F.endswith(value, F.lit("Z")) & digits.rlike(ISO), digits.try_cast("timestamp_ntz"))
 
 
-def _bad_text(v: Column, field: str, required: bool, is_id: bool) -> Column:
-    kind, text = _kind(v, field), _text(v, field)
+#: What the checks of a record read, each taken from the variant once: the types of these fields, the texts of those, and whether objects are there and are some.
+KINDS = ("schema_version", "type", *IDS, *TEXTS, "occurred_at", "click_bucket")
+
+
+def _taken(v: Column) -> dict[str, Column]:
+    out = {f"__kind_{f}": _kind(v, f) for f in KINDS} | {f"__text_{f}": _text(v, f) for f in ("type", *IDS, "occurred_at", "click_bucket")}
+    for f in OBJECTS:  # an object's full type, which lists its fields, is not asked for
+        part = F.try_variant_get(v, f"$.{f}", "variant")
+        out[f"__there_{f}"] = part.isNotNull() & ~F.is_variant_null(part)
+        out[f"__object_{f}"] = F.try_variant_get(v, f"$.{f}", "struct<product_id variant>").isNotNull()
+    product = F.try_variant_get(v, "$.raw.product_id", "variant")
+    return out | {"__kind_product": F.schema_of_variant(product), "__text_product": _text(v, "raw.product_id"), "__version": F.try_variant_get(v, "$.schema_version", "double")}
+
+
+def _bad_text(field: str, required: bool, is_id: bool) -> Column:
+    kind = F.col(f"__kind_{field}")
     checks = F.when(kind.isNull(), F.lit(f"{field} is required") if required else F.lit(None))
     checks = checks.when(kind != "STRING", f"{field} must be a string")
+    if not is_id:
+        return checks
+    text = F.col(f"__text_{field}")
     checks = checks.when(~text.rlike(r"\S"), F.lit(f"{field} must not be blank") if required else F.lit(None))
-    return checks.when(F.length(text) > LONGEST_ID, f"{field} is longer than {LONGEST_ID} characters") if is_id else checks
+    return checks.when(F.length(text) > LONGEST_ID, f"{field} is longer than {LONGEST_ID} characters")
 
 
 #: The wordings below are fixed values: a dead letter shows them.
 def reject_reason(value: Column, v: Column) -> Column:
-    """Why a record is refused (the first check it fails); null if it is sound. ``v`` is the value parsed as a variant, null if it is no JSON."""
-    version, kind = _kind(v, "schema_version"), _text(v, "type")
-    click = kind == "click"
-    product = F.try_variant_get(v, "$.raw.product_id", "string")
-    product_kind = F.schema_of_variant(F.try_variant_get(v, "$.raw.product_id", "variant"))
-    adds = _text(v, "event_name") == "product_added_to_cart"
+    """Why a record is refused (the first check it fails); null if it is sound. ``v`` is the value parsed as a variant, null if it is no JSON; the columns of ``_taken`` stand beside it."""
+    kind, text = (lambda f: F.col(f"__kind_{f}")), (lambda f: F.col(f"__text_{f}"))
+    version, type_ = kind("schema_version"), text("type")
+    click = type_ == "click"
+    product, product_kind = text("product"), kind("product")
+    adds = text("event_name") == "product_added_to_cart"
     checks = [
         F.when(v.isNull(), "payload is not valid JSON"),
-        F.when(~F.schema_of_variant(v).startswith("OBJECT"), "payload must be a JSON object"),
-        F.when(version.isNull() | version.isin("BOOLEAN", "STRING") | (F.coalesce(F.try_variant_get(v, "$.schema_version", "double"), F.lit(0.0)) != VERSION), "unsupported schema_version"),
-        F.when(~F.coalesce((_kind(v, "type") == "STRING") & kind.isin("event", "click"), F.lit(False)), "unsupported type"),
-        *[_bad_text(v, f, True, True) for f in IDS[:3]],
-        F.when(click != (_text(v, "event_name") == "click"), "type click and event_name click must go together"),
-        F.when(~F.coalesce((_kind(v, "occurred_at") == "STRING") & F.endswith(_text(v, "occurred_at"), F.lit("Z")), F.lit(False)), "occurred_at must be an ISO timestamp ending in Z"),
-        F.when(store_time(_text(v, "occurred_at")).isNull(), "occurred_at is not a valid ISO timestamp"),
-        *[_bad_text(v, f, False, True) for f in IDS[3:]],
-        *[_bad_text(v, f, False, False) for f in TEXTS],
-        *[F.when(~_kind(v, f).startswith("OBJECT"), f"{f} must be an object") for f in OBJECTS],
-        F.when(click & _kind(v, "click").isNull(), "click payload is required for a click"),
-        F.when(click & _kind(v, "click_bucket").isNotNull() & ~F.coalesce(_text(v, "click_bucket").isin(*BUCKETS), F.lit(False)), "invalid click_bucket"),
+        F.when(~F.startswith(F.ltrim(value, F.lit(" \t\r\n")), F.lit("{")), "payload must be a JSON object"),
+        F.when(version.isNull() | version.isin("BOOLEAN", "STRING") | (F.coalesce("__version", F.lit(0.0)) != VERSION), "unsupported schema_version"),
+        F.when(~F.coalesce((kind("type") == "STRING") & type_.isin("event", "click"), F.lit(False)), "unsupported type"),
+        *[_bad_text(f, True, True) for f in IDS[:3]],
+        F.when(click != (text("event_name") == "click"), "type click and event_name click must go together"),
+        F.when(~F.coalesce((kind("occurred_at") == "STRING") & F.endswith(text("occurred_at"), F.lit("Z")), F.lit(False)), "occurred_at must be an ISO timestamp ending in Z"),
+        F.when(store_time(text("occurred_at")).isNull(), "occurred_at is not a valid ISO timestamp"),
+        *[_bad_text(f, False, True) for f in IDS[3:]],
+        *[_bad_text(f, False, False) for f in TEXTS],
+        *[F.when(F.col(f"__there_{f}") & ~F.col(f"__object_{f}"), f"{f} must be an object") for f in OBJECTS],
+        F.when(click & ~F.col("__there_click"), "click payload is required for a click"),
+        F.when(click & kind("click_bucket").isNotNull() & ~F.coalesce(text("click_bucket").isin(*BUCKETS), F.lit(False)), "invalid click_bucket"),
         F.when(adds & ((F.coalesce(product_kind, F.lit("VOID")) != "STRING") | ~F.coalesce(product.rlike(r"\S"), F.lit(False))), "product_added_to_cart requires raw.product_id"),
         F.when(adds & (F.length(product) > LONGEST_ID), f"raw.product_id is longer than {LONGEST_ID} characters"),
     ]
@@ -73,7 +90,7 @@ def parsed(records: DataFrame) -> DataFrame:
     """Adds ``v`` (the value as a variant) and ``reject_reason``: valid and dead-letter rows are two filters on it."""
     text = F.col("value").cast("string")
     rows = records.withColumn("v", F.try_parse_json(text))
-    return rows.withColumn("reject_reason", reject_reason(text, F.col("v")))
+    return rows.withColumns(_taken(F.col("v"))).select(*rows.columns, reject_reason(text, F.col("v")).alias("reject_reason"))
 
 
 def dead_letters(checked: DataFrame) -> DataFrame:
