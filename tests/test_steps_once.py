@@ -41,3 +41,9 @@ def test_objects_of_a_message_are_known_by_their_kind(spark):
 def test_repeated_adds_are_counted_not_listed(spark):
     text = plan(ss.with_sessions(frame(spark, drawn(3))))
     assert "collect_" not in text and "count(__claim" in text
+
+
+def test_health_puts_events_in_sessions_once(spark, monkeypatch):
+    calls, real = [], ss.with_sessions
+    monkeypatch.setattr(ss, "with_sessions", lambda *a, **how: calls.append(1) or real(*a, **how))
+    assert registry.queries()["dq_health"](spark, SF).count() == 1 and len(calls) == 1
