@@ -47,3 +47,10 @@ def test_health_puts_events_in_sessions_once(spark, monkeypatch):
     calls, real = [], ss.with_sessions
     monkeypatch.setattr(ss, "with_sessions", lambda *a, **how: calls.append(1) or real(*a, **how))
     assert registry.queries()["dq_health"](spark, SF).count() == 1 and len(calls) == 1
+
+
+def test_utm_values_of_event_rows_come_from_one_reading_of_the_url(spark):
+    records = spark.createDataFrame([(json.dumps(SOUND | {"url": "/p?utm_term=%20a&UTM_source=b"}),)], "value string")
+    rows = contract.event_rows(contract.messages(contract.parsed(records)))
+    assert rows.first().utm_term == "a" and rows.first().utm_source == "b" and rows.first().utm_medium is None
+    assert plan(rows).count("split(") == 1

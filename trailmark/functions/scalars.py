@@ -149,14 +149,25 @@ def _decoded(part: Column) -> Column:
     return F.url_decode(F.regexp_replace(part, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
-def utm(url: Column, name: str) -> Column:
-    """The first value of a utm parameter in the query, then after the fragment sign; names decoded and in any case, values decoded, trimmed, at most 255 characters."""
+def utm_pairs(url: Column) -> Column:
+    """The utm parameters of the query, then after the fragment sign, in order: names decoded and in small letters, values as they are written. Null if the URL can have none."""
     plain = F.regexp_replace(stripped(url), r"[\t\r\n]", "")
     query = F.concat_ws("&", F.when(F.contains(plain, F.lit("?")), F.regexp_extract(plain, r"^[^#?]*\?([^#]*)", 1)), F.regexp_extract(plain, r"^[^#]*#[^?]*\?(.*)$", 1))
-    pairs = F.filter(F.split(query, "&"), lambda p: F.lower(stripped(_decoded(F.substring_index(p, "=", 1)))) == name)
-    value = F.regexp_replace(F.get(pairs, F.lit(0)), "^[^=]*=?", "")
+    named = lambda p: F.lower(stripped(_decoded(F.substring_index(p, "=", 1))))
+    pairs = F.transform(F.split(query, "&"), lambda p: F.struct(named(p).alias("name"), F.regexp_replace(p, "^[^=]*=?", "").alias("value")))
+    return F.when(F.contains(url, F.lit("?")) & F.contains(url, F.lit("=")), F.filter(pairs, lambda p: p["name"].isin(*UTM)))
+
+
+def utm_of(pairs: Column, name: str) -> Column:
+    """The first value of a utm parameter among ``utm_pairs``: decoded, trimmed, at most 255 characters."""
+    value = F.get(F.filter(pairs, lambda p: p["name"] == name), F.lit(0))["value"]
     return F.left(F.nullif(stripped(_decoded(value)), F.lit("")), F.lit(255))
 
+def utm(url: Column, name: str) -> Column:
+    """The first value of a utm parameter in the query, then after the fragment sign; names decoded and in any case, values decoded, trimmed, at most 255 characters."""
+    return utm_of(utm_pairs(url), name)
+
+
 
 def topic(name: Column) -> Column:
     n = F.lower(name)

@@ -143,10 +143,10 @@ def event_rows(rows: DataFrame, *more: str) -> DataFrame:
     v = F.col("v")
     raw = lambda f: F.try_variant_get(v, f"$.raw.{f}", "string").alias(f)
     numbers = {"quantity": "quantity", "price": "price", "checkout_total": "checkout_total", "scroll_percent": "percent"}
-    return rows.filter("type = 'event'").select(
+    return rows.filter("type = 'event'").withColumn("__utm", fn.utm_pairs(F.col("url"))).select(
         "event_id", "event_name", "actor_id", "client_id", "visitor_id", *TEXTS, *[raw(f) for f in ("product_id", "variant_id", "product_title", "variant_title", "currency")],
         *[_number(v, f"$.raw.{source}").alias(f) for f, source in numbers.items()], F.to_json(F.try_variant_get(v, "$.raw", "variant")).alias("data"), "occurred_at",
-        *[fn.utm(F.col("url"), name).alias(name) for name in fn.UTM], *more,
+        *[fn.utm_of(F.col("__utm"), name).alias(name) for name in fn.UTM], *more,
     )
 
 
@@ -157,11 +157,11 @@ def click_rows(rows: DataFrame, *more: str) -> DataFrame:
     trimmed = lambda path: F.nullif(F.trim(part(path)), F.lit(""))
     whole = lambda path: F.try_variant_get(v, path, "string").try_cast("double").try_cast("int")
     signal = lambda f: F.try_variant_get(v, f"$.signals.{f}", "boolean").alias(f)
-    return rows.filter("type = 'click'").select(
+    return rows.filter("type = 'click'").withColumn("__utm", fn.utm_pairs(F.col("url"))).select(
         "event_id", "event_name", "actor_id", "client_id", "visitor_id", *TEXTS, whole("$.click.x").alias("click_x"), whole("$.click.y").alias("click_y"), trimmed("$.click.tag_name").alias("click_tag"),
         *[trimmed(f"$.click.{f}").alias(f"click_{f}") for f in ("element_id", "element_name", "element_type")], part("$.click.element_value").alias("click_element_value"), part("$.click.href").alias("click_href"),
         *[signal(f) for f in ("url_changed", "cart_changed", "ui_changed", "meaningful_scroll")], "click_bucket",
-        F.to_json(F.struct(F.try_variant_get(v, "$.click", "variant").alias("click"), F.try_variant_get(v, "$.signals", "variant").alias("signals"))).alias("data"), "occurred_at", *[fn.utm(F.col("url"), name).alias(name) for name in fn.UTM], *more,
+        F.to_json(F.struct(F.try_variant_get(v, "$.click", "variant").alias("click"), F.try_variant_get(v, "$.signals", "variant").alias("signals"))).alias("data"), "occurred_at", *[fn.utm_of(F.col("__utm"), name).alias(name) for name in fn.UTM], *more,
     )
 
 
