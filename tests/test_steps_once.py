@@ -54,3 +54,29 @@ def test_utm_values_of_event_rows_come_from_one_reading_of_the_url(spark):
     rows = contract.event_rows(contract.messages(contract.parsed(records)))
     assert rows.first().utm_term == "a" and rows.first().utm_source == "b" and rows.first().utm_medium is None
     assert plan(rows).count("split(") == 1
+
+
+def test_a_page_path_reads_each_step_once(spark):
+    assert str(fn.page_path(F.col("the_url"))).count("the_url") <= 3
+    events = registry.Plans(spark, SF).inside()
+    facts = plan(ss.session_rows(sc.with_page_types(events), sc.enrichments(), names=False))
+    assert not any("regexp_replace" in line for line in facts.splitlines() if line.lstrip(" +-:|").startswith("Aggregate"))
+
+
+def test_page_paths_equal_plain_code_on_generated_urls(spark):
+    draw = random.Random(13)
+    bits = ["/", "/", "/", "?", "#", "://", "http", "x.y", "12", "0", "abcdef0123456789", "deadbeef-1234-1234-1234-123456789abc", "A", "é", " ", "\n", "\r\n", "\x85", "\u2028", "\xa0", "\u3000", "\u200b", "$", "products"]
+    urls = ["".join(draw.choices(bits, k=draw.randint(0, 10))) for _ in range(3000)] + [None, "", "/", "///", "a", "x://", "/1/2/3"]
+    blank, end = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u2028\u3000", r"(?:\r\n|[\n\r\x85\u2028\u2029])?\Z"
+
+    def plain(url):
+        if not url:
+            return "(unknown)"
+        path = re.sub(r"^[^\n\r\x85\u2028\u2029]*?://[^/]*", "", url.strip(blank).split("?")[0].split("#")[0])
+        path = (path if path.startswith("/") else "/" + path).lower()
+        path = re.sub(f"/+(?={end})", "", path)
+        dynamic = rf"(?:[0-9]+|[0-9a-f]{{8}}-[0-9a-f]{{4}}-[0-9a-f]{{4}}-[0-9a-f]{{4}}-[0-9a-f]{{12}}|[0-9a-f]{{16,}}){end}"
+        return ("/".join(":id" if re.match(dynamic, s) else s for s in path.split("/")) or "/")[:255]
+
+    got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(fn.page_path(F.col("u"))).collect()]
+    assert [(u, g) for u, g in zip(urls, got, strict=True) if g != plain(u)] == []

@@ -12,9 +12,9 @@ BOTS = (
     "googlebot", "bingbot", "ahrefsbot", "semrushbot", "mj12bot", "petalbot", "yandexbot", "bytespider", "duckduckbot", "baiduspider", "applebot",
     "curl/", "wget/", "python-requests", "scrapy", "headlesschrome", "phantomjs", "selenium", "puppeteer", "playwright",
 )
-#: Parameter names, and path segments that stand for ids.
+#: Parameter names, and path segments (a line break at their end included) that stand for ids.
 UTM = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content")
-DYNAMIC = r"^([0-9]+|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|[0-9a-f]{16,})$"
+DYNAMIC = r"(?<=/)(?:[0-9]+|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|[0-9a-f]{16,})(?:\r\n|[\n\r\x{85}\x{2028}\x{2029}])?(?=/|\z)"
 
 
 #: Fixed value: the name space of session ids.
@@ -30,11 +30,11 @@ def session_uuid(name: Column) -> Column:
 
 
 #: What is taken off the ends of URLs, names and values: white space of any alphabet.
-BLANK = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def rounded(x: Column, digits: int) -> Column:
@@ -62,16 +62,15 @@ def raw_path(url: Column) -> Column:
 
 
 def page_path(url: Column) -> Column:
-    """A page's canonical path: no scheme, host, query or fragment; lower case; ids become ``:id``; ``(unknown)`` if empty."""
-    cut = raw_path(stripped(url))
-    path = F.regexp_replace(cut, r"^.*?://[^/]*", "")
-    path = F.when(F.contains(cut, F.lit("://")) & (path == ""), "/").otherwise(path)
-    path = F.lower(F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit("/"), path)))
+    """A page's canonical path: no scheme, host, query or fragment; lower case; ids become ``:id``; ``(unknown)`` if empty.
+
+    Each step reads the one before it once: an expression that stands twice in the next one is computed twice, and so on with every step.
+    """
+    path = F.regexp_replace(raw_path(stripped(url)), r"^.*?://[^/]*", "")
+    path = F.lower(F.regexp_replace(path, "^(?!/)", "/"))
     path = F.regexp_replace(path, r"/+$", "")
-    parts = F.transform(F.split(path, "/"), lambda s: F.when(s.rlike(DYNAMIC), ":id").otherwise(s))
-    path = F.array_join(parts, "/")
-    path = F.left(F.when(path == "", "/").otherwise(path), F.lit(255))
-    return F.when(url.isNull() | (url == ""), "(unknown)").otherwise(path)
+    path = F.regexp_replace(F.regexp_replace(path, DYNAMIC, ":id"), r"^\z", "/")
+    return F.when(url.isNull() | (url == ""), "(unknown)").otherwise(F.left(path, F.lit(255)))
 
 
 def page_type(path: Column) -> Column:
@@ -163,12 +162,12 @@ def utm_of(pairs: Column, name: str) -> Column:
     value = F.get(F.filter(pairs, lambda p: p["name"] == name), F.lit(0))["value"]
     return F.left(F.nullif(stripped(_decoded(value)), F.lit("")), F.lit(255))
 
+
 def utm(url: Column, name: str) -> Column:
     """The first value of a utm parameter in the query, then after the fragment sign; names decoded and in any case, values decoded, trimmed, at most 255 characters."""
     return utm_of(utm_pairs(url), name)
 
 
-
 def topic(name: Column) -> Column:
     n = F.lower(name)
     return (

@@ -24,20 +24,25 @@ FALLBACK = (25.0, 55.0)
 MIN_SESSIONS = 500
 
 
-def enrichments() -> list[Column]:
-    """Aggregates over a session's events: entry page type, rank of the best page type, user agent (from clicks if no page view has one)."""
-    path = fn.page_path(F.col("url"))
-    rank = F.array_position(F.array(*map(F.lit, RANKED)), fn.page_type(path)).cast("int")
+def with_page_types(rows: DataFrame) -> DataFrame:
+    """Adds ``__page_type``, the page type of page views that have a URL: computed once a row, not once in each aggregate that reads it."""
     seen = (F.col("event_name") == "page_viewed") & (F.col("url") != "")
+    return rows.withColumn("__page_type", F.when(seen, fn.page_type(fn.page_path(F.col("url")))))
+
+
+def enrichments() -> list[Column]:
+    """Aggregates over a session's events (``with_page_types``): entry page type, rank of the best page type, user agent (from clicks if no page view has one)."""
+    kind, seen = F.col("__page_type"), F.col("__page_type").isNotNull()
+    rank = F.array_position(F.array(*map(F.lit, RANKED)), kind).cast("int")
     return [
-        F.coalesce(F.min_by(fn.page_type(path), F.when(seen, F.struct("occurred_at", "seq"))), F.lit("other")).alias("entry_page_type"),
+        F.coalesce(F.min_by(kind, F.when(seen, F.struct("occurred_at", "seq"))), F.lit("other")).alias("entry_page_type"),
         F.coalesce(F.max(F.when(seen, rank)), F.lit(1)).alias("page_rank"),
         F.coalesce(F.max(F.when(seen, F.col("user_agent"))), F.max(F.when(F.col("event_name") == "click", F.col("user_agent")))).alias("user_agent"),
     ]
 
 
 def enrichment(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("session_id").agg(*enrichments())
+    return with_page_types(rows).groupBy("session_id").agg(*enrichments())
 
 
 def deepest(rows: DataFrame) -> DataFrame:

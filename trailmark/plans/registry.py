@@ -55,7 +55,7 @@ class Plans:
 
     def facts(self) -> DataFrame:
         """Session rows with enrichment: one aggregation over the events of a session."""
-        return self.stored("facts", lambda: ss.session_rows(self._inside(), sc.enrichments(), names=False))
+        return self.stored("facts", lambda: ss.session_rows(sc.with_page_types(self._inside()), sc.enrichments(), names=False))
 
     def swept(self) -> DataFrame:
         return ss.swept(self.facts(), self.timeout_s)
